@@ -1,0 +1,6 @@
+"""Streaming.
+
+The warehouse this library reproduces has no streaming workload: no stream
+source, watermark, windowed or stateful operator.  Its loads are scheduled
+batch runs (see ``lakeforge.plans.run``).  Nothing is built here on purpose.
+"""

@@ -2,11 +2,12 @@
 
 ``assign_keys`` gives the rows of a frame the dense numbers
 ``start + ROW_NUMBER() OVER (ORDER BY order_by)`` without moving all rows
-into one task: rows are cut into contiguous key ranges (boundaries taken
-from a bounded sample), each range is numbered by a window partitioned on
-the range, and a per-range offset (one row per range, so its size is bounded
-by the range count) is broadcast back.  Range boundaries are literals in the
-plan, so a recomputed task (lost executor) yields the same numbers.
+into one task once they exceed what one task may hold: rows are cut into
+contiguous key ranges (boundaries taken from a bounded sample), each range
+is numbered by a window partitioned on the range, and a per-range offset
+(one row per range, so its size is bounded by the range count) is broadcast
+back.  Range boundaries are literals in the plan, so a recomputed task (lost
+executor) yields the same numbers; no persist is needed.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
 
 # Rows one window task may number on its own; above this the range split
 # is used.  Numbers of ranges are capped so the generated range expression
@@ -57,46 +57,62 @@ def _sort_key(row) -> tuple:
     return tuple((v is not None, v) for v in row)
 
 
-def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int = 0,
+def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | Column = 0, *,
+                bound: int | None = None, sample_from: DataFrame | None = None,
                 single_task_rows: int = SINGLE_TASK_ROWS,
                 rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``key_col = start + row_number() over (order by order_by)`` as BIGINT.
 
-    ``order_by`` should be unique over ``df`` for the numbers to be
-    deterministic (ties are numbered in an unspecified order, as in SQL).
+    ``start`` may be a scalar-subquery Column (e.g. the current max id), so
+    it is evaluated inside the plan.  ``bound`` is a known upper bound of the
+    row count of ``df`` (saves a count job); ``sample_from`` is a frame whose
+    ``order_by`` values cover those of ``df`` (e.g. the source of the rows to
+    number): range boundaries are sampled from it, so no range holds more
+    rows of ``df`` than of ``sample_from``.  ``order_by`` should be unique
+    over ``df`` for the numbers to be deterministic (ties are numbered in an
+    unspecified order, as in SQL).
     """
     order_cols = [F.col(c).asc_nulls_first() for c in order_by]
-    n = df.count()
+    start_col = start if isinstance(start, Column) else F.lit(start)
+    n = bound if bound is not None else df.count()
     if n <= single_task_rows:
         # Proven small: one window task numbers at most ``single_task_rows`` rows.
         w = Window.orderBy(*order_cols)
-        return df.withColumn(key_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
+        return df.withColumn(key_col, (start_col + F.row_number().over(w)).cast("long"))
 
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    staged = df.checkpoint(eager=True)  # reliable: survives executor loss
     ranges = min(MAX_RANGES, max(2, math.ceil(n / rows_per_range)))
+    base = sample_from if sample_from is not None else df
     fraction = min(1.0, ranges * SAMPLE_PER_RANGE / n)
-    sample = sorted((tuple(r) for r in staged.select(*order_by).sample(False, fraction, seed=7).collect()),
+    # Bounded sample (about ranges * SAMPLE_PER_RANGE rows) to the driver.
+    sample = sorted((tuple(r) for r in base.select(*order_by).sample(False, fraction, seed=7).collect()),
                     key=_sort_key)
     bounds = []
     for i in range(1, ranges):
+        if not sample:
+            break
         b = sample[min(len(sample) - 1, (i * len(sample)) // ranges)]
         if not bounds or _sort_key(b) > _sort_key(bounds[-1]):
             bounds.append(b)
     cols = [F.col(c) for c in order_by]
     rng = _range_expr(cols, bounds, 0, len(bounds)) if bounds else F.lit(0)
-    ranged = staged.withColumn("_lf_range", rng)
+    ranged = df.withColumn("_lf_range", rng)
     # One row per range: the broadcast side is bounded by MAX_RANGES rows.
     offsets = (ranged.groupBy("_lf_range").agg(F.count(F.lit(1)).alias("_lf_n"))
                .withColumn("_lf_off", F.sum("_lf_n").over(Window.orderBy("_lf_range")) - F.col("_lf_n"))
                .select("_lf_range", "_lf_off"))
     w = Window.partitionBy("_lf_range").orderBy(*order_cols)
     return (ranged.join(F.broadcast(offsets), "_lf_range")
-            .withColumn(key_col, (F.lit(start) + F.col("_lf_off") + F.row_number().over(w)).cast("long"))
+            .withColumn(key_col, (start_col + F.col("_lf_off") + F.row_number().over(w)).cast("long"))
             .drop("_lf_range", "_lf_off"))
 
 
+def max_key_col(df: DataFrame, key_col: str) -> Column:
+    """Scalar subquery: largest identity value ``>= 1`` (seeds such as -9 do
+    not count), 0 if none.  Evaluated inside the consuming plan."""
+    return df.agg(F.coalesce(F.max(F.when(F.col(key_col) >= 1, F.col(key_col))),
+                             F.lit(0)).cast("long")).scalar()
+
+
 def max_key(df: DataFrame, key_col: str) -> int:
     """Largest identity value ``>= 1`` (seeds such as -9 do not count); 0 if none."""
     v = df.agg(F.max(F.when(F.col(key_col) >= 1, F.col(key_col)))).first()[0]

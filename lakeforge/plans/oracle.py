@@ -234,3 +234,125 @@ SELECT Name, TotalDiscountAmount FROM (
 ORDER BY TotalDiscountAmount DESC, ProductID LIMIT 1
 """, ["sales_order_detail", "product"]),
 }
+
+
+# --- composition helpers -------------------------------------------------------
+def compose(ctes: list[tuple[str, str]], body: str) -> str:
+    """``WITH`` over named CTEs (first definition of a name wins) + body."""
+    seen, parts = set(), []
+    for name, sql in ctes:
+        if name not in seen:
+            seen.add(name)
+            parts.append(f"{name} AS (\n{sql}\n)")
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+def source_ctes(table: str, days=(1, 2)) -> list[tuple[str, str]]:
+    return [(f"src_{table}_d{d}", src_sql(table, d)) for d in days]
+
+
+# --- Silver (SCD2) ----------------------------------------------------------------
+HIST_TAIL = ["_tf_valid_from", "_tf_valid_to", "_tf_create_date", "_tf_update_date"]
+
+
+def silver_src_cte(table: str, day: int) -> tuple[str, str]:
+    spec = SILVER[table]
+    cols = ", ".join(f"CAST({s} AS {duck_type(t)}) AS {d}" for s, d, t in spec.columns)
+    return f"sv_{table}_d{day}", f"SELECT {cols} FROM src_{table}_d{day}"
+
+
+def _keys_match(table: str, a: str, b: str) -> str:
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in SILVER[table].keys)
+
+
+def _unchanged(table: str, t: str, s: str, null_safe: bool) -> str:
+    spec = SILVER[table]
+    if null_safe:
+        terms = " OR ".join(f"{t}.{c} IS DISTINCT FROM {s}.{c}" for c in spec.tracked)
+    else:
+        terms = " OR ".join(f"{t}.{c} <> {s}.{c}" for c in spec.tracked)
+    return f"NOT COALESCE({terms}, FALSE)"
+
+
+def hist_initial_sql(table: str, src: str, load: str) -> str:
+    spec = SILVER[table]
+    cols = ", ".join(spec.silver_columns)
+    keys = ", ".join(spec.keys)
+    return (f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {keys}) AS BIGINT) AS _tf_id, {cols}, "
+            f"{tsl(load)} AS _tf_valid_from, CAST(NULL AS TIMESTAMP) AS _tf_valid_to, "
+            f"{tsl(load)} AS _tf_create_date, {tsl(load)} AS _tf_update_date FROM {src}")
+
+
+def hist_next_sql(table: str, prev: str, src: str, load: str, null_safe: bool = False,
+                  with_open: bool = True) -> str:
+    """History after loading ``src`` into ``prev``: closed history, kept,
+    closed and (optionally) opened versions, as four independent SELECTs."""
+    spec = SILVER[table]
+    cols = spec.silver_columns
+    tcols = ", ".join(f"t.{c}" for c in cols)
+    scols = ", ".join(f"s.{c}" for c in cols)
+    keys = ", ".join(f"s.{k}" for k in spec.keys)
+    same = f"{_keys_match(table, 't', 's')} AND {_unchanged(table, 't', 's', null_safe)}"
+    parts = [
+        f"SELECT * FROM {prev} WHERE _tf_valid_to IS NOT NULL",
+        f"SELECT t._tf_id, {tcols}, t._tf_valid_from, t._tf_valid_to, t._tf_create_date, "
+        f"t._tf_update_date FROM {prev} t WHERE t._tf_valid_to IS NULL "
+        f"AND EXISTS (SELECT 1 FROM {src} s WHERE {same})",
+        f"SELECT t._tf_id, {tcols}, t._tf_valid_from, {tsl(load)}, t._tf_create_date, "
+        f"{tsl(load)} FROM {prev} t WHERE t._tf_valid_to IS NULL "
+        f"AND NOT EXISTS (SELECT 1 FROM {src} s WHERE {same})",
+    ]
+    if with_open:
+        parts.append(
+            f"SELECT CAST((SELECT COALESCE(MAX(_tf_id), 0) FROM {prev} WHERE _tf_id >= 1) "
+            f"+ ROW_NUMBER() OVER (ORDER BY {keys}) AS BIGINT), {scols}, {tsl(load)}, "
+            f"CAST(NULL AS TIMESTAMP), {tsl(load)}, {tsl(load)} FROM {src} s "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {prev} t WHERE t._tf_valid_to IS NULL AND {same})")
+    return "\nUNION ALL\n".join(parts)
+
+
+LOAD_SQL = {1: "2024-01-01 06:00:00", 2: "2024-01-02 06:00:00", 3: "2024-01-03 06:00:00"}
+
+
+def silver_chain(table: str, days: int = 2, null_safe: bool = False) -> tuple[list, str]:
+    """CTEs building the Silver history of ``table`` after ``days`` loads."""
+    tag = "_ns" if null_safe else ""
+    ctes = source_ctes(table, tuple(range(1, days + 1)))
+    prev = None
+    for day in range(1, days + 1):
+        ctes.append(silver_src_cte(table, day))
+        name = f"h_{table}{tag}_d{day}"
+        sv = f"sv_{table}_d{day}"
+        sql = (hist_initial_sql(table, sv, LOAD_SQL[day]) if prev is None
+               else hist_next_sql(table, prev, sv, LOAD_SQL[day], null_safe))
+        ctes.append((name, sql))
+        prev = name
+    return ctes, prev
+
+
+def _silver_sql() -> dict[str, str]:
+    out = {}
+    ctes, h1 = silver_chain("address", 1)
+    out["scd2_initial_address"] = compose(ctes, f"SELECT * FROM {h1}")
+    ctes, h1 = silver_chain("address", 1)
+    ctes = source_ctes("address", (1, 2)) + ctes + [silver_src_cte("address", 2)]
+    out["scd2_close_address"] = compose(
+        ctes, "SELECT * FROM (" + hist_next_sql("address", h1, "sv_address_d2", LOAD_SQL[2],
+                                                 with_open=False) + ") x")
+    ctes2, h2 = silver_chain("address", 2)
+    out["scd2_open_address"] = compose(ctes2, f"SELECT * FROM {h2}")
+    for t in SILVER:
+        c, h = silver_chain(t, 2)
+        out[f"scd2_{t}"] = compose(c, f"SELECT * FROM {h}")
+    out["scd2_noop_rerun"] = compose(
+        ctes2, "SELECT * FROM (" + hist_next_sql("address", h2, "sv_address_d2", LOAD_SQL[3]) + ") x")
+    c, h = silver_chain("address", 2, null_safe=True)
+    out["scd2_null_safe"] = compose(c, f"SELECT * FROM {h}")
+    out["scd2_null_blind"] = compose(ctes2, f"""
+SELECT t.address_id, s.address_line2 AS source_address_line2, t._tf_id, t._tf_valid_from
+FROM {h2} t JOIN sv_address_d2 s ON t.address_id = s.address_id
+WHERE t._tf_valid_to IS NULL AND t.address_line2 IS NULL AND s.address_line2 IS NOT NULL""")
+    return out
+
+
+SILVER_SQL = _silver_sql()

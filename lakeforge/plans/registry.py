@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import bi, oracle
+from . import bi, oracle, silver
 
 
 def queries() -> dict:
     out = {}
     out.update(bi.QUERIES)
+    out.update(silver.QUERIES)
     return out
 
 
 def oracle_sql() -> dict:
     out = {}
     out.update(oracle.BI_SQL)
+    out.update(oracle.SILVER_SQL)
     return out

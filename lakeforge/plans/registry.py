@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bi, oracle, silver
+from . import bi, gold, oracle, silver
 
 
 def queries() -> dict:
     out = {}
     out.update(bi.QUERIES)
     out.update(silver.QUERIES)
+    out.update(gold.QUERIES)
     return out
 
 
@@ -16,4 +17,5 @@ def oracle_sql() -> dict:
     out = {}
     out.update(oracle.BI_SQL)
     out.update(oracle.SILVER_SQL)
+    out.update(oracle.GOLD_SQL)
     return out

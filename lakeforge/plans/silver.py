@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..contracts import SILVER, VALID_TO
 from ..operators.merge import empty_history, scd2_close, scd2_load, scd2_open
 from ..operators.projection import to_silver
-from ..sources.fixtures import LOAD_1, LOAD_2, snapshot
+from ..session import cut_lineage
+from ..sources.fixtures import LOAD_1, LOAD_2, row_bound, snapshot
 
 LOADS = {1: LOAD_1, 2: LOAD_2}
 LOAD_3 = "2024-01-03 06:00:00"
@@ -21,18 +22,23 @@ def silver_source(spark: SparkSession, d: str, table: str, day: int) -> DataFram
 
 
 def load(target: DataFrame, source: DataFrame, table: str, load_date,
-         null_safe: bool = False) -> DataFrame:
+         null_safe: bool = False, source_rows: int | None = None) -> DataFrame:
     spec = SILVER[table]
-    return scd2_load(target, source, spec.keys, spec.tracked, load_date, null_safe)
+    return scd2_load(target, source, spec.keys, spec.tracked, load_date, null_safe,
+                     source_rows=source_rows)
 
 
 def history(spark: SparkSession, d: str, table: str, days: int = 2,
             null_safe: bool = False) -> DataFrame:
-    """Silver history after loading day 1 .. ``days`` into an empty table."""
+    """Silver history after loading day 1 .. ``days`` into an empty table.
+    Each load's result is checkpointed, as the scheduled run stores the
+    table between loads, so the next load starts from stored data."""
     h = None
+    bound = row_bound(spark, d, table)
     for day in range(1, days + 1):
         src = silver_source(spark, d, table, day)
-        h = load(empty_history(src) if h is None else h, src, table, LOADS[day], null_safe)
+        h = load(empty_history(src) if h is None else h, src, table, LOADS[day], null_safe, bound)
+        h = cut_lineage(h)
     return h
 
 
@@ -54,14 +60,16 @@ def scd2_close_address(spark, d):
 def scd2_open_address(spark, d):
     spec = SILVER["address"]
     src2 = silver_source(spark, d, "address", 2)
-    closed = scd2_close(history(spark, d, "address", 1), src2, spec.keys, spec.tracked, LOAD_2)
-    return scd2_open(closed, src2, spec.keys, LOAD_2)
+    closed = cut_lineage(scd2_close(history(spark, d, "address", 1), src2, spec.keys,
+                                    spec.tracked, LOAD_2))
+    return scd2_open(closed, src2, spec.keys, LOAD_2, source_rows=row_bound(spark, d, "address"))
 
 
 def scd2_noop_rerun(spark, d):
     """Loading the day-2 snapshot a second time changes nothing (G4: no NULL keys)."""
     h2 = history(spark, d, "address", 2)
-    return load(h2, silver_source(spark, d, "address", 2), "address", LOAD_3)
+    return load(h2, silver_source(spark, d, "address", 2), "address", LOAD_3,
+                source_rows=row_bound(spark, d, "address"))
 
 
 def scd2_null_safe(spark, d):

@@ -21,6 +21,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
@@ -51,3 +52,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="lakeforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and return a frame
+    reading it back: later plans start from the stored result instead of
+    re-running (and re-planning) its whole lineage.  Reliable checkpoint,
+    so a lost executor does not lose the data."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+_ROW_COUNTS: dict = {}
+
+
+def table_rows(spark: SparkSession, path: str) -> int:
+    """Row count of a stored table, remembered per (path, size, mtime): an
+    upper bound that saves count jobs when the same input is reused."""
+    try:
+        st = os.stat(path)
+        stamp = (st.st_size, st.st_mtime)
+    except OSError:
+        stamp = None
+    key = (path, stamp)
+    if stamp is None or key not in _ROW_COUNTS:
+        _ROW_COUNTS[key] = spark.read.parquet(path).count()
+    return _ROW_COUNTS[key]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import SILVER
 from ..operators.keys import assign_keys
+from ..session import table_rows
 from .tables import read_table
 
 # --- fixed values: fixture timestamps and load times ---------------------
@@ -155,15 +156,36 @@ def src_salesorderdetail(spark: SparkSession, d: str) -> DataFrame:
     return _finish(out, "sales_order_detail")
 
 
-def _dense_ids(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """Dense rank over the distinct values of ``cols`` (scale-safe numbering)."""
-    return assign_keys(df.select(*cols).distinct(), cols, key)
+def _dense_ids(df: DataFrame, cols: list[str], key: str, bound: int) -> DataFrame:
+    """Dense rank over the distinct values of ``cols`` (scale-safe numbering;
+    ``bound`` = rows of the table the values come from)."""
+    return assign_keys(df.select(*cols).distinct(), cols, key, bound=bound)
+
+
+def _part_rows(spark: SparkSession, d: str) -> int:
+    return table_rows(spark, f"{d.rstrip('/')}/part.parquet")
+
+
+# Upper bound of rows of each source frame: (given table, rows per given row).
+ROW_BASIS = {
+    "address": ("customer", 1), "customer": ("customer", 1),
+    "customer_address": ("customer", 1), "sales_order_header": ("orders", 1),
+    "sales_order_detail": ("lineitem", 1), "product_category": ("part", 2),
+    "product_model": ("part", 1), "product_description": ("part", 2),
+    "product_model_product_description": ("part", 2), "product": ("part", 1),
+}
+
+
+def row_bound(spark: SparkSession, d: str, table: str) -> int:
+    """Upper bound of the row count of the source frame of ``table``."""
+    base, per = ROW_BASIS[table]
+    return per * table_rows(spark, f"{d.rstrip('/')}/{base}.parquet")
 
 
 def src_productcategory(spark: SparkSession, d: str) -> DataFrame:
     p = read_table(spark, d, "part", "p_type", "p_brand")
-    roots = _dense_ids(p, ["p_type"], "root_id")
-    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank")
+    roots = _dense_ids(p, ["p_type"], "root_id", _part_rows(spark, d))
+    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank", _part_rows(spark, d))
     root_rows = roots.select(
         F.col("root_id").alias("ProductCategoryID"),
         F.lit(None).cast("int").alias("ParentProductCategoryID"),
@@ -179,7 +201,8 @@ def src_productcategory(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _models(spark: SparkSession, d: str) -> DataFrame:
-    return _dense_ids(read_table(spark, d, "part", "p_name"), ["p_name"], "model_id")
+    return _dense_ids(read_table(spark, d, "part", "p_name"), ["p_name"], "model_id",
+                      _part_rows(spark, d))
 
 
 def src_productmodel(spark: SparkSession, d: str) -> DataFrame:
@@ -224,7 +247,7 @@ def src_productmodelproductdescription(spark: SparkSession, d: str) -> DataFrame
 def src_product(spark: SparkSession, d: str) -> DataFrame:
     p = read_table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size",
                    "p_retailprice")
-    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank")
+    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank", _part_rows(spark, d))
     models = _models(spark, d)
     k = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(19,4)")

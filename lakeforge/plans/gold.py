@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +56,7 @@ def dim_calendar_range(spark: SparkSession, start: str = CAL_START, end: str = C
     """One row per day from ``start`` to ``end`` inclusive (10,959 rows for
     the default range).  Rows are generated by a ranged ``spark.range`` over
     the day offsets, so they are spread over tasks, not exploded in one."""
-    n_days = spark.sql(f"SELECT datediff(DATE'{end}', DATE'{start}') AS n").first()[0]
+    n_days = (dt.date.fromisoformat(end) - dt.date.fromisoformat(start)).days
     days = spark.range(0, n_days + 1).select(
         F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("d"))
     return calendar_from_dates(days, "d", load_date)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bi, gold, oracle, silver
+from . import bi, checks, gold, oracle, silver
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
     out.update(bi.QUERIES)
     out.update(silver.QUERIES)
     out.update(gold.QUERIES)
+    out.update(checks.QUERIES)
     return out
 
 
@@ -18,4 +19,5 @@ def oracle_sql() -> dict:
     out.update(oracle.BI_SQL)
     out.update(oracle.SILVER_SQL)
     out.update(oracle.GOLD_SQL)
+    out.update(oracle.CHECKS_SQL)
     return out

@@ -672,3 +672,31 @@ WHERE NOT EXISTS (SELECT 1 FROM {spec.name}_d2 y WHERE y.{spec.surrogate} = x.{s
 
 
 CHECKS_SQL = _checks_sql()
+
+
+# --- sources, sinks and the layered run ------------------------------------------------------
+def _run_sql() -> dict[str, str]:
+    out = {}
+    ctes = [c for t in SILVER for c in source_ctes(t, (1,))]
+    out["bronze_snapshot"] = compose(ctes, "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM src_{t}_d1" for t in SILVER))
+    out["csv_round_trip"] = compose(source_ctes("address", (1,)), "SELECT * FROM src_address_d1")
+    all_ctes: list = []
+    parts = []
+    for t in SILVER:
+        c, h = silver_chain(t, 2)
+        all_ctes += c
+        parts.append(f"SELECT 'bronze' AS layer, '{t}' AS table_name, COUNT(*) AS n_rows FROM src_{t}_d2")
+        parts.append(f"SELECT 'silver', '{t}', COUNT(*) FROM {h}")
+    for spec in (GEOGRAPHY, CUSTOMER, PRODUCT_CATEGORY, PRODUCT):
+        c, last = dim_chain(spec)
+        all_ctes += c
+        parts.append(f"SELECT 'gold', '{spec.name}', COUNT(*) FROM {last}")
+    c, f = fact_chain()
+    all_ctes += c
+    parts.append(f"SELECT 'gold', 'fact_sales', COUNT(*) FROM {f}")
+    out["layered_run"] = compose(all_ctes, "\nUNION ALL\n".join(parts))
+    return out
+
+
+RUN_SQL = _run_sql()

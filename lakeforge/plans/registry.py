@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bi, checks, gold, oracle, silver
+from . import bi, checks, gold, oracle, run, silver
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
     out.update(silver.QUERIES)
     out.update(gold.QUERIES)
     out.update(checks.QUERIES)
+    out.update(run.QUERIES)
     return out
 
 
@@ -20,4 +21,5 @@ def oracle_sql() -> dict:
     out.update(oracle.SILVER_SQL)
     out.update(oracle.GOLD_SQL)
     out.update(oracle.CHECKS_SQL)
+    out.update(oracle.RUN_SQL)
     return out

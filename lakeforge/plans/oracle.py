@@ -700,3 +700,46 @@ def _run_sql() -> dict[str, str]:
 
 
 RUN_SQL = _run_sql()
+
+
+# --- machine learning (oracle-expressible parts) ---------------------------------------------
+ML_PREPARED = r"""SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, d.doc_id AS id_num,
+  CAST(CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE d.n_chars END AS DOUBLE) AS n_chars,
+  CAST(CASE WHEN d.doc_id % 7 = 0 THEN NULL
+       ELSE len(string_split_regex(trim(d.text), '\s+')) END AS DOUBLE) AS n_words,
+  CASE WHEN d.doc_id % 11 = 0 THEN NULL ELSE d.lang END AS lang, d.source,
+  CAST(l.toxic AS INT) AS toxic, CAST(l.quality AS INT) AS quality
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+def _ml_sql() -> dict[str, str]:
+    out = {}
+    out["ml_prepare"] = compose([("p", ML_PREPARED)],
+                                "SELECT doc_id, n_chars, n_words, lang, source, toxic, quality FROM p")
+    tr = [("p", ML_PREPARED), ("train", "SELECT * FROM p WHERE id_num % 5 <> 0")]
+    out["ml_mean_impute"] = compose(tr, """
+SELECT doc_id, round(COALESCE(n_chars, (SELECT avg(n_chars) FROM train)), 6) AS n_chars_imputed,
+       round(COALESCE(n_words, (SELECT avg(n_words) FROM train)), 6) AS n_words_imputed FROM train""")
+    freq = tr + [("vals", """
+SELECT 'lang' AS column_name, lang AS value FROM train
+UNION ALL SELECT 'source', source FROM train
+UNION ALL SELECT 'toxic', CAST(toxic AS VARCHAR) FROM train"""),
+                 ("freq", """SELECT column_name, value, COUNT(*) AS n FROM vals
+WHERE value IS NOT NULL GROUP BY column_name, value"""),
+                 ("idx", """
+SELECT column_name, value,
+  CAST(ROW_NUMBER() OVER (PARTITION BY column_name ORDER BY n DESC, value) - 1 AS INT) AS category_index,
+  COUNT(*) OVER (PARTITION BY column_name) AS n_labels FROM freq
+UNION ALL
+SELECT column_name, NULL, CAST((SELECT COUNT(*) FROM freq f WHERE f.column_name = v.column_name) AS INT),
+  (SELECT COUNT(*) FROM freq f WHERE f.column_name = v.column_name)
+FROM (SELECT DISTINCT column_name FROM vals WHERE value IS NULL) v""")]
+    out["ml_category_index"] = compose(freq, "SELECT column_name, value, category_index FROM idx")
+    out["ml_one_hot_slots"] = compose(freq, """
+SELECT column_name, value,
+  CASE WHEN category_index < n_labels THEN category_index END AS one_hot_slot,
+  CAST(n_labels AS INT) AS one_hot_size FROM idx""")
+    return out
+
+
+ML_SQL = _ml_sql()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bi, checks, gold, oracle, run, silver
+from . import bi, checks, gold, ml, oracle, run, silver
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
     out.update(gold.QUERIES)
     out.update(checks.QUERIES)
     out.update(run.QUERIES)
+    out.update(ml.QUERIES)
     return out
 
 
@@ -22,4 +23,5 @@ def oracle_sql() -> dict:
     out.update(oracle.GOLD_SQL)
     out.update(oracle.CHECKS_SQL)
     out.update(oracle.RUN_SQL)
+    out.update(oracle.ML_SQL)
     return out

@@ -26,3 +26,19 @@ def any_changed(pairs: list[tuple[Column, Column]], null_safe: bool = False) ->
 
 def any_null(cols: list[str]) -> Column:
     return functools.reduce(lambda x, y: x | y, [F.col(c).isNull() for c in cols])
+
+
+def q(name: str) -> str:
+    """Backtick-quote a column name for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def any_changed_sql(pairs: list[tuple[str, str]], null_safe: bool = False) -> str:
+    """SQL text of :func:`any_changed` over (left, right) column names."""
+    if not pairs:
+        return "false"
+    if null_safe:
+        terms = [f"NOT ({q(a)} <=> {q(b)})" for a, b in pairs]
+    else:
+        terms = [f"{q(a)} != {q(b)}" for a, b in pairs]
+    return "coalesce(" + " OR ".join(terms) + ", false)"

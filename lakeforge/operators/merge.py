@@ -28,12 +28,17 @@ from pyspark.sql import functions as F
 
 from ..contracts import CREATE_DATE, ID, UPDATE_DATE, VALID_FROM, VALID_TO
 from ..functions.dates import ts_lit
-from ..functions.predicates import any_changed, any_null
+from ..functions.predicates import any_changed_sql, any_null, q
 from .keys import assign_keys, max_key_col
 
 _S = "_lf_s_"
 
 
+def _ts_sql(load_date) -> str:
+    """SQL literal of a load time (TIMESTAMP_NTZ)."""
+    return f"TIMESTAMP_NTZ '{load_date}'"
+
+
 def history_columns(source_columns: list[str], id_col: str = ID) -> list[str]:
     return [id_col, *source_columns, VALID_FROM, VALID_TO, CREATE_DATE, UPDATE_DATE]
 
@@ -71,6 +76,7 @@ def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], trac
     """The merged *active* part after a load, before ids of new versions are
     assigned (their ``id_col`` is NULL).  Closed history is not included."""
     t = ts_lit(load_date)
+    tl = _ts_sql(load_date)
     data_cols = list(source.columns)
     active = target.filter(F.col(VALID_TO).isNull())
     nk = any_null(keys)
@@ -78,34 +84,33 @@ def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], trac
     s_ok, s_null = source.filter(~nk), source.filter(nk)
     s_ok = assert_unique_keys(s_ok, keys)
 
-    s = s_ok.select(*[F.col(c).alias(_S + c) for c in data_cols], F.lit(True).alias("_lf_sp"))
+    s = s_ok.selectExpr(*[f"{q(c)} AS {q(_S + c)}" for c in data_cols], "true AS _lf_sp")
     a = a_ok.withColumn("_lf_tp", F.lit(True))
     j = a.join(s, [a[k] == s[_S + k] for k in keys], "full_outer")
-    t_in, s_in = F.col("_lf_tp").isNotNull(), F.col("_lf_sp").isNotNull()
-    changed = any_changed([(F.col(c), F.col(_S + c)) for c in tracked], null_safe)
-    both_changed = [F.lit("close"), F.lit("open")] if include_open else [F.lit("close")]
-    actions = (F.when(t_in & s_in & changed, F.array(*both_changed))
-               .when(t_in & s_in, F.array(F.lit("keep")))
-               .when(t_in, F.array(F.lit("close")))
-               .otherwise(F.array(*([F.lit("open")] if include_open else []))))
-    x = j.withColumn("_lf_act", F.explode(actions))
-    is_open, is_close = F.col("_lf_act") == "open", F.col("_lf_act") == "close"
-    merged = x.select(
-        F.when(is_open, F.lit(None).cast("long")).otherwise(F.col(id_col)).alias(id_col),
-        *[F.when(is_open, F.col(_S + c)).otherwise(F.col(c)).alias(c) for c in data_cols],
-        F.when(is_open, t).otherwise(F.col(VALID_FROM)).alias(VALID_FROM),
-        F.when(is_close, t).when(is_open, F.lit(None)).otherwise(F.col(VALID_TO))
-        .cast("timestamp_ntz").alias(VALID_TO),
-        F.when(is_open, t).otherwise(F.col(CREATE_DATE)).alias(CREATE_DATE),
-        F.when(is_open | is_close, t).otherwise(F.col(UPDATE_DATE)).alias(UPDATE_DATE))
+    changed = any_changed_sql([(c, _S + c) for c in tracked], null_safe)
+    close_open = "array('close', 'open')" if include_open else "array('close')"
+    only_s = "array('open')" if include_open else "array()"
+    actions = (f"CASE WHEN _lf_tp AND _lf_sp AND {changed} THEN {close_open} "
+               f"WHEN _lf_tp AND _lf_sp THEN array('keep') WHEN _lf_tp THEN array('close') "
+               f"ELSE CAST({only_s} AS array<string>) END")
+    x = j.selectExpr("*", f"explode({actions}) AS _lf_act")
+    is_open, is_close = "_lf_act = 'open'", "_lf_act = 'close'"
+    merged = x.selectExpr(
+        f"CASE WHEN {is_open} THEN CAST(NULL AS BIGINT) ELSE {q(id_col)} END AS {q(id_col)}",
+        *[f"CASE WHEN {is_open} THEN {q(_S + c)} ELSE {q(c)} END AS {q(c)}" for c in data_cols],
+        f"CASE WHEN {is_open} THEN {tl} ELSE {VALID_FROM} END AS {VALID_FROM}",
+        f"CASE WHEN {is_close} THEN {tl} WHEN {is_open} THEN CAST(NULL AS TIMESTAMP_NTZ) "
+        f"ELSE {VALID_TO} END AS {VALID_TO}",
+        f"CASE WHEN {is_open} THEN {tl} ELSE {CREATE_DATE} END AS {CREATE_DATE}",
+        f"CASE WHEN {is_open} OR {is_close} THEN {tl} ELSE {UPDATE_DATE} END AS {UPDATE_DATE}")
 
     closed_null = a_null.withColumn(VALID_TO, t).withColumn(UPDATE_DATE, t)
     out = merged.unionByName(closed_null.select(*merged.columns))
     if include_open:
-        opened_null = s_null.select(
-            F.lit(None).cast("long").alias(id_col), *data_cols,
-            t.alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
-            t.alias(CREATE_DATE), t.alias(UPDATE_DATE))
+        opened_null = s_null.selectExpr(
+            f"CAST(NULL AS BIGINT) AS {q(id_col)}", *[q(c) for c in data_cols],
+            f"{tl} AS {VALID_FROM}", f"CAST(NULL AS TIMESTAMP_NTZ) AS {VALID_TO}",
+            f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}")
         out = out.unionByName(opened_null)
     return out
 
@@ -157,7 +162,7 @@ def scd2_open(target: DataFrame, source: DataFrame, keys: list[str], load_date,
     return target.select(*cols).unionByName(new.select(*cols))
 
 
-def scd1_upsert(target: DataFrame, source: DataFrame, key: str, compared: list[str],
+def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
                 surrogate: str, load_date, null_safe: bool = False,
                 source_rows: int | None = None) -> DataFrame:
     """SCD type 1 upsert (M4/M5): matched and any compared column differs →
@@ -167,25 +172,25 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key: str, compared: list[s
 
     ``key`` may be a list of columns (fact grain).  NULL keys never match.
     """
-    t = ts_lit(load_date)
+    tl = _ts_sql(load_date)
     keys = [key] if isinstance(key, str) else list(key)
     data_cols = keys + [c for c in compared if c not in keys]
     out_cols = [surrogate, *data_cols, CREATE_DATE, UPDATE_DATE]
     nk = any_null(keys)
     src_ok = assert_unique_keys(source.filter(~nk), keys)
-    s = src_ok.select(*[F.col(c).alias(_S + c) for c in data_cols], F.lit(True).alias("_lf_sp"))
+    s = src_ok.selectExpr(*[f"{q(c)} AS {q(_S + c)}" for c in data_cols], "true AS _lf_sp")
     tg = target.select(*out_cols).withColumn("_lf_tp", F.lit(True))
     j = tg.join(s, [tg[k] == s[_S + k] for k in keys], "full_outer")
-    t_in, s_in = F.col("_lf_tp").isNotNull(), F.col("_lf_sp").isNotNull()
-    changed = any_changed([(F.col(c), F.col(_S + c)) for c in compared], null_safe)
-    upd = t_in & s_in & changed
-    merged = j.select(
-        F.col(surrogate),
-        *[F.when(upd | ~t_in, F.col(_S + c)).otherwise(F.col(c)).alias(c) for c in data_cols],
-        F.when(~t_in, t).otherwise(F.col(CREATE_DATE)).alias(CREATE_DATE),
-        F.when(upd | ~t_in, t).otherwise(F.col(UPDATE_DATE)).alias(UPDATE_DATE))
-    null_new = source.filter(nk).select(F.lit(None).cast("long").alias(surrogate), *data_cols,
-                                        t.alias(CREATE_DATE), t.alias(UPDATE_DATE))
+    changed = any_changed_sql([(c, _S + c) for c in compared], null_safe)
+    take_s = f"(_lf_tp IS NULL OR (_lf_sp IS NOT NULL AND {changed}))"
+    merged = j.selectExpr(
+        q(surrogate),
+        *[f"CASE WHEN {take_s} THEN {q(_S + c)} ELSE {q(c)} END AS {q(c)}" for c in data_cols],
+        f"CASE WHEN _lf_tp IS NULL THEN {tl} ELSE {CREATE_DATE} END AS {CREATE_DATE}",
+        f"CASE WHEN {take_s} THEN {tl} ELSE {UPDATE_DATE} END AS {UPDATE_DATE}")
+    null_new = source.filter(nk).selectExpr(
+        f"CAST(NULL AS BIGINT) AS {q(surrogate)}", *[q(c) for c in data_cols],
+        f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}")
     merged = merged.unionByName(null_new)
     bound = source_rows if source_rows is not None else source.count()
     new = assign_keys(merged.filter(F.col(surrogate).isNull()).drop(surrogate), data_cols,

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import SilverTable
+from ..functions.predicates import q
 
 
 def rename(df: DataFrame, mapping: dict[str, str], types: dict[str, str] | None = None) -> DataFrame:
     """Select and rename ``source -> target`` columns, optionally casting to
     the target type; columns not in the mapping are dropped."""
     types = types or {}
-    return df.select(*[
-        (F.col(src).cast(types[dst]) if dst in types else F.col(src)).alias(dst)
+    return df.selectExpr(*[
+        (f"CAST({q(src)} AS {types[dst]}) AS {q(dst)}" if dst in types else f"{q(src)} AS {q(dst)}")
         for src, dst in mapping.items()])
 
 

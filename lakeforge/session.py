@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,12 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and return a frame
-    reading it back: later plans start from the stored result instead of
-    re-running (and re-planning) its whole lineage.  Reliable checkpoint,
-    so a lost executor does not lose the data."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and return a frame reading it back: later plans start from the stored
+    result instead of re-running (and re-planning) its whole lineage.  The
+    data sits on shared storage, so a lost executor does not lose it, and
+    readers get column pruning and filter pushdown (an RDD checkpoint gives
+    neither)."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/lakeforge-stage-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 _ROW_COUNTS: dict = {}

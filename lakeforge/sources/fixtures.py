@@ -42,7 +42,7 @@ def _null_if(cond: Column, value: Column) -> Column:
 def _finish(df: DataFrame, table: str) -> DataFrame:
     """Cast to the source types of the contract, in contract order."""
     spec = SILVER[table]
-    return df.select(*[F.col(src).cast(typ).alias(src) for src, _, typ in spec.columns])
+    return df.selectExpr(*[f"CAST({src} AS {typ}) AS {src}" for src, _, typ in spec.columns])
 
 
 def src_address(spark: SparkSession, d: str) -> DataFrame:
@@ -326,19 +326,19 @@ def day2_snapshot(day1: DataFrame, table: str) -> DataFrame:
     spec = SILVER[table]
     key = spec.source_key
     types = {src: typ for src, _, typ in spec.columns}
-    idc = F.col(key)
-    df = day1.filter(idc % DELETE_MOD != 0)
+    df = day1.filter(f"{key} % {DELETE_MOD} != 0")
     ucol, uexpr = DAY2_UPDATE[table]
-    upd = idc % UPDATE_MOD == UPDATE_REM
-    cols = {c: F.col(c) for c in df.columns}
-    cols[ucol] = F.when(upd, F.expr(uexpr).cast(types[ucol])).otherwise(F.col(ucol))
-    cols["ModifiedDate"] = F.when(upd, ts(D2)).otherwise(F.col("ModifiedDate"))
+    upd = f"{key} % {UPDATE_MOD} = {UPDATE_REM}"
+    cols = {c: c for c in df.columns}
+    cols[ucol] = f"CASE WHEN {upd} THEN CAST({uexpr} AS {types[ucol]}) ELSE {ucol} END"
+    cols["ModifiedDate"] = f"CASE WHEN {upd} THEN TIMESTAMP_NTZ '{D2}' ELSE ModifiedDate END"
     if table in DAY2_FILL:
         fcol, fexpr = DAY2_FILL[table]
-        fill = (idc % FILL_MOD == FILL_REM) & F.col(fcol).isNull()
-        cols[fcol] = F.when(fill, F.expr(fexpr).cast(types[fcol])).otherwise(cols[fcol])
-    cols[key] = F.when(idc % REKEY_MOD == REKEY_REM, idc + REKEY_SHIFT).otherwise(idc).cast(types[key])
-    return df.select(*[cols[c].alias(c) for c in df.columns])
+        cols[fcol] = (f"CASE WHEN {key} % {FILL_MOD} = {FILL_REM} AND {fcol} IS NULL "
+                      f"THEN CAST({fexpr} AS {types[fcol]}) ELSE {cols[fcol]} END")
+    cols[key] = (f"CAST(CASE WHEN {key} % {REKEY_MOD} = {REKEY_REM} THEN {key} + {REKEY_SHIFT} "
+                 f"ELSE {key} END AS {types[key]})")
+    return df.selectExpr(*[f"{cols[c]} AS {c}" for c in df.columns])
 
 
 def snapshot(spark: SparkSession, d: str, table: str, day: int = 1) -> DataFrame:

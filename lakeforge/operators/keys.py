@@ -60,7 +60,7 @@ def _sort_key(row) -> tuple:
 def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | Column = 0, *,
                 bound: int | None = None, sample_from: DataFrame | None = None,
                 single_task_rows: int = SINGLE_TASK_ROWS,
-                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                rows_per_range: int = ROWS_PER_RANGE, keep_range: bool = False) -> DataFrame:
     """Add ``key_col = start + row_number() over (order by order_by)`` as BIGINT.
 
     ``start`` may be a scalar-subquery Column (e.g. the current max id), so
@@ -78,7 +78,8 @@ def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | C
     if n <= single_task_rows:
         # Proven small: one window task numbers at most ``single_task_rows`` rows.
         w = Window.orderBy(*order_cols)
-        return df.withColumn(key_col, (start_col + F.row_number().over(w)).cast("long"))
+        out = df.withColumn(key_col, (start_col + F.row_number().over(w)).cast("long"))
+        return out.withColumn("_lf_range", F.lit(0)) if keep_range else out
 
     ranges = min(MAX_RANGES, max(2, math.ceil(n / rows_per_range)))
     base = sample_from if sample_from is not None else df
@@ -101,9 +102,49 @@ def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | C
                .withColumn("_lf_off", F.sum("_lf_n").over(Window.orderBy("_lf_range")) - F.col("_lf_n"))
                .select("_lf_range", "_lf_off"))
     w = Window.partitionBy("_lf_range").orderBy(*order_cols)
-    return (ranged.join(F.broadcast(offsets), "_lf_range")
-            .withColumn(key_col, (start_col + F.col("_lf_off") + F.row_number().over(w)).cast("long"))
-            .drop("_lf_range", "_lf_off"))
+    out = (ranged.join(F.broadcast(offsets), "_lf_range")
+           .withColumn(key_col, (start_col + F.col("_lf_off") + F.row_number().over(w)).cast("long"))
+           .drop("_lf_off"))
+    return out if keep_range else out.drop("_lf_range")
+
+
+def number_within_groups(df: DataFrame, group_by: list[str], order_by: list[str], out_col: str, *,
+                         bound: int | None = None, single_task_rows: int = SINGLE_TASK_ROWS,
+                         rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``row_number() over (partition by group_by order by order_by)`` that
+    never gathers one group into one task.
+
+    Rows are numbered globally over (group, order) by :func:`assign_keys`,
+    whose key ranges split a hot group over several tasks.  A row's number
+    in its group is ``global - start_of_group + 1``; the start is the
+    smallest global number of the group inside the row's range (a window on
+    (range, group), bounded by the range size), corrected for the groups that
+    span several ranges.  Only the first and last group of each range can
+    span ranges, so the correction table has at most two rows per range and
+    is broadcast.
+    """
+    order_cols = [F.col(c).asc_nulls_first() for c in order_by]
+    n = bound if bound is not None else df.count()
+    if n <= single_task_rows:
+        # Proven small: no group can hold more than ``single_task_rows`` rows.
+        w = Window.partitionBy(*group_by).orderBy(*order_cols)
+        return df.withColumn(out_col, F.row_number().over(w))
+    g = assign_keys(df, list(group_by) + list(order_by), "_lf_gid", 0, bound=n,
+                    single_task_rows=single_task_rows, rows_per_range=rows_per_range,
+                    keep_range=True)
+    x = g.withColumn("_lf_lstart", F.min("_lf_gid").over(Window.partitionBy("_lf_range", *group_by)))
+    edge = F.struct(*[F.col(c) for c in group_by], F.col("_lf_lstart").alias("_lf_lstart"))
+    ends = (x.groupBy("_lf_range").agg(F.min(edge).alias("a"), F.max(edge).alias("b"))
+            .select(F.explode(F.array("a", "b")).alias("e")).select("e.*")
+            .groupBy(*group_by).agg(F.min("_lf_lstart").alias("_lf_gstart")))
+    ends = ends.select(*[F.col(c).alias(f"_lf_e_{c}") for c in group_by], "_lf_gstart")
+    cond = [x[c].eqNullSafe(ends[f"_lf_e_{c}"]) for c in group_by]
+    # ``ends`` holds at most 2 rows per range (bounded by MAX_RANGES): broadcast
+    j = x.join(F.broadcast(ends), cond, "left")
+    start = F.coalesce(F.col("_lf_gstart"), F.col("_lf_lstart"))
+    return (j.withColumn(out_col, (F.col("_lf_gid") - start + 1).cast("int"))
+            .drop("_lf_gid", "_lf_range", "_lf_lstart", "_lf_gstart",
+                  *[f"_lf_e_{c}" for c in group_by]))
 
 
 def max_key_col(df: DataFrame, key_col: str) -> Column:

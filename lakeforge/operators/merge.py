@@ -23,7 +23,7 @@ key)`` from :func:`assign_keys`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import CREATE_DATE, ID, UPDATE_DATE, VALID_FROM, VALID_TO
@@ -54,13 +54,14 @@ def empty_history(source: DataFrame, id_col: str = ID) -> DataFrame:
 
 def assert_unique_keys(source: DataFrame, keys: list[str], what: str = "source") -> DataFrame:
     """Fail the job if a non-NULL key occurs twice (merge cardinality rule,
-    G20).  Checked inside the plan: the window is clustered on the key, the
-    same distribution the following merge join needs."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    G20).  The largest per-key row count is a scalar subquery of an
+    aggregate over the key columns only (map-side partial counts, so even a
+    key holding a third of the rows is counted without gathering it), and
+    is checked before the merge consumes the source."""
+    most = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lf_n"))
+            .agg(F.coalesce(F.max("_lf_n"), F.lit(0))).scalar())
     msg = f"merge {what} has several rows for one key ({', '.join(keys)})"
-    return (source.withColumn("_lf_n", n)
-            .filter(F.when(F.col("_lf_n") > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
-            .drop("_lf_n"))
+    return source.filter(F.when(most > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
 
 
 def _number_new(rows: DataFrame, keys: list[str], data_cols: list[str], start: Column,

@@ -8,11 +8,11 @@ tables, so its work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import SILVER
-from ..operators.keys import assign_keys
+from ..operators.keys import assign_keys, number_within_groups
 from ..session import table_rows
 from .tables import read_table
 
@@ -140,11 +140,13 @@ DETAIL_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quant
 
 def src_salesorderdetail(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", "l_orderkey", *DETAIL_ORDER)
-    w = Window.partitionBy("l_orderkey").orderBy(*DETAIL_ORDER)
+    # line number per order; a hot order is split over tasks at scale
+    li = number_within_groups(li, ["l_orderkey"], DETAIL_ORDER, "SalesOrderDetailID",
+                              bound=table_rows(spark, f"{d.rstrip('/')}/lineitem.parquet"))
     price = F.col("l_extendedprice")
     out = li.select(
         (F.col("l_orderkey") + 1).alias("SalesOrderID"),
-        F.row_number().over(w).alias("SalesOrderDetailID"),
+        "SalesOrderDetailID",
         F.col("l_quantity").alias("OrderQty"),
         (F.col("l_partkey") + 1).alias("ProductID"),
         price.cast("decimal(19,4)").alias("UnitPrice"),

@@ -43,3 +43,24 @@ def test_scalar_start_and_checks(spark):
     t = spark.createDataFrame([(-9,), (4,), (7,)], "id long")
     assert t.select(max_key_col(t, "id").alias("m")).first().m == 7
     assert check_unique(spark.createDataFrame([(1,), (1,), (2,)], "k int"), ["k"]).count() == 1
+
+
+def _rn(rows):
+    out, seen = {}, {}
+    key = lambda r: tuple((v is not None, v) for v in r)
+    for r in sorted(rows, key=key):
+        seen[r[0]] = seen.get(r[0], 0) + 1
+        out[r] = seen[r[0]]
+    return out
+
+
+def test_number_within_groups_hot_group_spans_ranges(spark):
+    from lakeforge.operators.keys import number_within_groups
+    rows = [(7, i) for i in range(400)] + [(g, i) for g in range(1, 40) for i in range(3)] + \
+           [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "g int, o int").repartition(5)
+    out = number_within_groups(df, ["g"], ["o"], "rn", single_task_rows=10, rows_per_range=45)
+    got = {(r.g, r.o): r.rn for r in out.collect()}
+    assert got == _rn(rows)
+    small = number_within_groups(df, ["g"], ["o"], "rn")
+    assert {(r.g, r.o): r.rn for r in small.collect()} == _rn(rows)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..contracts import CREATE_DATE, ID, UPDATE_DATE, VALID_FROM, VALID_TO
 from ..functions.dates import ts_lit
 from ..functions.predicates import any_changed_sql, any_null, q
+from ..session import cut_lineage
 from .keys import assign_keys, max_key_col
 
 _S = "_lf_s_"
@@ -118,15 +119,21 @@ def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], trac
 
 def scd2_load(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
               load_date, null_safe: bool = False, id_col: str = ID,
-              source_rows: int | None = None) -> DataFrame:
+              source_rows: int | None = None, stage: bool = True) -> DataFrame:
     """One SCD2 load (close changed/missing active versions, open new ones)
     in a single pass over the active target.  ``source_rows`` (optional) is
-    an upper bound of the source row count; otherwise it is counted."""
+    an upper bound of the source row count; otherwise it is counted.
+
+    With ``stage`` the merged transitions are stored once (a table in the
+    shared checkpoint folder) and both the kept rows and the new rows are
+    read from it, so the merge join and the source run exactly once."""
     keys, tracked = list(keys), list(tracked)
     data_cols = list(source.columns)
     cols = history_columns(data_cols, id_col)
     history = target.filter(F.col(VALID_TO).isNotNull()).select(*cols)
     merged = scd2_transitions(target, source, keys, tracked, load_date, null_safe, id_col)
+    if stage:
+        merged = cut_lineage(merged)
     bound = source_rows if source_rows is not None else source.count()
     new = _number_new(merged.filter(F.col(id_col).isNull()), keys, data_cols,
                       max_key_col(target, id_col), id_col, bound, source)
@@ -165,7 +172,7 @@ def scd2_open(target: DataFrame, source: DataFrame, keys: list[str], load_date,
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
                 surrogate: str, load_date, null_safe: bool = False,
-                source_rows: int | None = None) -> DataFrame:
+                source_rows: int | None = None, stage: bool = True) -> DataFrame:
     """SCD type 1 upsert (M4/M5): matched and any compared column differs →
     source attributes, target surrogate and create date, ``update = load``;
     matched and equal, or target only → target row unchanged (rows are never
@@ -193,6 +200,8 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
         f"CAST(NULL AS BIGINT) AS {q(surrogate)}", *[q(c) for c in data_cols],
         f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}")
     merged = merged.unionByName(null_new)
+    if stage:  # the merge join runs once; kept and new rows are read back
+        merged = cut_lineage(merged)
     bound = source_rows if source_rows is not None else source.count()
     new = assign_keys(merged.filter(F.col(surrogate).isNull()).drop(surrogate), data_cols,
                       surrogate, max_key_col(target, surrogate), bound=bound, sample_from=source)

@@ -28,7 +28,7 @@ from ..operators.keys import assign_keys
 from ..operators.merge import empty_history, history_columns, scd1_upsert, scd2_transitions
 from ..operators.projection import to_silver
 from ..operators.star import fact_sales_projection
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import snapshot as store
 from ..sources.files import read_csv, write_csv
 from ..sources.fixtures import row_bound
@@ -61,7 +61,9 @@ def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date,
     cols = history_columns(list(src.columns))
     cur_t, closed_t = f"silver/{table}/current", f"silver/{table}/closed"
     current = st.read(cur_t) if st.has(cur_t) else empty_history(src)
-    merged = scd2_transitions(current, src, list(spec.keys), list(spec.tracked), load_date)
+    # stored once: the closed and current parts are both read from it
+    merged = cut_lineage(scd2_transitions(current, src, list(spec.keys), list(spec.tracked),
+                                          load_date))
     ids = silver_history(st, table).select(ID) if st.has(cur_t) else current.select(ID)
     start = ids.agg(F.coalesce(F.max(ID), F.lit(0)).cast("long")).scalar()
     new = assign_keys(merged.filter(F.col(ID).isNull()).drop(ID),

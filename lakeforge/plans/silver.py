@@ -36,7 +36,8 @@ def history(spark: SparkSession, d: str, table: str, days: int = 2,
     h = None
     bound = row_bound(spark, d, table)
     for day in range(1, days + 1):
-        src = silver_source(spark, d, table, day)
+        # the derived snapshot is stored once: the load reads it several times
+        src = cut_lineage(silver_source(spark, d, table, day))
         h = load(empty_history(src) if h is None else h, src, table, LOADS[day], null_safe, bound)
         h = cut_lineage(h)
     return h

@@ -34,6 +34,10 @@ from .keys import assign_keys, max_key_col
 
 _S = "_lf_s_"
 
+# Merged transitions are stored once (instead of being recomputed by the
+# kept-rows and new-rows branches) when the source may exceed this many rows.
+STAGE_MIN_ROWS = 1_000_000
+
 
 def _ts_sql(load_date) -> str:
     """SQL literal of a load time (TIMESTAMP_NTZ)."""
@@ -124,17 +128,19 @@ def scd2_load(target: DataFrame, source: DataFrame, keys: list[str], tracked: li
     in a single pass over the active target.  ``source_rows`` (optional) is
     an upper bound of the source row count; otherwise it is counted.
 
-    With ``stage`` the merged transitions are stored once (a table in the
-    shared checkpoint folder) and both the kept rows and the new rows are
-    read from it, so the merge join and the source run exactly once."""
+    With ``stage`` and a source that may exceed ``STAGE_MIN_ROWS`` rows, the
+    merged transitions are stored once (a table in the shared checkpoint
+    folder) and both the kept rows and the new rows are read from it, so the
+    merge join and the source run exactly once; below that, recomputing the
+    small join is cheaper than a write."""
     keys, tracked = list(keys), list(tracked)
     data_cols = list(source.columns)
     cols = history_columns(data_cols, id_col)
     history = target.filter(F.col(VALID_TO).isNotNull()).select(*cols)
     merged = scd2_transitions(target, source, keys, tracked, load_date, null_safe, id_col)
-    if stage:
-        merged = cut_lineage(merged)
     bound = source_rows if source_rows is not None else source.count()
+    if stage and bound > STAGE_MIN_ROWS:
+        merged = cut_lineage(merged)
     new = _number_new(merged.filter(F.col(id_col).isNull()), keys, data_cols,
                       max_key_col(target, id_col), id_col, bound, source)
     kept = merged.filter(F.col(id_col).isNotNull())
@@ -200,9 +206,9 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
         f"CAST(NULL AS BIGINT) AS {q(surrogate)}", *[q(c) for c in data_cols],
         f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}")
     merged = merged.unionByName(null_new)
-    if stage:  # the merge join runs once; kept and new rows are read back
-        merged = cut_lineage(merged)
     bound = source_rows if source_rows is not None else source.count()
+    if stage and bound > STAGE_MIN_ROWS:  # the merge join runs once; both branches read it
+        merged = cut_lineage(merged)
     new = assign_keys(merged.filter(F.col(surrogate).isNull()).drop(surrogate), data_cols,
                       surrogate, max_key_col(target, surrogate), bound=bound, sample_from=source)
     kept = merged.filter(F.col(surrogate).isNotNull())

@@ -162,8 +162,8 @@ class Warehouse:
 
     def history(self, table: str, day: int) -> DataFrame:
         def build():
-            # the derived snapshot is stored once: the load reads it several times
-            src = cut_lineage(silver.silver_source(self.spark, self.d, table, day))
+            src = silver.stage_source(silver.silver_source(self.spark, self.d, table, day),
+                                      row_bound(self.spark, self.d, table))
             prev = (silver.empty_history(src) if day == 1 else self.history(table, day - 1))
             return cut_lineage(silver.load(prev, src, table, silver.LOADS[day],
                                            source_rows=row_bound(self.spark, self.d, table)))

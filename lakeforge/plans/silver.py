@@ -21,6 +21,17 @@ def silver_source(spark: SparkSession, d: str, table: str, day: int) -> DataFram
     return to_silver(snapshot(spark, d, table, day), SILVER[table])
 
 
+# A derived snapshot is read several times by one load (key check, merge
+# join, NULL-key split, key sample); above this many rows it is stored once.
+STAGE_SOURCE_MIN_ROWS = 100_000
+
+
+def stage_source(src: DataFrame, bound: int) -> DataFrame:
+    """Store a derived snapshot once when it is large enough that
+    re-deriving it per use costs more than one write."""
+    return cut_lineage(src) if bound > STAGE_SOURCE_MIN_ROWS else src
+
+
 def load(target: DataFrame, source: DataFrame, table: str, load_date,
          null_safe: bool = False, source_rows: int | None = None) -> DataFrame:
     spec = SILVER[table]
@@ -36,8 +47,7 @@ def history(spark: SparkSession, d: str, table: str, days: int = 2,
     h = None
     bound = row_bound(spark, d, table)
     for day in range(1, days + 1):
-        # the derived snapshot is stored once: the load reads it several times
-        src = cut_lineage(silver_source(spark, d, table, day))
+        src = stage_source(silver_source(spark, d, table, day), bound)
         h = load(empty_history(src) if h is None else h, src, table, LOADS[day], null_safe, bound)
         h = cut_lineage(h)
     return h

@@ -178,13 +178,16 @@ def scd2_open(target: DataFrame, source: DataFrame, keys: list[str], load_date,
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
                 surrogate: str, load_date, null_safe: bool = False,
-                source_rows: int | None = None, stage: bool = True) -> DataFrame:
+                source_rows: int | None = None, stage: bool = True,
+                start: int | Column | None = None) -> DataFrame:
     """SCD type 1 upsert (M4/M5): matched and any compared column differs →
     source attributes, target surrogate and create date, ``update = load``;
     matched and equal, or target only → target row unchanged (rows are never
     deleted, G8); source only → new surrogate, ``create = update = load``.
 
     ``key`` may be a list of columns (fact grain).  NULL keys never match.
+    ``start`` is the largest surrogate in use when the caller knows it (e.g.
+    from a commit log); otherwise it is a scalar subquery over the target.
     """
     tl = _ts_sql(load_date)
     keys = [key] if isinstance(key, str) else list(key)
@@ -209,8 +212,9 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
     bound = source_rows if source_rows is not None else source.count()
     if stage and bound > STAGE_MIN_ROWS:  # the merge join runs once; both branches read it
         merged = cut_lineage(merged)
+    first = max_key_col(target, surrogate) if start is None else start
     new = assign_keys(merged.filter(F.col(surrogate).isNull()).drop(surrogate), data_cols,
-                      surrogate, max_key_col(target, surrogate), bound=bound, sample_from=source)
+                      surrogate, first, bound=bound, sample_from=source)
     kept = merged.filter(F.col(surrogate).isNotNull())
     return kept.select(*out_cols).unionByName(new.select(*out_cols))
 

@@ -141,9 +141,9 @@ def product_source(product_history: DataFrame, model_history: DataFrame,
 
 
 def upsert_dim(target: DataFrame, source: DataFrame, spec: DimSpec, load_date,
-               source_rows: int | None = None) -> DataFrame:
+               source_rows: int | None = None, start: int | None = None) -> DataFrame:
     return scd1_upsert(target, source, spec.natural_key, spec.compared, spec.surrogate,
-                       load_date, source_rows=source_rows)
+                       load_date, source_rows=source_rows, start=start)
 
 
 class Warehouse:

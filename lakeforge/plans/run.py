@@ -64,14 +64,14 @@ def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date,
     # stored once: the closed and current parts are both read from it
     merged = cut_lineage(scd2_transitions(current, src, list(spec.keys), list(spec.tracked),
                                           load_date))
-    ids = silver_history(st, table).select(ID) if st.has(cur_t) else current.select(ID)
-    start = ids.agg(F.coalesce(F.max(ID), F.lit(0)).cast("long")).scalar()
+    # next identity value from the commit log: no scan of the history
+    start = st.max_key(cur_t, closed_t)
     new = assign_keys(merged.filter(F.col(ID).isNull()).drop(ID),
                       list(spec.keys) + [c for c in src.columns if c not in spec.keys], ID, start,
                       bound=source_rows, sample_from=src)
     kept = merged.filter(F.col(ID).isNotNull() & F.col(VALID_TO).isNull())
-    st.write(merged.filter(F.col(VALID_TO).isNotNull()).select(*cols), closed_t)
-    st.write(kept.select(*cols).unionByName(new.select(*cols)), cur_t)
+    st.write(merged.filter(F.col(VALID_TO).isNotNull()).select(*cols), closed_t, key=ID)
+    st.write(kept.select(*cols).unionByName(new.select(*cols)), cur_t, key=ID)
 
 
 def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
@@ -92,7 +92,9 @@ def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
     def upsert(spec, src, basis):
         name = f"gold/{spec.name}"
         prev = st.read(name) if st.has(name) else gold.seeded_dim(spark, spec)
-        st.write(gold.upsert_dim(prev, src, spec, load_date, row_bound(spark, d, basis)), name)
+        out = gold.upsert_dim(prev, src, spec, load_date, row_bound(spark, d, basis),
+                              start=st.latest_max_key(name))
+        st.write(out, name, key=spec.surrogate)
 
     upsert(GEOGRAPHY, gold.geography_source(cur("address")), "address")
     upsert(CUSTOMER, gold.customer_source(cur("customer")), "customer")
@@ -105,8 +107,9 @@ def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
                                  st.read(f"gold/{GEOGRAPHY.name}"), st.read(f"gold/{PRODUCT.name}"))
     prev = st.read("gold/fact_sales") if st.has("gold/fact_sales") else gold.warehouse(spark, d).empty_fact()
     st.write(scd1_upsert(prev, proj, list(FACT_KEYS), [c for c, _ in FACT_COMPARED], FACT_SURROGATE,
-                         load_date, source_rows=row_bound(spark, d, "sales_order_detail")),
-             "gold/fact_sales")
+                         load_date, source_rows=row_bound(spark, d, "sales_order_detail"),
+                         start=st.latest_max_key("gold/fact_sales")),
+             "gold/fact_sales", key=FACT_SURROGATE)
     st.commit()
 
 

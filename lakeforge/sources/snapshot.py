@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 LOG = "_log"
-LOG_SCHEMA = "table string, version int, path string, rows long, committed_at timestamp_ntz"
+LOG_SCHEMA = ("table string, version int, path string, rows long, max_key long, "
+              "committed_at timestamp_ntz")
 
 
 def _log_path(root: str) -> str:
@@ -53,9 +54,9 @@ class Store:
         self.token = uuid.uuid4().hex[:8]
         # the log holds one small row per committed version (bounded by runs)
         self.entries: list[tuple] = [tuple(r) for r in versions(spark, root)
-                                     .select("table", "version", "path", "rows").collect()]
+                                     .select("table", "version", "path", "rows", "max_key").collect()]
         self.current: dict[str, tuple[int, str, int]] = {}
-        for t, v, p, n in self.entries:
+        for t, v, p, n, _ in self.entries:
             if t not in self.current or v > self.current[t][0]:
                 self.current[t] = (v, p, n)
         self.pending: list[tuple] = []
@@ -66,34 +67,51 @@ class Store:
     def has(self, table: str) -> bool:
         return table in self.current
 
-    def write(self, df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
+    def write(self, df: DataFrame, table: str, partition_by: list[str] | None = None,
+              key: str | None = None) -> int:
         """Write ``df`` as the next version of ``table`` (visible to this run
-        at once, to other readers after ``commit``)."""
+        at once, to other readers after ``commit``).  The row count and the
+        largest ``key`` are observed while writing (no second pass) and
+        logged, so the next identity value never needs a scan."""
         version = self.version(table) + 1
         path = f"{self.root}/{table}/v={version}-{self.token}"
-        obs = Observation(f"w{self.token}{len(self.pending)}")  # row count seen while writing
-        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+        obs = Observation(f"w{self.token}{len(self.pending)}")
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics.append((F.max(key) if key else F.lit(None)).cast("long").alias("max_key"))
+        writer = df.observe(obs, *metrics).write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        rows = int(obs.get["rows"])
+        got = obs.get
+        rows, mk = int(got["rows"]), got["max_key"]
         self.current[table] = (version, path, rows)
-        self.entries.append((table, version, path, rows))
-        self.pending.append((table, version, path, rows))
+        self.entries.append((table, version, path, rows, mk))
+        self.pending.append((table, version, path, rows, mk))
         return version
 
+    def max_key(self, *tables: str) -> int:
+        """Largest logged key (>= 0) over every version of ``tables``."""
+        keys = [mk for t, _, _, _, mk in self.entries if t in tables and mk is not None]
+        return max([0, *keys])
+
+    def latest_max_key(self, table: str) -> int:
+        """Largest logged key of the current version of ``table`` (0 if none)."""
+        vs = [(v, mk) for t, v, _, _, mk in self.entries if t == table]
+        # identity values start at 1: seeds such as -9 never raise the start
+        return max(0, max(vs)[1] or 0) if vs else 0
+
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.current[table][1])
 
     def all_versions(self, table: str) -> list[tuple[int, str, int]]:
         """Every version of ``table`` (version, path, rows), oldest first."""
-        return sorted((v, p, n) for t, v, p, n in self.entries if t == table)
+        return sorted((v, p, n) for t, v, p, n, _ in self.entries if t == table)
 
     def commit(self) -> None:
         if not self.pending:
             return
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(t, v, p, n, now) for t, v, p, n in self.pending]
+        rows = [(t, v, p, n, mk, now) for t, v, p, n, mk in self.pending]
         self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1) \
             .write.mode("append").parquet(_log_path(self.root))
         self.pending = []

@@ -42,14 +42,17 @@ TRIALS, FOLDS = 100, 5
 def raw_frame(spark: SparkSession, d: str) -> DataFrame:
     """documents ⋈ labels with the feature columns (NULLs planted for the
     imputer and the ``keep`` indexer)."""
-    docs = read_table(spark, d, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    # the word count is taken from the whole text *before* the join, so the
+    # texts themselves never travel through the join's shuffle
+    docs = read_table(spark, d, "documents", "doc_id", "text", "lang", "source", "n_chars") \
+        .select("doc_id", "lang", "source", "n_chars",
+                F.size(F.split(F.trim(F.col("text")), r"\s+")).alias("_lf_words"))
     labels = read_table(spark, d, "labels", "doc_id", "quality", "toxic")
     k = F.col("doc_id")
-    words = F.size(F.split(F.trim(F.col("text")), r"\s+"))
     return docs.join(labels, "doc_id").select(
         "doc_id",
         F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("n_chars")).alias("n_chars"),
-        F.when(k % 7 == 0, F.lit(None)).otherwise(words).alias("n_words"),
+        F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("_lf_words")).alias("n_words"),
         F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("lang")).alias("lang"),
         "source", "toxic", "quality")
 

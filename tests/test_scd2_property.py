@@ -11,7 +11,7 @@ from lakeforge.operators.merge import empty_history, scd2_load
 LOADS = ["2024-01-01 06:00:00", "2024-01-02 06:00:00", "2024-01-03 06:00:00"]
 
 
-def fold(snapshots):
+def fold(snapshots, null_safe=False):
     rows, next_id = [], 1
     for t, snap in zip(LOADS, snapshots):
         tt = dt.datetime.fromisoformat(t)
@@ -19,7 +19,10 @@ def fold(snapshots):
         keep = set()
         for r in active:
             v = snap.get(r["k"], "<absent>")
-            same = r["k"] in snap and (r["v"] is None or v is None or r["v"] == v)
+            if null_safe:
+                same = r["k"] in snap and r["v"] == v
+            else:
+                same = r["k"] in snap and (r["v"] is None or v is None or r["v"] == v)
             if same:
                 keep.add(r["k"])
             else:
@@ -34,12 +37,13 @@ snapshot = st.dictionaries(st.integers(1, 12), st.one_of(st.none(), st.sampled_f
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(snapshot, min_size=1, max_size=3))
-def test_scd2_matches_python_fold(spark, snapshots):
+@given(st.lists(snapshot, min_size=1, max_size=3), st.booleans())
+def test_scd2_matches_python_fold(spark, snapshots, null_safe):
     h = None
     for t, snap in zip(LOADS, snapshots):
         src = spark.createDataFrame(sorted(snap.items()), "k int, v string")
-        h = scd2_load(empty_history(src) if h is None else h, src, ["k"], ["v"], t).cache()
+        h = scd2_load(empty_history(src) if h is None else h, src, ["k"], ["v"], t,
+                      null_safe=null_safe).cache()
     got = sorted(tuple(r) for r in h.select("_tf_id", "k", "v", "_tf_valid_from", "_tf_valid_to",
                                             "_tf_create_date", "_tf_update_date").collect())
-    assert got == fold(snapshots)
+    assert got == fold(snapshots, null_safe)

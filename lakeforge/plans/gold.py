@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from ..operators.hierarchy import flatten_categories
 from ..operators.merge import scd1_upsert
 from ..operators.projection import conform
 from ..operators.star import fact_sales_projection
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources.fixtures import D1, row_bound
 from ..sources.tables import read_table
 from . import silver
@@ -154,11 +156,30 @@ class Warehouse:
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
         self._cache: dict = {}
+        self._lock = threading.Lock()
+        ensure_checkpoint_dir(spark)
 
     def _memo(self, key, fn):
-        if key not in self._cache:
-            self._cache[key] = fn()
-        return self._cache[key]
+        """Build ``key`` once, also when several threads ask for it."""
+        with self._lock:
+            fut = self._cache.get(key)
+            owner = fut is None
+            if owner:
+                fut = self._cache[key] = Future()
+        if owner:
+            try:
+                fut.set_result(fn())
+            except BaseException as e:  # noqa: BLE001 - handed to every waiter
+                fut.set_exception(e)
+        return fut.result()
+
+    def prefetch(self, *thunks) -> None:
+        """Build independent steps concurrently: each is its own Spark job,
+        and on a small input a job is mostly latency, so independent loads
+        (the Silver tables do not depend on each other) overlap."""
+        with ThreadPoolExecutor(max_workers=min(8, len(thunks))) as pool:
+            for f in [pool.submit(t) for t in thunks]:
+                f.result()
 
     def history(self, table: str, day: int) -> DataFrame:
         def build():
@@ -186,13 +207,24 @@ class Warehouse:
                                           row_bound(self.spark, self.d, basis)))
         return self._memo(("d", spec.name, day), build)
 
+    def _prefetch_fact_inputs(self, day: int) -> None:
+        steps = [lambda t=t, d=d: self.history(t, d)
+                 for d in range(1, day + 1)
+                 for t in ("sales_order_detail", "sales_order_header", "customer", "address",
+                           "product", "product_model", "product_category")]
+        self.prefetch(*steps)
+        self.prefetch(*[lambda s=s: self.dim(s, day) for s in (CUSTOMER, GEOGRAPHY, PRODUCT)])
+
     def fact_projection(self, day: int) -> DataFrame:
+        self._prefetch_fact_inputs(day)
         return fact_sales_projection(
             self.history("sales_order_detail", day), self.history("sales_order_header", day),
             self.history("customer", day), self.history("address", day),
             self.dim(CUSTOMER, day), self.dim(GEOGRAPHY, day), self.dim(PRODUCT, day))
 
     def fact(self, day: int) -> DataFrame:
+        self._prefetch_fact_inputs(day)
+
         def build():
             prev = self.empty_fact() if day == 1 else self.fact(day - 1)
             return cut_lineage(scd1_upsert(
@@ -221,8 +253,18 @@ def warehouse(spark: SparkSession, d: str) -> Warehouse:
     return _WAREHOUSES[key]
 
 
+_DIM_INPUTS = {GEOGRAPHY.name: ("address",), CUSTOMER.name: ("customer",),
+               PRODUCT_CATEGORY.name: ("product_category",),
+               PRODUCT.name: ("product", "product_model", "product_category")}
+
+
 def _dim_query(spec: DimSpec):
-    return lambda spark, d: warehouse(spark, d).dim(spec, 2)
+    def query(spark, d):
+        w = warehouse(spark, d)
+        w.prefetch(*[lambda t=t, day=day: w.history(t, day)
+                     for day in (1, 2) for t in _DIM_INPUTS[spec.name]])
+        return w.dim(spec, 2)
+    return query
 
 
 def fact_projection(spark, d):

@@ -18,6 +18,7 @@ repeated.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,16 +75,26 @@ def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date,
     st.write(kept.select(*cols).unionByName(new.select(*cols)), cur_t, key=ID)
 
 
+def _concurrently(steps: list) -> None:
+    """Run independent steps (each its own Spark jobs) from several driver
+    threads; the scheduler interleaves their tasks."""
+    with ThreadPoolExecutor(max_workers=min(8, len(steps))) as pool:
+        for f in [pool.submit(s) for s in steps]:
+            f.result()
+
+
 def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
     """One scheduled run for the fixture snapshot of ``day``, layer by layer;
     each layer is committed once all its tables are written."""
     load_date = silver.LOADS[day]
     st = store.Store(spark, root)
-    for table in SILVER:  # bronze: full refresh
-        st.write(fixture_snapshot(spark, d, table, day), f"bronze/{table}")
+    # bronze: full refresh; tables are independent, so their jobs overlap
+    _concurrently([lambda t=t: st.write(fixture_snapshot(spark, d, t, day), f"bronze/{t}")
+                   for t in SILVER])
     st.commit()
-    for table in SILVER:  # silver: tables are independent of each other
-        load_silver(st, table, st.read(f"bronze/{table}"), load_date, row_bound(spark, d, table))
+    # silver: tables are independent of each other
+    _concurrently([lambda t=t: load_silver(st, t, st.read(f"bronze/{t}"), load_date,
+                                           row_bound(spark, d, t)) for t in SILVER])
     st.commit()
 
     def cur(t):
@@ -96,9 +107,11 @@ def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
                               start=st.latest_max_key(name))
         st.write(out, name, key=spec.surrogate)
 
-    upsert(GEOGRAPHY, gold.geography_source(cur("address")), "address")
-    upsert(CUSTOMER, gold.customer_source(cur("customer")), "customer")
-    upsert(PRODUCT_CATEGORY, gold.category_source(cur("product_category")), "product_category")
+    _concurrently([
+        lambda: upsert(GEOGRAPHY, gold.geography_source(cur("address")), "address"),
+        lambda: upsert(CUSTOMER, gold.customer_source(cur("customer")), "customer"),
+        lambda: upsert(PRODUCT_CATEGORY, gold.category_source(cur("product_category")),
+                       "product_category")])
     upsert(PRODUCT, gold.product_source(cur("product"), cur("product_model"),
                                         st.read(f"gold/{PRODUCT_CATEGORY.name}")), "product")
     st.commit()

@@ -12,6 +12,7 @@ re-run writes a fresh folder.  Old versions stay for rollback.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -60,6 +61,7 @@ class Store:
             if t not in self.current or v > self.current[t][0]:
                 self.current[t] = (v, p, n)
         self.pending: list[tuple] = []
+        self._lock = threading.Lock()  # writes of different tables may run concurrently
 
     def version(self, table: str) -> int:
         return self.current.get(table, (0, None, 0))[0]
@@ -73,9 +75,10 @@ class Store:
         at once, to other readers after ``commit``).  The row count and the
         largest ``key`` are observed while writing (no second pass) and
         logged, so the next identity value never needs a scan."""
-        version = self.version(table) + 1
+        with self._lock:
+            version = self.version(table) + 1
         path = f"{self.root}/{table}/v={version}-{self.token}"
-        obs = Observation(f"w{self.token}{len(self.pending)}")
+        obs = Observation(f"w{uuid.uuid4().hex}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         metrics.append((F.max(key) if key else F.lit(None)).cast("long").alias("max_key"))
         writer = df.observe(obs, *metrics).write.mode("errorifexists")
@@ -84,9 +87,10 @@ class Store:
         writer.parquet(path)
         got = obs.get
         rows, mk = int(got["rows"]), got["max_key"]
-        self.current[table] = (version, path, rows)
-        self.entries.append((table, version, path, rows, mk))
-        self.pending.append((table, version, path, rows, mk))
+        with self._lock:
+            self.current[table] = (version, path, rows)
+            self.entries.append((table, version, path, rows, mk))
+            self.pending.append((table, version, path, rows, mk))
         return version
 
     def max_key(self, *tables: str) -> int:

@@ -136,25 +136,30 @@ def search(df: DataFrame, trials: int = TRIALS, folds: int = FOLDS, seed: int =
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
     with_fold = df.withColumn("_lf_fold", (F.rand(seed) * folds).cast("int"))
     scores = [[0.0] * folds for _ in space]
-    cached = []
-    for k in range(folds):
+
+    def prepare_fold(k):
         train_k = with_fold.filter(F.col("_lf_fold") != k)
         valid_k = with_fold.filter(F.col("_lf_fold") == k)
         prep = Pipeline(stages=feature_pipeline().getStages()[:-1]).fit(train_k)
         tr = prep.transform(train_k).select("label", "features").cache()
         va = prep.transform(valid_k).select("label", "features").cache()
-        cached += [tr, va]
-
-        def fit_eval(i, tr=tr, va=va):
-            tree = DecisionTreeClassifier(labelCol="label", featuresCol="features",
-                                          **{**TREE_PARAMS, **space[i]})
-            return i, ev.evaluate(tree.fit(tr).transform(va))
-
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            for i, acc in pool.map(fit_eval, range(len(space))):
-                scores[i][k] = acc
-    for c in cached:
-        c.unpersist()
+        return tr, va
+
+    def fit_eval(job):
+        i, k = job
+        tr, va = prepared[k]
+        tree = DecisionTreeClassifier(labelCol="label", featuresCol="features",
+                                      **{**TREE_PARAMS, **space[i]})
+        return i, k, ev.evaluate(tree.fit(tr).transform(va))
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        prepared = list(pool.map(prepare_fold, range(folds)))
+        jobs = [(i, k) for k in range(folds) for i in range(len(space))]
+        for i, k, acc in pool.map(fit_eval, jobs):
+            scores[i][k] = acc
+    for tr, va in prepared:
+        tr.unpersist()
+        va.unpersist()
     means = [sum(s) / folds for s in scores]
     best = max(range(len(space)), key=lambda i: (means[i], -i))
     best_model = feature_pipeline(**space[best]).fit(df)

@@ -121,7 +121,7 @@ def sample_space(trials: int = TRIALS, seed: int = 42) -> list[dict]:
 
 
 def search(df: DataFrame, trials: int = TRIALS, folds: int = FOLDS, seed: int = 42,
-           parallelism: int = 32):
+           parallelism: int = 64):
     """K-fold cross-validated accuracy of every trial, then the best
     pipeline refitted on all rows.  Returns (best model, trials frame).
 

@@ -59,7 +59,7 @@ def active(spark: SparkSession, d: str, table: str, days: int = 2) -> DataFrame:
 
 
 def scd2_initial_address(spark, d):
-    return history(spark, d, "address", days=1)
+    return _stored(spark, d, "address", 1)
 
 
 def scd2_close_address(spark, d):
@@ -78,7 +78,7 @@ def scd2_open_address(spark, d):
 
 def scd2_noop_rerun(spark, d):
     """Loading the day-2 snapshot a second time changes nothing (G4: no NULL keys)."""
-    h2 = history(spark, d, "address", 2)
+    h2 = _stored(spark, d, "address", 2)
     return load(h2, silver_source(spark, d, "address", 2), "address", LOAD_3,
                 source_rows=row_bound(spark, d, "address"))
 
@@ -99,8 +99,15 @@ def scd2_null_blind(spark, d):
                     F.col("t._tf_id").alias("_tf_id"), F.col("t._tf_valid_from").alias("_tf_valid_from")))
 
 
+def _stored(spark, d, table, day):
+    """The history after ``day`` loads, shared with the Gold builder (built
+    once per session and data folder)."""
+    from .gold import warehouse  # gold builds on this module
+    return warehouse(spark, d).history(table, day)
+
+
 def _full(table):
-    return lambda spark, d: history(spark, d, table, 2)
+    return lambda spark, d: _stored(spark, d, table, 2)
 
 
 QUERIES = {

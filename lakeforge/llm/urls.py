@@ -83,8 +83,8 @@ def judge(pages: DataFrame, rules: DataFrame) -> DataFrame:
                                   for n in sorted({0, *(x for x in shape["lengths"] if x is not None)})]),
                         lambda x: F.length(x["p"]) == x["n"])
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat_ws("\n", s, p["p"]))))
-    rows = parsed.select(F.monotonically_increasing_id().alias("row"), "page_id", "host", "path",
-                         F.posexplode(keys).alias("at", "key"))
+    numbered = parsed.withColumn("row", F.monotonically_increasing_id())
+    rows = numbered.select("row", "page_id", "host", "path", F.posexplode(keys).alias("at", "key"))
     possible = F.get(words, block_of(F.col("key"), blocks)).bitwiseAND(bits_of(F.col("key"))) == bits_of(F.col("key"))
     # Each URL's first candidate stays without its key, so that every row has a result.
     rows = (rows.withColumn("key", F.when(possible, F.col("key")))

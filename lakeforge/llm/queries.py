@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, quality, secrets, urls
+from . import bpe, decontam, quality, secrets, simhash, urls
 from .common import documents
 
 # The rules of the URL query's contract.
@@ -50,4 +50,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filter, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination,
+                                   op9_simhash)}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, quality, secrets, simhash, urls
+from . import bpe, decontam, quality, secrets, simhash, substrings, urls
 from .common import documents
 
 # The rules of the URL query's contract.
@@ -26,6 +26,11 @@ def url_rules(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT host, path, verdict FROM VALUES {rows} AS rules(host, path, verdict)")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.deduplicate(documents(spark, sf_dir), min_words=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "longest_repeat")
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages", "page_id", "url"), url_rules(spark))
 
@@ -55,5 +60,5 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination,
                                    op9_simhash)}

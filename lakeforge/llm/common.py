@@ -35,13 +35,17 @@ def with_null_ids(df: DataFrame, name: str = "doc_id") -> DataFrame:
     return df.withColumn(name, F.when(F.col(name) != NULL_ID, F.col(name)))
 
 
+def new_path(spark: SparkSession, tag: str) -> str:
+    """A path in the shared checkpoint folder that nothing else uses."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeforge-llm-{tag}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Writes ``df`` as a Parquet table in the shared checkpoint folder and
     reads it back: later jobs start there, also after an executor is lost."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeforge-llm-{tag}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def drop_stored(spark: SparkSession, path: str) -> None:

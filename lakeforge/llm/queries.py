@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, quality, secrets, simhash, substrings, urls
-from .common import documents
+from . import bpe, decontam, quality, secrets, simhash, substrings, token_files, urls
+from .common import documents, new_path
 
 # The rules of the URL query's contract.
 URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -35,6 +35,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages", "page_id", "url"), url_rules(spark))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), path, tokenizer_file("byte_bpe_50k.json"), end=0)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -60,5 +66,5 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_files, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination,
                                    op9_simhash)}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, quality, secrets, simhash, substrings, token_files, urls
+from . import bpe, decontam, quality, secrets, simhash, substrings, suffix_dedup, token_files, urls
 from .common import documents, new_path
 
 # The rules of the URL query's contract.
@@ -66,5 +66,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.deduplicate(documents(spark, sf_dir), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_files, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination,
-                                   op9_simhash)}
+                                   op9_simhash, op10_suffix_dedup)}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, quality, secrets, simhash, substrings, suffix_dedup, token_files, urls
+from . import bpe, decontam, lines, quality, secrets, simhash, substrings, suffix_dedup, token_files, urls
 from .common import documents, new_path
 
 # The rules of the URL query's contract.
@@ -57,6 +57,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.deduplicate(documents(spark, sf_dir).select("doc_id", "text"), min_lines=2)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.search(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
@@ -71,5 +76,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_files, op4_bpe, op5_quality_rules, op6_secret_scan, op8_decontamination,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_files, op4_bpe, op5_quality_rules, op6_secret_scan, op7_line_dedup, op8_decontamination,
                                    op9_simhash, op10_suffix_dedup)}

@@ -6,7 +6,6 @@ ids count as one and the same document; rows are never dropped for it."""
 
 from __future__ import annotations
 
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +39,22 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeforge-llm-{tag}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting that deletes the shuffle files of a query when it ends.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Writes ``df`` as a Parquet table in the shared checkpoint folder and
-    reads it back: later jobs start there, also after an executor is lost."""
-    path = new_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    reads it back: later jobs start there, also after an executor is lost.
+    The shuffle files of the write go as soon as the table is complete."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, tag)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def drop_stored(spark: SparkSession, path: str) -> None:
@@ -55,14 +64,6 @@ def drop_stored(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files of finished jobs whose
-    results are stored: they would otherwise stay on the executors' disks
-    until the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_size(docs: DataFrame) -> tuple[int, int, int]:
     """(rows, bytes of all texts, bytes of the longest text) in one scan."""
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b"),

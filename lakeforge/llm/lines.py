@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NULL_ID, drop_stored, id_and_text, release, store, with_null_ids
+from .common import NULL_ID, drop_stored, id_and_text, store, with_null_ids
 from .exchange import Deal, by_group, deal, extremes, mix
 from .substrings import MULTIPLIER, covered, runs
 
@@ -251,18 +251,15 @@ def deduplicate(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     whole = whole.select(plan.group().alias("grp"), "text", "doc_id", "rest")
     texts = whole.select("grp", "text", "doc_id")
     answers, answers_path = store(_ranked(_first_keys(texts, plan)), "lines")
-    release(spark)
     state, path = store(_first_level(texts, answers, plan, min_lines), "ranks")
     drop_stored(spark, answers_path)
     length = 1
     while state.agg(F.sum(F.octet_length("starts"))).first()[0]:
-        release(spark)
         longer = min(2 * length, min_lines) if length < min_lines else 2 * length
         answers = _ranked(_next_keys(state, longer - length))
         following, new = store(_next_level(state, answers, longer, longer - length, longer == min_lines), "ranks")
         drop_stored(spark, path)
         state, path, length = following, new, longer
-    release(spark)
     return with_null_ids(_without(whole, state, whole.schema["rest"].dataType))
 
 

@@ -216,3 +216,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
         drop_stored(spark, path)
     out = fps.join(roots, "fp").select("doc_id", "fp", "component_id")
     return with_null_ids(with_null_ids(out), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """`docs` with one document of each component: the one with the least id.
+    All columns stay; equal rows of that document stay once."""
+    found = near_duplicates(docs, shingle, max_bits)
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text"])

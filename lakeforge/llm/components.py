@@ -10,17 +10,25 @@ from pyspark.sql import functions as F
 from .common import drop_stored, store
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(edges: DataFrame, least: DataFrame) -> tuple[DataFrame, str]:
+    """edges (u, v) with m, the least of each u.  The minima are stored first,
+    so that the join has a shuffle of its own, whose hot keys Spark splits."""
+    stored, path = store(least, "least")
+    return edges.join(stored, "u"), path
+
+
+def _large_star(edges: DataFrame) -> tuple[DataFrame, str]:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    joined, path = _with_least(both.filter("v > u"), least)
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct(), path
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame) -> tuple[DataFrame, str]:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    joined, path = _with_least(down, down.groupBy("u").agg(F.min("v").alias("m")))
+    moved = joined.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+    return moved.distinct(), path
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -37,10 +45,14 @@ def connected(edges: DataFrame) -> tuple[DataFrame, str]:
     current, path = store(pairs, "edges")
     before = _state(current)
     while before[0]:
-        following, new = store(_small_star(_large_star(current)), "edges")
-        after = _state(following)
-        drop_stored(spark, path)
-        current, path = following, new
+        done = [path]
+        for star in (_large_star, _small_star):
+            made, least = star(current)
+            current, path = store(made, "edges")
+            done += [least, path]
+        for old in done[:-1]:
+            drop_stored(spark, old)
+        after = _state(current)
         if after == before:
             break
         before = after

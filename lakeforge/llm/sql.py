@@ -74,4 +74,58 @@ FROM grams b JOIN grams d ON b.g = d.g AND b.kind = 'b' AND d.kind = 'd' JOIN si
 GROUP BY d.id, b.id HAVING 10 * count(*) >= 8 * any_value(n)
 """
 
-ORACLE_SQL = {"op2_url_filter": URLS, "op5_quality_rules": QUALITY, "op8_decontamination": DECONTAMINATION}
+
+def _levels(length: int, count: int) -> str:
+    """Windows of `length` words and their doublings; `again` has those that
+    also start in another document."""
+    key = " || chr(32) || ".join(["word"] + [f"lead(word, {k}) OVER d" for k in range(1, length)])
+    steps = [f"level0 AS (SELECT doc_id, i, md5({key}) AS k FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY i))"]
+    for n in range(count):
+        steps.append(f"""again{n} AS (
+  SELECT doc_id, i, k, {length << n} AS n FROM level{n} JOIN (
+    SELECT k FROM level{n} WHERE k IS NOT NULL GROUP BY k HAVING min(doc_id) < max(doc_id)) USING (k))""")
+        if n + 1 < count:
+            steps.append(f"""level{n + 1} AS (
+  SELECT a.doc_id, a.i, md5(a.k || b.k) AS k FROM again{n} a JOIN again{n} b ON a.doc_id = b.doc_id AND b.i = a.i + {length << n})""")
+    return ",\n".join(steps)
+
+
+SUBSTRINGS = rf"""
+WITH {_PLACED},
+{_levels(13, 12)},
+first AS (SELECT k, min(doc_id) AS least FROM level0 WHERE k IS NOT NULL GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, i + step AS i
+  FROM (SELECT doc_id, i FROM level0 JOIN first USING (k) WHERE doc_id > least) CROSS JOIN range(13) AS r(step)),
+kept AS (
+  SELECT p.doc_id, count(*) AS n_words, count(g.i) AS n_removed,
+         coalesce(string_agg(word, chr(32) ORDER BY p.i) FILTER (g.i IS NULL), '') AS text
+  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id),
+longest AS (SELECT doc_id, max(n) AS n FROM ({" UNION ALL ".join(f"SELECT doc_id, n FROM again{n}" for n in range(12))}) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256, coalesce(n, 0)::BIGINT AS longest_repeat
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN longest USING (doc_id)
+"""
+
+LINES = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS ln
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+trimmed AS (
+  SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t FROM lines),
+full_lines AS (
+  SELECT doc_id, ln, t, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS i FROM trimmed WHERE t <> ''),
+pairs AS (
+  SELECT doc_id, i, ln, lead(ln) OVER d AS ln2, t || chr(10) || lead(t) OVER d AS run FROM full_lines
+  WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+later AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS copy FROM pairs WHERE run IS NOT NULL)
+  WHERE copy > 1),
+gone AS (SELECT doc_id, ln FROM later UNION SELECT doc_id, ln2 FROM later)
+SELECT l.doc_id, count(*) FILTER (l.t <> '') AS n_lines, count(g.ln) AS n_removed,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.ln) FILTER (g.ln IS NULL), '')) AS kept_sha256
+FROM trimmed l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.ln = g.ln GROUP BY l.doc_id
+"""
+
+ORACLE_SQL = {"op1_substring_dedup": SUBSTRINGS, "op2_url_filter": URLS, "op5_quality_rules": QUALITY,
+              "op7_line_dedup": LINES, "op8_decontamination": DECONTAMINATION}

@@ -22,7 +22,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lakeforge.plans import bi, gold, ml, silver  # noqa: E402
 from lakeforge.session import cut_lineage, local_session  # noqa: E402
-from lakeforge.sources.fixtures import row_bound  # noqa: E402
 
 
 def _cold():
@@ -64,8 +63,7 @@ def main():
 
     def reload():
         src2 = silver.silver_source(spark, sf_dir, "sales_order_detail", 2)
-        out = silver.load(h1, src2, "sales_order_detail", silver.LOADS[2],
-                          source_rows=row_bound(spark, sf_dir, "sales_order_detail"))
+        out = silver.load(h1, src2, "sales_order_detail", silver.LOADS[2])
         return cut_lineage(out).count()
 
     timed("scd2_reload_detail", reload)

@@ -296,3 +296,7 @@ FACT_COMPARED = (
     ("sales_line_total", "decimal(38,6)"),
 )
 FACT_COLUMNS = [FACT_SURROGATE, *FACT_KEYS, *(c for c, _ in FACT_COMPARED), *AUDIT_COLS]
+
+# Columns of the product preview.
+PRODUCT_PREVIEW = ("_tf_dim_product_id", "prod_product_id", "prod_name", "prod_product_number", "prod_color",
+                   "prod_list_price", "_tf_dim_product_category_id", "prod_product_model_name")

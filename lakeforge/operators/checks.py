@@ -1,6 +1,8 @@
 """History and star-schema checks (Q1–Q6, S12).  Each takes the history
-frame and its key columns; per-key questions use one window partitioned on
-the key (a single shuffle) instead of aggregate + join back."""
+frame and its key columns.  Questions about a key are answered on the keys
+alone, by a grouped count with partial counts per task, and the full rows are
+then picked by a join; rows with a NULL key form no version group and stay out
+of both."""
 
 from __future__ import annotations
 
@@ -8,19 +10,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import VALID_FROM, VALID_TO
+from ..functions.predicates import any_null
+
+
+def _keyed(history: DataFrame, keys: list[str]) -> DataFrame:
+    return history.filter(~any_null(keys))
 
 
 def versions_of_changed_keys(history: DataFrame, keys: list[str]) -> DataFrame:
     """Q1: every version of keys that have more than one version."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return history.withColumn("_lf_n", n).filter(F.col("_lf_n") > 1).drop("_lf_n")
+    several = (_keyed(history, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_lf_n"))
+               .filter("_lf_n > 1").select(*keys))
+    return _keyed(history, keys).join(several, keys, "left_semi")
 
 
 def closed_deleted(history: DataFrame, keys: list[str]) -> DataFrame:
-    """Q2: closed versions of keys that have no current version."""
-    has_current = F.max(F.col(VALID_TO).isNull().cast("int")).over(Window.partitionBy(*keys))
-    return (history.withColumn("_lf_c", has_current)
-            .filter((F.col("_lf_c") == 0) & F.col(VALID_TO).isNotNull()).drop("_lf_c"))
+    """Q2: closed versions of keys that have no current version; a NULL key
+    never has one."""
+    closed = history.filter(F.col(VALID_TO).isNotNull())
+    gone = (_keyed(history, keys).groupBy(*keys).agg(F.count(F.when(F.col(VALID_TO).isNull(), 1)).alias("_lf_n"))
+            .filter("_lf_n = 0").select(*keys))
+    return _keyed(closed, keys).join(gone, keys, "left_semi").unionByName(closed.filter(any_null(keys)))
 
 
 def rekeyed(history: DataFrame, keys: list[str], identity: str = "rowguid") -> DataFrame:
@@ -58,7 +68,7 @@ def overlapping_intervals(history: DataFrame, keys: list[str]) -> DataFrame:
     """Invariant: versions of one key never overlap (next start >= end)."""
     w = Window.partitionBy(*keys).orderBy(VALID_FROM)
     nxt = F.lead(VALID_FROM).over(w)
-    return (history.withColumn("_lf_next", nxt)
+    return (_keyed(history, keys).withColumn("_lf_next", nxt)
             .filter(F.col("_lf_next").isNotNull() &
                     (F.col(VALID_TO).isNull() | (F.col("_lf_next") < F.col(VALID_TO))))
             .drop("_lf_next"))

@@ -1,150 +1,80 @@
-"""Surrogate keys (S10, S11), unknown members (S13) and key checks.
+"""Surrogate keys (S10, S11) and key checks.
 
 ``assign_keys`` gives the rows of a frame the dense numbers
-``start + ROW_NUMBER() OVER (ORDER BY order_by)`` without moving all rows
-into one task once they exceed what one task may hold: rows are cut into
-contiguous key ranges (boundaries taken from a bounded sample), each range
-is numbered by a window partitioned on the range, and a per-range offset
-(one row per range, so its size is bounded by the range count) is broadcast
-back.  Range boundaries are literals in the plan, so a recomputed task (lost
-executor) yields the same numbers; no persist is needed.
+``start + ROW_NUMBER() OVER (ORDER BY order_by)``, by one algorithm at every
+size: rows are dealt into contiguous key ranges (Spark's range partitioning)
+and stored once together with the number of their range, so that numbers do
+not depend on how a later job partitions them; rows are counted per range, the
+counts summed up over the ranges before (one row per range), and each range is
+numbered by a window of its own.
 """
 
 from __future__ import annotations
 
-import functools
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
-# Rows one window task may number on its own; above this the range split
-# is used.  Numbers of ranges are capped so the generated range expression
-# stays small (binary search: log2(MAX_RANGES) comparisons per row).
-SINGLE_TASK_ROWS = 2_000_000
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 1024
-SAMPLE_PER_RANGE = 40
-
-
-def _lt(c: Column, v) -> Column:
-    """``c < v`` in ASC NULLS FIRST order (NULL is the smallest value)."""
-    if v is None:
-        return F.lit(False)
-    return c.isNull() | (c < F.lit(v))
+RANGE = "_lf_range"
 
 
-def _lex_lt(cols: list[Column], vals: tuple) -> Column:
-    """Lexicographic ``(cols) < (vals)`` with NULLS FIRST in every column."""
-    terms = []
-    for i, (c, v) in enumerate(zip(cols, vals)):
-        prefix = [cols[j].eqNullSafe(F.lit(vals[j])) for j in range(i)]
-        terms.append(functools.reduce(lambda a, b: a & b, prefix, _lt(c, v)))
-    return functools.reduce(lambda a, b: a | b, terms)
+def _ascending(order_by: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in order_by]
 
 
-def _range_expr(cols: list[Column], bounds: list[tuple], lo: int, hi: int) -> Column:
-    """Index of the first boundary greater than the row (binary search)."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(_lex_lt(cols, bounds[mid]), _range_expr(cols, bounds, lo, mid)) \
-        .otherwise(_range_expr(cols, bounds, mid + 1, hi))
+def store_ranges(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """``df`` stored in contiguous ranges of ``order_by`` (NULLs first), with
+    the number of each row's range as column ``RANGE``."""
+    dealt = df.repartitionByRange(*_ascending(order_by))
+    return cut_lineage(dealt.withColumn(RANGE, F.spark_partition_id()))
 
 
-def _sort_key(row) -> tuple:
-    return tuple((v is not None, v) for v in row)
+def number_ranges(ranged: DataFrame, order_by: list[str], key_col: str, start: int | Column = 0) -> DataFrame:
+    """Number the rows (or some of the rows) of a frame from ``store_ranges``;
+    ``RANGE`` stays as a column."""
+    # One row per range, so the broadcast side has as many rows as the shuffle has partitions.
+    offsets = (ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_lf_n"))
+               .select(RANGE, (F.sum("_lf_n").over(Window.orderBy(RANGE)) - F.col("_lf_n")).alias("_lf_off")))
+    place = F.row_number().over(Window.partitionBy(RANGE).orderBy(*_ascending(order_by)))
+    first = start if isinstance(start, Column) else F.lit(start)
+    return (ranged.join(F.broadcast(offsets), RANGE)
+            .withColumn(key_col, (first + F.col("_lf_off") + place).cast("long")).drop("_lf_off"))
 
 
-def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | Column = 0, *,
-                bound: int | None = None, sample_from: DataFrame | None = None,
-                single_task_rows: int = SINGLE_TASK_ROWS,
-                rows_per_range: int = ROWS_PER_RANGE, keep_range: bool = False) -> DataFrame:
+def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | Column = 0) -> DataFrame:
     """Add ``key_col = start + row_number() over (order by order_by)`` as BIGINT.
 
     ``start`` may be a scalar-subquery Column (e.g. the current max id), so
-    it is evaluated inside the plan.  ``bound`` is a known upper bound of the
-    row count of ``df`` (saves a count job); ``sample_from`` is a frame whose
-    ``order_by`` values cover those of ``df`` (e.g. the source of the rows to
-    number): range boundaries are sampled from it, so no range holds more
-    rows of ``df`` than of ``sample_from``.  ``order_by`` should be unique
-    over ``df`` for the numbers to be deterministic (ties are numbered in an
-    unspecified order, as in SQL).
-    """
-    order_cols = [F.col(c).asc_nulls_first() for c in order_by]
-    start_col = start if isinstance(start, Column) else F.lit(start)
-    n = bound if bound is not None else df.count()
-    if n <= single_task_rows:
-        # Proven small: one window task numbers at most ``single_task_rows`` rows.
-        w = Window.orderBy(*order_cols)
-        out = df.withColumn(key_col, (start_col + F.row_number().over(w)).cast("long"))
-        return out.withColumn("_lf_range", F.lit(0)) if keep_range else out
-
-    ranges = min(MAX_RANGES, max(2, math.ceil(n / rows_per_range)))
-    base = sample_from if sample_from is not None else df
-    fraction = min(1.0, ranges * SAMPLE_PER_RANGE / n)
-    # Bounded sample (about ranges * SAMPLE_PER_RANGE rows) to the driver.
-    sample = sorted((tuple(r) for r in base.select(*order_by).sample(False, fraction, seed=7).collect()),
-                    key=_sort_key)
-    bounds = []
-    for i in range(1, ranges):
-        if not sample:
-            break
-        b = sample[min(len(sample) - 1, (i * len(sample)) // ranges)]
-        if not bounds or _sort_key(b) > _sort_key(bounds[-1]):
-            bounds.append(b)
-    cols = [F.col(c) for c in order_by]
-    rng = _range_expr(cols, bounds, 0, len(bounds)) if bounds else F.lit(0)
-    ranged = df.withColumn("_lf_range", rng)
-    # One row per range: the broadcast side is bounded by MAX_RANGES rows.
-    offsets = (ranged.groupBy("_lf_range").agg(F.count(F.lit(1)).alias("_lf_n"))
-               .withColumn("_lf_off", F.sum("_lf_n").over(Window.orderBy("_lf_range")) - F.col("_lf_n"))
-               .select("_lf_range", "_lf_off"))
-    w = Window.partitionBy("_lf_range").orderBy(*order_cols)
-    out = (ranged.join(F.broadcast(offsets), "_lf_range")
-           .withColumn(key_col, (start_col + F.col("_lf_off") + F.row_number().over(w)).cast("long"))
-           .drop("_lf_off"))
-    return out if keep_range else out.drop("_lf_range")
-
-
-def number_within_groups(df: DataFrame, group_by: list[str], order_by: list[str], out_col: str, *,
-                         bound: int | None = None, single_task_rows: int = SINGLE_TASK_ROWS,
-                         rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    it is evaluated inside the plan.  ``order_by`` should be unique over ``df``
+    for the numbers to be deterministic (ties are numbered in an unspecified
+    order, as in SQL)."""
+    return number_ranges(store_ranges(df, order_by), order_by, key_col, start).drop(RANGE)
+
+
+def number_within_groups(df: DataFrame, group_by: list[str], order_by: list[str], out_col: str) -> DataFrame:
     """``row_number() over (partition by group_by order by order_by)`` that
     never gathers one group into one task.
 
-    Rows are numbered globally over (group, order) by :func:`assign_keys`,
-    whose key ranges split a hot group over several tasks.  A row's number
-    in its group is ``global - start_of_group + 1``; the start is the
-    smallest global number of the group inside the row's range (a window on
-    (range, group), bounded by the range size), corrected for the groups that
-    span several ranges.  Only the first and last group of each range can
-    span ranges, so the correction table has at most two rows per range and
-    is broadcast.
-    """
-    order_cols = [F.col(c).asc_nulls_first() for c in order_by]
-    n = bound if bound is not None else df.count()
-    if n <= single_task_rows:
-        # Proven small: no group can hold more than ``single_task_rows`` rows.
-        w = Window.partitionBy(*group_by).orderBy(*order_cols)
-        return df.withColumn(out_col, F.row_number().over(w))
-    g = assign_keys(df, list(group_by) + list(order_by), "_lf_gid", 0, bound=n,
-                    single_task_rows=single_task_rows, rows_per_range=rows_per_range,
-                    keep_range=True)
-    x = g.withColumn("_lf_lstart", F.min("_lf_gid").over(Window.partitionBy("_lf_range", *group_by)))
+    Rows are numbered globally over (group, order), so a hot group spreads
+    over several ranges.  A row's number in its group is ``global -
+    start_of_group + 1``; the start is the smallest global number of the group
+    inside the row's range, corrected for the groups that span ranges.  Only
+    the first and last group of a range can span ranges, so the correction has
+    at most two rows per range."""
+    order = list(group_by) + list(order_by)
+    numbered = number_ranges(store_ranges(df, order), order, "_lf_gid")
+    x = numbered.withColumn("_lf_lstart", F.min("_lf_gid").over(Window.partitionBy(RANGE, *group_by)))
     edge = F.struct(*[F.col(c) for c in group_by], F.col("_lf_lstart").alias("_lf_lstart"))
-    ends = (x.groupBy("_lf_range").agg(F.min(edge).alias("a"), F.max(edge).alias("b"))
+    ends = (x.groupBy(RANGE).agg(F.min(edge).alias("a"), F.max(edge).alias("b"))
             .select(F.explode(F.array("a", "b")).alias("e")).select("e.*")
             .groupBy(*group_by).agg(F.min("_lf_lstart").alias("_lf_gstart")))
     ends = ends.select(*[F.col(c).alias(f"_lf_e_{c}") for c in group_by], "_lf_gstart")
     cond = [x[c].eqNullSafe(ends[f"_lf_e_{c}"]) for c in group_by]
-    # ``ends`` holds at most 2 rows per range (bounded by MAX_RANGES): broadcast
-    j = x.join(F.broadcast(ends), cond, "left")
+    j = x.join(F.broadcast(ends), cond, "left")  # at most two rows per range
     start = F.coalesce(F.col("_lf_gstart"), F.col("_lf_lstart"))
     return (j.withColumn(out_col, (F.col("_lf_gid") - start + 1).cast("int"))
-            .drop("_lf_gid", "_lf_range", "_lf_lstart", "_lf_gstart",
-                  *[f"_lf_e_{c}" for c in group_by]))
+            .drop("_lf_gid", RANGE, "_lf_lstart", "_lf_gstart", *[f"_lf_e_{c}" for c in group_by]))
 
 
 def max_key_col(df: DataFrame, key_col: str) -> Column:
@@ -154,21 +84,6 @@ def max_key_col(df: DataFrame, key_col: str) -> Column:
                              F.lit(0)).cast("long")).scalar()
 
 
-def max_key(df: DataFrame, key_col: str) -> int:
-    """Largest identity value ``>= 1`` (seeds such as -9 do not count); 0 if none."""
-    v = df.agg(F.max(F.when(F.col(key_col) >= 1, F.col(key_col)))).first()[0]
-    return int(v) if v is not None else 0
-
-
-def with_unknown_member(dim: DataFrame, seed: dict) -> DataFrame:
-    """Append the unknown-member row (S13/M9) unless its key is present."""
-    spark = dim.sparkSession
-    row = spark.createDataFrame([tuple(seed.get(c) for c in dim.columns)], dim.schema)
-    key = next(iter(seed))
-    present = dim.filter(F.col(key) == F.lit(seed[key])).select(key)
-    return dim.unionByName(row.join(present, key, "left_anti"))
-
-
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once (S12 primary key check); expect 0 rows."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -29,15 +29,10 @@ from pyspark.sql import functions as F
 from ..contracts import CREATE_DATE, ID, UPDATE_DATE, VALID_FROM, VALID_TO
 from ..functions.dates import ts_lit
 from ..functions.predicates import any_changed_sql, any_null, q
-from ..session import cut_lineage
-from .keys import assign_keys, max_key_col
+from .keys import assign_keys, max_key_col, number_ranges, store_ranges
 
 _S = "_lf_s_"
 
-# Merged transitions are stored once (instead of being recomputed by the
-# kept-rows and new-rows branches) when the source may exceed this many rows.
-STAGE_MIN_ROWS = 1_000_000
-
 
 def _ts_sql(load_date) -> str:
     """SQL literal of a load time (TIMESTAMP_NTZ)."""
@@ -69,11 +64,18 @@ def assert_unique_keys(source: DataFrame, keys: list[str], what: str = "source")
     return source.filter(F.when(most > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
 
 
-def _number_new(rows: DataFrame, keys: list[str], data_cols: list[str], start: Column,
-                id_col: str, bound: int | None, sample_from: DataFrame | None) -> DataFrame:
-    order = list(keys) + [c for c in data_cols if c not in keys]
-    return assign_keys(rows.drop(id_col), order, id_col, start, bound=bound,
-                       sample_from=sample_from)
+def _split_new(merged: DataFrame, order: list[str], id_col: str, start) -> tuple[DataFrame, DataFrame]:
+    """Rows that have an id, and the others with new ids.  ``merged`` is
+    stored once, in ranges of ``order``, and both parts read it, so the merge
+    join and the source run once."""
+    ranged = store_ranges(merged, order)
+    new = number_ranges(ranged.filter(F.col(id_col).isNull()).drop(id_col), order, id_col, start)
+    return ranged.filter(F.col(id_col).isNotNull()), new
+
+
+def _key_order(keys: list[str], data_cols: list[str]) -> list[str]:
+    """The natural key first; the other columns only order NULL-key rows."""
+    return list(keys) + [c for c in data_cols if c not in keys]
 
 
 def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
@@ -122,28 +124,15 @@ def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], trac
 
 
 def scd2_load(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
-              load_date, null_safe: bool = False, id_col: str = ID,
-              source_rows: int | None = None, stage: bool = True) -> DataFrame:
+              load_date, null_safe: bool = False, id_col: str = ID) -> DataFrame:
     """One SCD2 load (close changed/missing active versions, open new ones)
-    in a single pass over the active target.  ``source_rows`` (optional) is
-    an upper bound of the source row count; otherwise it is counted.
-
-    With ``stage`` and a source that may exceed ``STAGE_MIN_ROWS`` rows, the
-    merged transitions are stored once (a table in the shared checkpoint
-    folder) and both the kept rows and the new rows are read from it, so the
-    merge join and the source run exactly once; below that, recomputing the
-    small join is cheaper than a write."""
+    in a single pass over the active target."""
     keys, tracked = list(keys), list(tracked)
     data_cols = list(source.columns)
     cols = history_columns(data_cols, id_col)
     history = target.filter(F.col(VALID_TO).isNotNull()).select(*cols)
     merged = scd2_transitions(target, source, keys, tracked, load_date, null_safe, id_col)
-    bound = source_rows if source_rows is not None else source.count()
-    if stage and bound > STAGE_MIN_ROWS:
-        merged = cut_lineage(merged)
-    new = _number_new(merged.filter(F.col(id_col).isNull()), keys, data_cols,
-                      max_key_col(target, id_col), id_col, bound, source)
-    kept = merged.filter(F.col(id_col).isNotNull())
+    kept, new = _split_new(merged, _key_order(keys, data_cols), id_col, max_key_col(target, id_col))
     return history.unionByName(kept.select(*cols)).unionByName(new.select(*cols))
 
 
@@ -159,7 +148,7 @@ def scd2_close(target: DataFrame, source: DataFrame, keys: list[str], tracked: l
 
 
 def scd2_open(target: DataFrame, source: DataFrame, keys: list[str], load_date,
-              id_col: str = ID, source_rows: int | None = None) -> DataFrame:
+              id_col: str = ID) -> DataFrame:
     """Second half of a load (M2): insert a new version for every source row
     without an *active* target row on its key (new keys and keys just closed)."""
     t = ts_lit(load_date)
@@ -170,22 +159,21 @@ def scd2_open(target: DataFrame, source: DataFrame, keys: list[str], load_date,
     fresh = source.join(active_keys, keys, "left_anti")  # NULL keys never match: opened
     fresh = fresh.select(
         *data_cols, t.alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
-        t.alias(CREATE_DATE), t.alias(UPDATE_DATE), F.lit(None).cast("long").alias(id_col))
-    bound = source_rows if source_rows is not None else source.count()
-    new = _number_new(fresh, keys, data_cols, max_key_col(target, id_col), id_col, bound, source)
+        t.alias(CREATE_DATE), t.alias(UPDATE_DATE))
+    new = assign_keys(fresh, _key_order(keys, data_cols), id_col, max_key_col(target, id_col))
     return target.select(*cols).unionByName(new.select(*cols))
 
 
 def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
                 surrogate: str, load_date, null_safe: bool = False,
-                source_rows: int | None = None, stage: bool = True,
                 start: int | Column | None = None) -> DataFrame:
     """SCD type 1 upsert (M4/M5): matched and any compared column differs →
     source attributes, target surrogate and create date, ``update = load``;
     matched and equal, or target only → target row unchanged (rows are never
     deleted, G8); source only → new surrogate, ``create = update = load``.
 
-    ``key`` may be a list of columns (fact grain).  NULL keys never match.
+    ``key`` may be a list of columns (fact grain).  NULL keys never match:
+    such rows of either side go around the join.
     ``start`` is the largest surrogate in use when the caller knows it (e.g.
     from a commit log); otherwise it is a scalar subquery over the target.
     """
@@ -196,7 +184,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
     nk = any_null(keys)
     src_ok = assert_unique_keys(source.filter(~nk), keys)
     s = src_ok.selectExpr(*[f"{q(c)} AS {q(_S + c)}" for c in data_cols], "true AS _lf_sp")
-    tg = target.select(*out_cols).withColumn("_lf_tp", F.lit(True))
+    tg = target.filter(~nk).select(*out_cols).withColumn("_lf_tp", F.lit(True))
     j = tg.join(s, [tg[k] == s[_S + k] for k in keys], "full_outer")
     changed = any_changed_sql([(c, _S + c) for c in compared], null_safe)
     take_s = f"(_lf_tp IS NULL OR (_lf_sp IS NOT NULL AND {changed}))"
@@ -208,14 +196,9 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
     null_new = source.filter(nk).selectExpr(
         f"CAST(NULL AS BIGINT) AS {q(surrogate)}", *[q(c) for c in data_cols],
         f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}")
-    merged = merged.unionByName(null_new)
-    bound = source_rows if source_rows is not None else source.count()
-    if stage and bound > STAGE_MIN_ROWS:  # the merge join runs once; both branches read it
-        merged = cut_lineage(merged)
+    merged = merged.unionByName(target.filter(nk).select(*out_cols)).unionByName(null_new)
     first = max_key_col(target, surrogate) if start is None else start
-    new = assign_keys(merged.filter(F.col(surrogate).isNull()).drop(surrogate), data_cols,
-                      surrogate, first, bound=bound, sample_from=source)
-    kept = merged.filter(F.col(surrogate).isNotNull())
+    kept, new = _split_new(merged.select(*out_cols), data_cols, surrogate, first)
     return kept.select(*out_cols).unionByName(new.select(*out_cols))
 
 

@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.fixtures import snapshot
+from .gold import warehouse
 
 
 def _bronze(spark: SparkSession, d: str, table: str, *cols: str) -> DataFrame:
-    df = snapshot(spark, d, table, day=1)
-    return df.select(*cols) if cols else df
+    """Columns of the stored day-1 Bronze table."""
+    return warehouse(spark, d).bronze(table).select(*cols)
 
 
 def bi_product_list(spark: SparkSession, d: str) -> DataFrame:

@@ -6,11 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import (CUSTOMER, FACT_KEYS, GEOGRAPHY, PRODUCT, PRODUCT_CATEGORY, SILVER,
+from ..contracts import (CUSTOMER, FACT_KEYS, GEOGRAPHY, PRODUCT, PRODUCT_CATEGORY, PRODUCT_PREVIEW, SILVER,
                          UNKNOWN_KEY, VALID_TO)
 from ..operators import checks
 from ..operators.dml import delete_where, rekey_where, update_where
-from ..operators.keys import check_foreign_key
 from ..operators.merge import as_of
 from . import gold, silver
 
@@ -83,9 +82,7 @@ def star_category_preview(spark, d):
 
 def star_product_preview(spark, d):
     dim = gold.warehouse(spark, d).dim(PRODUCT, 2)
-    return dim.select("_tf_dim_product_id", "prod_product_id", "prod_name", "prod_product_number",
-                      "prod_color", "prod_list_price", "_tf_dim_product_category_id",
-                      "prod_product_model_name").orderBy("prod_product_id").limit(20)
+    return dim.select(*PRODUCT_PREVIEW).orderBy("prod_product_id").limit(20)
 
 
 def _product_with_category(w) -> DataFrame:
@@ -121,14 +118,18 @@ def fact_orphan_keys(spark, d):
     f = w.fact(2).select(*FACT_KEYS, "_tf_dim_calendar_id", "_tf_dim_customer_id",
                          "_tf_dim_geography_id", "_tf_dim_product_id")
     cal = gold.dim_calendar_range(spark).select("_tf_dim_calendar_id")
-    parts = [(cal, "_tf_dim_calendar_id"), (w.dim(CUSTOMER, 2), CUSTOMER.surrogate),
-             (w.dim(GEOGRAPHY, 2), GEOGRAPHY.surrogate), (w.dim(PRODUCT, 2), PRODUCT.surrogate)]
-    out = None
-    for dim, key in parts:
-        orphans = check_foreign_key(f, key, dim, key).select(
-            *FACT_KEYS, F.lit(key).alias("foreign_key"), F.col(key).cast("long").alias("key_value"))
-        out = orphans if out is None else out.unionByName(orphans)
-    return out
+    dims = [("_tf_dim_calendar_id", cal)] + [(s.surrogate, w.dim(s, 2)) for s in (CUSTOMER, GEOGRAPHY, PRODUCT)]
+    # One pass over the fact: distinct keys of each column are looked up in
+    # their dimension, then each row lists its keys that were not found.
+    checked = f
+    for n, (key, dim) in enumerate(dims):
+        known = dim.select(F.col(key).alias(f"_lf_k{n}")).distinct().withColumn(f"_lf_found{n}", F.lit(True))
+        checked = checked.join(known, F.col(key) == F.col(f"_lf_k{n}"), "left")
+    lost = F.filter(F.array(*[F.struct(F.lit(key).alias("foreign_key"), F.col(key).cast("long").alias("key_value"),
+                                       F.col(f"_lf_found{n}").alias("found")) for n, (key, _) in enumerate(dims)]),
+                    lambda x: x["found"].isNull())
+    return (checked.select(*FACT_KEYS, F.explode(lost).alias("x"))
+            .select(*FACT_KEYS, F.col("x.foreign_key").alias("foreign_key"), F.col("x.key_value").alias("key_value")))
 
 
 def key_uniqueness(spark, d):

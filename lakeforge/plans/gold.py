@@ -17,8 +17,8 @@ from ..operators.hierarchy import flatten_categories
 from ..operators.merge import scd1_upsert
 from ..operators.projection import conform
 from ..operators.star import fact_sales_projection
-from ..session import cut_lineage, ensure_checkpoint_dir
-from ..sources.fixtures import D1, row_bound
+from ..session import cut_lineage, ensure_checkpoint_dir, folder_stamp
+from ..sources.fixtures import D1, day2_snapshot, snapshot
 from ..sources.tables import read_table
 from . import silver
 
@@ -143,9 +143,9 @@ def product_source(product_history: DataFrame, model_history: DataFrame,
 
 
 def upsert_dim(target: DataFrame, source: DataFrame, spec: DimSpec, load_date,
-               source_rows: int | None = None, start: int | None = None) -> DataFrame:
+               start: int | None = None) -> DataFrame:
     return scd1_upsert(target, source, spec.natural_key, spec.compared, spec.surrogate,
-                       load_date, source_rows=source_rows, start=start)
+                       load_date, start=start)
 
 
 class Warehouse:
@@ -170,6 +170,8 @@ class Warehouse:
             try:
                 fut.set_result(fn())
             except BaseException as e:  # noqa: BLE001 - handed to every waiter
+                with self._lock:
+                    self._cache.pop(key, None)  # the next caller tries again
                 fut.set_exception(e)
         return fut.result()
 
@@ -181,30 +183,34 @@ class Warehouse:
             for f in [pool.submit(t) for t in thunks]:
                 f.result()
 
+    def bronze(self, table: str, day: int = 1) -> DataFrame:
+        """The source snapshot of ``day``, stored."""
+        def build():
+            if day == 1:
+                return cut_lineage(snapshot(self.spark, self.d, table))
+            return cut_lineage(day2_snapshot(self.bronze(table), table))
+        return self._memo(("b", table, day), build)
+
     def history(self, table: str, day: int) -> DataFrame:
         def build():
-            src = silver.stage_source(silver.silver_source(self.spark, self.d, table, day),
-                                      row_bound(self.spark, self.d, table))
+            src = silver.silver_source(self.spark, self.d, table, day)
             prev = (silver.empty_history(src) if day == 1 else self.history(table, day - 1))
-            return cut_lineage(silver.load(prev, src, table, silver.LOADS[day],
-                                           source_rows=row_bound(self.spark, self.d, table)))
+            return cut_lineage(silver.load(prev, src, table, silver.LOADS[day]))
         return self._memo(("h", table, day), build)
 
     def dim(self, spec: DimSpec, day: int) -> DataFrame:
         def build():
             prev = seeded_dim(self.spark, spec) if day == 1 else self.dim(spec, day - 1)
             if spec is GEOGRAPHY:
-                src, basis = geography_source(self.history("address", day)), "address"
+                src = geography_source(self.history("address", day))
             elif spec is CUSTOMER:
-                src, basis = customer_source(self.history("customer", day)), "customer"
+                src = customer_source(self.history("customer", day))
             elif spec is PRODUCT_CATEGORY:
-                src, basis = category_source(self.history("product_category", day)), "product_category"
+                src = category_source(self.history("product_category", day))
             else:
                 src = product_source(self.history("product", day), self.history("product_model", day),
                                      self.dim(PRODUCT_CATEGORY, day))
-                basis = "product"
-            return cut_lineage(upsert_dim(prev, src, spec, silver.LOADS[day],
-                                          row_bound(self.spark, self.d, basis)))
+            return cut_lineage(upsert_dim(prev, src, spec, silver.LOADS[day]))
         return self._memo(("d", spec.name, day), build)
 
     def _prefetch_fact_inputs(self, day: int) -> None:
@@ -229,8 +235,7 @@ class Warehouse:
             prev = self.empty_fact() if day == 1 else self.fact(day - 1)
             return cut_lineage(scd1_upsert(
                 prev, self.fact_projection(day), list(FACT_KEYS), [c for c, _ in FACT_COMPARED],
-                FACT_SURROGATE, silver.LOADS[day],
-                source_rows=row_bound(self.spark, self.d, "sales_order_detail")))
+                FACT_SURROGATE, silver.LOADS[day]))
         return self._memo(("f", day), build)
 
     def empty_fact(self) -> DataFrame:
@@ -247,10 +252,12 @@ _WAREHOUSES: dict = {}
 
 
 def warehouse(spark: SparkSession, d: str) -> Warehouse:
-    key = (spark.sparkContext.applicationId, id(spark), d)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(spark, d)
-    return _WAREHOUSES[key]
+    """The warehouse of this session and data folder, built anew when the
+    folder's files change."""
+    key, stamp = (spark.sparkContext.applicationId, id(spark), d), folder_stamp(spark, d)
+    if key not in _WAREHOUSES or _WAREHOUSES[key][0] != stamp:
+        _WAREHOUSES[key] = stamp, Warehouse(spark, d)
+    return _WAREHOUSES[key][1]
 
 
 _DIM_INPUTS = {GEOGRAPHY.name: ("address",), CUSTOMER.name: ("customer",),

@@ -25,14 +25,13 @@ from pyspark.sql import functions as F
 
 from ..contracts import (CUSTOMER, FACT_COMPARED, FACT_KEYS, FACT_SURROGATE, GEOGRAPHY, ID,
                          PRODUCT, PRODUCT_CATEGORY, SILVER, VALID_TO)
-from ..operators.keys import assign_keys
+from ..operators.keys import number_ranges, store_ranges
 from ..operators.merge import empty_history, history_columns, scd1_upsert, scd2_transitions
 from ..operators.projection import to_silver
 from ..operators.star import fact_sales_projection
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir
 from ..sources import snapshot as store
 from ..sources.files import read_csv, write_csv
-from ..sources.fixtures import row_bound
 from ..sources.fixtures import snapshot as fixture_snapshot
 from . import gold, silver
 
@@ -52,8 +51,7 @@ def silver_history(st: store.Store, table: str) -> DataFrame:
     return st.spark.read.schema(cur.schema).parquet(*paths).unionByName(cur)
 
 
-def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date,
-                source_rows: int | None = None) -> None:
+def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date) -> None:
     """SCD2 load into the split layout: newly closed versions are appended,
     the current part is rewritten; closed history is not read or rewritten
     (only its ids, for the next identity value)."""
@@ -63,13 +61,10 @@ def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date,
     cur_t, closed_t = f"silver/{table}/current", f"silver/{table}/closed"
     current = st.read(cur_t) if st.has(cur_t) else empty_history(src)
     # stored once: the closed and current parts are both read from it
-    merged = cut_lineage(scd2_transitions(current, src, list(spec.keys), list(spec.tracked),
-                                          load_date))
+    order = list(spec.keys) + [c for c in src.columns if c not in spec.keys]
+    merged = store_ranges(scd2_transitions(current, src, list(spec.keys), list(spec.tracked), load_date), order)
     # next identity value from the commit log: no scan of the history
-    start = st.max_key(cur_t, closed_t)
-    new = assign_keys(merged.filter(F.col(ID).isNull()).drop(ID),
-                      list(spec.keys) + [c for c in src.columns if c not in spec.keys], ID, start,
-                      bound=source_rows, sample_from=src)
+    new = number_ranges(merged.filter(F.col(ID).isNull()).drop(ID), order, ID, st.max_key(cur_t, closed_t))
     kept = merged.filter(F.col(ID).isNotNull() & F.col(VALID_TO).isNull())
     st.write(merged.filter(F.col(VALID_TO).isNotNull()).select(*cols), closed_t, key=ID)
     st.write(kept.select(*cols).unionByName(new.select(*cols)), cur_t, key=ID)
@@ -93,35 +88,31 @@ def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
                    for t in SILVER])
     st.commit()
     # silver: tables are independent of each other
-    _concurrently([lambda t=t: load_silver(st, t, st.read(f"bronze/{t}"), load_date,
-                                           row_bound(spark, d, t)) for t in SILVER])
+    _concurrently([lambda t=t: load_silver(st, t, st.read(f"bronze/{t}"), load_date) for t in SILVER])
     st.commit()
 
     def cur(t):
         return st.read(f"silver/{t}/current")
 
-    def upsert(spec, src, basis):
+    def upsert(spec, src):
         name = f"gold/{spec.name}"
         prev = st.read(name) if st.has(name) else gold.seeded_dim(spark, spec)
-        out = gold.upsert_dim(prev, src, spec, load_date, row_bound(spark, d, basis),
-                              start=st.latest_max_key(name))
+        out = gold.upsert_dim(prev, src, spec, load_date, start=st.latest_max_key(name))
         st.write(out, name, key=spec.surrogate)
 
     _concurrently([
-        lambda: upsert(GEOGRAPHY, gold.geography_source(cur("address")), "address"),
-        lambda: upsert(CUSTOMER, gold.customer_source(cur("customer")), "customer"),
-        lambda: upsert(PRODUCT_CATEGORY, gold.category_source(cur("product_category")),
-                       "product_category")])
+        lambda: upsert(GEOGRAPHY, gold.geography_source(cur("address"))),
+        lambda: upsert(CUSTOMER, gold.customer_source(cur("customer"))),
+        lambda: upsert(PRODUCT_CATEGORY, gold.category_source(cur("product_category")))])
     upsert(PRODUCT, gold.product_source(cur("product"), cur("product_model"),
-                                        st.read(f"gold/{PRODUCT_CATEGORY.name}")), "product")
+                                        st.read(f"gold/{PRODUCT_CATEGORY.name}")))
     st.commit()
     proj = fact_sales_projection(cur("sales_order_detail"), cur("sales_order_header"), cur("customer"),
                                  cur("address"), st.read(f"gold/{CUSTOMER.name}"),
                                  st.read(f"gold/{GEOGRAPHY.name}"), st.read(f"gold/{PRODUCT.name}"))
     prev = st.read("gold/fact_sales") if st.has("gold/fact_sales") else gold.warehouse(spark, d).empty_fact()
     st.write(scd1_upsert(prev, proj, list(FACT_KEYS), [c for c, _ in FACT_COMPARED], FACT_SURROGATE,
-                         load_date, source_rows=row_bound(spark, d, "sales_order_detail"),
-                         start=st.latest_max_key("gold/fact_sales")),
+                         load_date, start=st.latest_max_key("gold/fact_sales")),
              "gold/fact_sales", key=FACT_SURROGATE)
     st.commit()
 

@@ -10,7 +10,7 @@ from ..contracts import SILVER, VALID_TO
 from ..operators.merge import empty_history, scd2_close, scd2_load, scd2_open
 from ..operators.projection import to_silver
 from ..session import cut_lineage
-from ..sources.fixtures import LOAD_1, LOAD_2, row_bound, snapshot
+from ..sources.fixtures import LOAD_1, LOAD_2
 
 LOADS = {1: LOAD_1, 2: LOAD_2}
 LOAD_3 = "2024-01-03 06:00:00"
@@ -18,25 +18,14 @@ LOAD_3 = "2024-01-03 06:00:00"
 
 def silver_source(spark: SparkSession, d: str, table: str, day: int) -> DataFrame:
     """Bronze snapshot of ``day`` renamed to Silver names and types."""
-    return to_silver(snapshot(spark, d, table, day), SILVER[table])
-
-
-# A derived snapshot is read several times by one load (key check, merge
-# join, NULL-key split, key sample); above this many rows it is stored once.
-STAGE_SOURCE_MIN_ROWS = 100_000
-
-
-def stage_source(src: DataFrame, bound: int) -> DataFrame:
-    """Store a derived snapshot once when it is large enough that
-    re-deriving it per use costs more than one write."""
-    return cut_lineage(src) if bound > STAGE_SOURCE_MIN_ROWS else src
+    from .gold import warehouse  # gold builds on this module
+    return to_silver(warehouse(spark, d).bronze(table, day), SILVER[table])
 
 
 def load(target: DataFrame, source: DataFrame, table: str, load_date,
-         null_safe: bool = False, source_rows: int | None = None) -> DataFrame:
+         null_safe: bool = False) -> DataFrame:
     spec = SILVER[table]
-    return scd2_load(target, source, spec.keys, spec.tracked, load_date, null_safe,
-                     source_rows=source_rows)
+    return scd2_load(target, source, spec.keys, spec.tracked, load_date, null_safe)
 
 
 def history(spark: SparkSession, d: str, table: str, days: int = 2,
@@ -45,10 +34,9 @@ def history(spark: SparkSession, d: str, table: str, days: int = 2,
     Each load's result is checkpointed, as the scheduled run stores the
     table between loads, so the next load starts from stored data."""
     h = None
-    bound = row_bound(spark, d, table)
     for day in range(1, days + 1):
-        src = stage_source(silver_source(spark, d, table, day), bound)
-        h = load(empty_history(src) if h is None else h, src, table, LOADS[day], null_safe, bound)
+        src = silver_source(spark, d, table, day)
+        h = load(empty_history(src) if h is None else h, src, table, LOADS[day], null_safe)
         h = cut_lineage(h)
     return h
 
@@ -73,14 +61,13 @@ def scd2_open_address(spark, d):
     src2 = silver_source(spark, d, "address", 2)
     closed = cut_lineage(scd2_close(history(spark, d, "address", 1), src2, spec.keys,
                                     spec.tracked, LOAD_2))
-    return scd2_open(closed, src2, spec.keys, LOAD_2, source_rows=row_bound(spark, d, "address"))
+    return scd2_open(closed, src2, spec.keys, LOAD_2)
 
 
 def scd2_noop_rerun(spark, d):
     """Loading the day-2 snapshot a second time changes nothing (G4: no NULL keys)."""
     h2 = _stored(spark, d, "address", 2)
-    return load(h2, silver_source(spark, d, "address", 2), "address", LOAD_3,
-                source_rows=row_bound(spark, d, "address"))
+    return load(h2, silver_source(spark, d, "address", 2), "address", LOAD_3)
 
 
 def scd2_null_safe(spark, d):

@@ -69,18 +69,14 @@ def cut_lineage(df):
     return spark.read.parquet(path)
 
 
-_ROW_COUNTS: dict = {}
-
-
-def table_rows(spark: SparkSession, path: str) -> int:
-    """Row count of a stored table, remembered per (path, size, mtime): an
-    upper bound that saves count jobs when the same input is reused."""
-    try:
-        st = os.stat(path)
-        stamp = (st.st_size, st.st_mtime)
-    except OSError:
-        stamp = None
-    key = (path, stamp)
-    if stamp is None or key not in _ROW_COUNTS:
-        _ROW_COUNTS[key] = spark.read.parquet(path).count()
-    return _ROW_COUNTS[key]
+def folder_stamp(spark: SparkSession, path: str) -> int:
+    """A number that changes when files under ``path`` change (names, sizes
+    and times, two levels deep), read through Spark's file systems."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(conf)
+    found = []
+    for entry in fs.listStatus(top):
+        files = fs.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return hash(tuple(sorted(found)))

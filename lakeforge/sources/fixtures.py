@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..contracts import SILVER
 from ..operators.keys import assign_keys, number_within_groups
-from ..session import table_rows
 from .tables import read_table
 
 # --- fixed values: fixture timestamps and load times ---------------------
@@ -141,8 +140,7 @@ DETAIL_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quant
 def src_salesorderdetail(spark: SparkSession, d: str) -> DataFrame:
     li = read_table(spark, d, "lineitem", "l_orderkey", *DETAIL_ORDER)
     # line number per order; a hot order is split over tasks at scale
-    li = number_within_groups(li, ["l_orderkey"], DETAIL_ORDER, "SalesOrderDetailID",
-                              bound=table_rows(spark, f"{d.rstrip('/')}/lineitem.parquet"))
+    li = number_within_groups(li, ["l_orderkey"], DETAIL_ORDER, "SalesOrderDetailID")
     price = F.col("l_extendedprice")
     out = li.select(
         (F.col("l_orderkey") + 1).alias("SalesOrderID"),
@@ -158,44 +156,32 @@ def src_salesorderdetail(spark: SparkSession, d: str) -> DataFrame:
     return _finish(out, "sales_order_detail")
 
 
-def _dense_ids(df: DataFrame, cols: list[str], key: str, bound: int) -> DataFrame:
-    """Dense rank over the distinct values of ``cols`` (scale-safe numbering;
-    ``bound`` = rows of the table the values come from)."""
-    return assign_keys(df.select(*cols).distinct(), cols, key, bound=bound)
+def _dense_ids(df: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """Dense rank over the distinct values of ``cols`` without NULLs."""
+    return assign_keys(df.select(*cols).na.drop().distinct(), cols, key)
 
 
-def _part_rows(spark: SparkSession, d: str) -> int:
-    return table_rows(spark, f"{d.rstrip('/')}/part.parquet")
+def _first_child(spark: SparkSession, d: str) -> Column:
+    """Categories of types are numbered from 1; those of brands follow."""
+    return read_table(spark, d, "part", "p_type").agg(F.count_distinct("p_type")).scalar()
 
 
-# Upper bound of rows of each source frame: (given table, rows per given row).
-ROW_BASIS = {
-    "address": ("customer", 1), "customer": ("customer", 1),
-    "customer_address": ("customer", 1), "sales_order_header": ("orders", 1),
-    "sales_order_detail": ("lineitem", 1), "product_category": ("part", 2),
-    "product_model": ("part", 1), "product_description": ("part", 2),
-    "product_model_product_description": ("part", 2), "product": ("part", 1),
-}
-
-
-def row_bound(spark: SparkSession, d: str, table: str) -> int:
-    """Upper bound of the row count of the source frame of ``table``."""
-    base, per = ROW_BASIS[table]
-    return per * table_rows(spark, f"{d.rstrip('/')}/{base}.parquet")
+# Parent of the categories whose parent is missing; no category has this id.
+NO_PARENT = -1
 
 
 def src_productcategory(spark: SparkSession, d: str) -> DataFrame:
     p = read_table(spark, d, "part", "p_type", "p_brand")
-    roots = _dense_ids(p, ["p_type"], "root_id", _part_rows(spark, d))
-    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank", _part_rows(spark, d))
+    roots = _dense_ids(p, ["p_type"], "root_id")
+    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank")
     root_rows = roots.select(
         F.col("root_id").alias("ProductCategoryID"),
         F.lit(None).cast("int").alias("ParentProductCategoryID"),
         F.col("p_type").alias("Name"))
-    kid_id = F.lit(100) + F.col("kid_rank")
-    kid_rows = kids.join(roots, "p_type").select(
-        kid_id.alias("ProductCategoryID"),
-        F.when(kid_id % 29 == 0, F.lit(999)).otherwise(F.col("root_id")).alias("ParentProductCategoryID"),
+    numbered = kids.join(roots, "p_type").withColumn("kid_id", _first_child(spark, d) + F.col("kid_rank"))
+    kid_rows = numbered.select(
+        F.col("kid_id").alias("ProductCategoryID"),
+        F.when(F.col("kid_id") % 29 == 0, F.lit(NO_PARENT)).otherwise(F.col("root_id")).alias("ParentProductCategoryID"),
         F.concat_ws(" ", "p_type", "p_brand").alias("Name"))
     out = root_rows.unionByName(kid_rows).withColumn("ModifiedDate", ts(D1)) \
         .withColumn("rowguid", _rowguid("product_category", "ProductCategoryID"))
@@ -203,8 +189,7 @@ def src_productcategory(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _models(spark: SparkSession, d: str) -> DataFrame:
-    return _dense_ids(read_table(spark, d, "part", "p_name"), ["p_name"], "model_id",
-                      _part_rows(spark, d))
+    return _dense_ids(read_table(spark, d, "part", "p_name"), ["p_name"], "model_id")
 
 
 def src_productmodel(spark: SparkSession, d: str) -> DataFrame:
@@ -249,13 +234,14 @@ def src_productmodelproductdescription(spark: SparkSession, d: str) -> DataFrame
 def src_product(spark: SparkSession, d: str) -> DataFrame:
     p = read_table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size",
                    "p_retailprice")
-    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank", _part_rows(spark, d))
+    kids = _dense_ids(p, ["p_type", "p_brand"], "kid_rank")
     models = _models(spark, d)
     k = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(19,4)")
     # kids/models are bounded by the distinct (type, brand) and name values;
     # AQE turns these joins into broadcasts at run time when they are small.
-    j = p.join(kids, ["p_type", "p_brand"]).join(models, "p_name")
+    j = (p.join(kids, ["p_type", "p_brand"], "left").join(models, "p_name", "left")
+         .withColumn("kid_id", _first_child(spark, d) + F.col("kid_rank")))
     out = j.select(
         (k + 1).alias("ProductID"),
         F.col("p_name").alias("Name"),
@@ -265,7 +251,7 @@ def src_product(spark: SparkSession, d: str) -> DataFrame:
         price.alias("ListPrice"),
         F.col("p_size").cast("string").alias("Size"),
         _null_if(k % 5 == 0, F.col("p_size")).alias("Weight"),
-        (F.lit(100) + F.col("kid_rank")).alias("ProductCategoryID"),
+        F.col("kid_id").alias("ProductCategoryID"),
         F.col("model_id").alias("ProductModelID"),
         ts(D0).alias("SellStartDate"),
         F.when(k % 4 == 0, ts(D1)).alias("SellEndDate"),
@@ -293,9 +279,10 @@ SOURCES = {
 
 # --- fixed values: day-2 snapshot rules -----------------------------------
 # id = first source key column (day-1 value).  Deleted: id % 17 = 0;
-# re-keyed: id % 19 = 5 -> id + 1000000; updated: id % 10 = 3 (one attribute,
-# ModifiedDate = D2); NULL filled: id % 23 = 7 (ModifiedDate unchanged).
-DELETE_MOD, REKEY_MOD, REKEY_REM, REKEY_SHIFT = 17, 19, 5, 1_000_000
+# re-keyed: id % 19 = 5 -> id + the table's largest id; updated: id % 10 = 3
+# (one attribute, ModifiedDate = D2); NULL filled: id % 23 = 7 (ModifiedDate
+# unchanged).
+DELETE_MOD, REKEY_MOD, REKEY_REM = 17, 19, 5
 UPDATE_MOD, UPDATE_REM, FILL_MOD, FILL_REM = 10, 3, 23, 7
 
 # table -> (updated column, SQL expression of its new value)
@@ -338,9 +325,11 @@ def day2_snapshot(day1: DataFrame, table: str) -> DataFrame:
         fcol, fexpr = DAY2_FILL[table]
         cols[fcol] = (f"CASE WHEN {key} % {FILL_MOD} = {FILL_REM} AND {fcol} IS NULL "
                       f"THEN CAST({fexpr} AS {types[fcol]}) ELSE {cols[fcol]} END")
-    cols[key] = (f"CAST(CASE WHEN {key} % {REKEY_MOD} = {REKEY_REM} THEN {key} + {REKEY_SHIFT} "
+    cols[key] = (f"CAST(CASE WHEN {key} % {REKEY_MOD} = {REKEY_REM} THEN {key} + _lf_top "
                  f"ELSE {key} END AS {types[key]})")
-    return df.selectExpr(*[f"{cols[c]} AS {c}" for c in df.columns])
+    names = df.columns
+    top = day1.agg(F.max(key).cast("long")).scalar()
+    return df.withColumn("_lf_top", top).selectExpr(*[f"{cols[c]} AS {c}" for c in names])
 
 
 def snapshot(spark: SparkSession, d: str, table: str, day: int = 1) -> DataFrame:

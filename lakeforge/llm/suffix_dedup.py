@@ -107,7 +107,9 @@ def anchors(texts: list[bytes], length: int, gram: int):
         first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
         part = which[starts[first]]
         begin = starts[first] - (ends - sizes)[part] + np.array([a for _, a, _ in some])[part]
-        out.append((np.array([k for k, *_ in some])[part], begin, np.diff(np.append(first, len(starts))), key[at[first]]))
+        # Least hashes crowd at the low end; mixed again they spread over all buckets.
+        spread = mix(key[at[first]] ^ np.uint64(_BASE))
+        out.append((np.array([k for k, *_ in some])[part], begin, np.diff(np.append(first, len(starts))), spread))
     if not out:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
     return tuple(np.concatenate(x) for x in zip(*out))

@@ -2,15 +2,15 @@
 
 All stages are Spark ML estimators fitted by distributed aggregations (means,
 category counts, tree statistics); nothing is collected to the driver except
-fitted statistics.  The search puts the *whole* pipeline inside
-``CrossValidator`` so preprocessing is refitted per fold (no fold leakage,
-G16), and evaluates the param maps in parallel.
+fitted statistics.  The search fits the feature stages once per fold, on that
+fold's training rows (no leakage, G16), and then each distinct tree setting.
 """
 
 from __future__ import annotations
 
 import math
 import random
+import re
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -21,7 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, folder_stamp
 from ..sources.tables import read_table
 
 # --- fixed values: the feature frame -------------------------------------------------------
@@ -32,17 +32,18 @@ LABEL = "quality"
 HOLDOUT_MOD = 5
 # Decision tree of the reference pipeline.
 TREE_PARAMS = {"impurity": "entropy", "maxDepth": 3, "minInstancesPerNode": 10, "seed": 42}
-# Search space: depth log-int 3..40 (Spark caps depth at 30), min split and
-# min leaf fractions log-uniform 1e-6..1e-3; 100 trials, 5 folds.
-DEPTH_RANGE = (3, 40)
+# Search space: depth log-int 3..30 (30 is the deepest tree Spark fits), leaf
+# fraction log-uniform 1e-6..1e-3; 100 trials, 5 folds.  Spark's trees have no
+# parameter for the rows a split needs; a leaf's rows bound it from below.
+DEPTH_RANGE = (3, 30)
 FRACTION_RANGE = (1e-6, 1e-3)
-SPARK_MAX_DEPTH = 30
 TRIALS, FOLDS = 100, 5
 
 
 def raw_frame(spark: SparkSession, d: str) -> DataFrame:
-    """documents ⋈ labels with the feature columns (NULLs planted for the
-    imputer and the ``keep`` indexer)."""
+    """Every document with the feature columns (NULLs planted for the imputer
+    and the ``keep`` indexer); ``quality`` and ``toxic`` are NULL without a
+    label."""
     # the word count is taken from the whole text *before* the join, so the
     # texts themselves never travel through the join's shuffle
     docs = read_table(spark, d, "documents", "doc_id", "text", "lang", "source", "n_chars") \
@@ -50,7 +51,7 @@ def raw_frame(spark: SparkSession, d: str) -> DataFrame:
                 F.size(F.split(F.trim(F.col("text")), r"\s+")).alias("_lf_words"))
     labels = read_table(spark, d, "labels", "doc_id", "quality", "toxic")
     k = F.col("doc_id")
-    return docs.join(labels, "doc_id").select(
+    return docs.join(labels, "doc_id", "left").select(
         "doc_id",
         F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("n_chars")).alias("n_chars"),
         F.when(k % 7 == 0, F.lit(None)).otherwise(F.col("_lf_words")).alias("n_words"),
@@ -69,23 +70,27 @@ def prepare(df: DataFrame, with_label: bool = True) -> DataFrame:
     return df.select(*cols)
 
 
+def labelled(spark: SparkSession, d: str) -> DataFrame:
+    return raw_frame(spark, d).filter(F.col(LABEL).isNotNull())
+
+
 def train_test(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The labelled rows outside the hold-out, and all other documents."""
     raw = raw_frame(spark, d)
-    hold = (F.col(ID_COL) % HOLDOUT_MOD) == 0
-    return prepare(raw.filter(~hold)), prepare(raw.filter(hold), with_label=False)
+    train = F.col(LABEL).isNotNull() & (F.col(ID_COL) % HOLDOUT_MOD != 0)
+    return prepare(raw.filter(train)), prepare(raw.filter(~train), with_label=False)
 
 
 def feature_stages(numeric=NUMERIC, categorical=CATEGORICAL) -> list:
-    """Mean imputer, indexers (NULL/unseen kept as an extra index),
-    one-hot encoders (last slot dropped), assembler."""
-    stages = [Imputer(inputCols=list(numeric), outputCols=[f"{c}_imputed" for c in numeric])
-              .setStrategy("mean")]
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_indexed").setHandleInvalid("keep"))
-        stages.append(OneHotEncoder(inputCol=f"{c}_indexed", outputCol=f"{c}_ohe"))
-    stages.append(VectorAssembler(inputCols=[f"{c}_imputed" for c in numeric] +
-                                  [f"{c}_ohe" for c in categorical], outputCol="features"))
-    return stages
+    """L2–L5 in one stage each: means for missing numbers, an index per
+    category (NULL or unseen values get the last one), indicator vectors
+    without the last index, and the vector of all features."""
+    filled, places = [f"{c}_filled" for c in numeric], [f"{c}_place" for c in categorical]
+    flags = [f"{c}_is" for c in categorical]
+    return [Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled),
+            StringIndexer(handleInvalid="keep", inputCols=list(categorical), outputCols=places),
+            OneHotEncoder(inputCols=places, outputCols=flags),
+            VectorAssembler(inputCols=filled + flags, outputCol="features")]
 
 
 def feature_pipeline(label: str = LABEL, **tree_params) -> Pipeline:
@@ -105,40 +110,41 @@ def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
 
 
 def sample_space(trials: int = TRIALS, seed: int = 42) -> list[dict]:
-    """Seeded log-uniform trials (depth log-int, fractions log-float)."""
+    """Seeded log-uniform trials (depth log-int, leaf fraction log-float)."""
     rng = random.Random(seed)
-    out = []
-    lo, hi = DEPTH_RANGE
-    flo, fhi = FRACTION_RANGE
-    for _ in range(trials):
-        depth = int(round(math.exp(rng.uniform(math.log(lo), math.log(hi)))))
-        # min split fraction has no Spark parameter: drawn (so the sequence of
-        # draws matches the 3-dimensional space) but not applied
-        _split = math.exp(rng.uniform(math.log(flo), math.log(fhi)))
-        leaf = math.exp(rng.uniform(math.log(flo), math.log(fhi)))
-        out.append({"maxDepth": min(depth, SPARK_MAX_DEPTH), "minWeightFractionPerNode": leaf})
-    return out
+
+    def log_uniform(low, high):
+        return math.exp(rng.uniform(math.log(low), math.log(high)))
+
+    return [{"maxDepth": round(log_uniform(*DEPTH_RANGE)), "leaf_fraction": log_uniform(*FRACTION_RANGE)}
+            for _ in range(trials)]
+
+
+def tree_settings(trial: dict, rows: int) -> dict:
+    """Spark's parameters for a trial on a training set of ``rows`` rows: a
+    leaf fraction is a least number of rows."""
+    return {"maxDepth": trial["maxDepth"], "minInstancesPerNode": max(1, math.ceil(trial["leaf_fraction"] * rows))}
+
+
+def fold_of(folds: int = FOLDS):
+    """Fold of a row: from the digits of its id's hash, so that it depends on
+    nothing but the id."""
+    return (F.conv(F.substring(F.md5(F.col(ID_COL).cast("string")), 1, 8), 16, 10).cast("long") % folds).cast("int")
 
 
 def search(df: DataFrame, trials: int = TRIALS, folds: int = FOLDS, seed: int = 42,
            parallelism: int = 64):
-    """K-fold cross-validated accuracy of every trial, then the best
-    pipeline refitted on all rows.  Returns (best model, trials frame).
-
-    Same semantics as ``CrossValidator`` over the whole pipeline (features
-    are fitted inside each fold, G16), but the feature stages — which no
-    trial changes — are fitted once per fold instead of once per (trial,
-    fold); each fold's features are cached and the trials' trees are fitted
-    concurrently (``parallelism`` jobs at a time).
-    """
+    """Cross-validated accuracy of every trial, then the best trial
+    refitted on all rows.  Returns (best model, trials frame).
+
+    The feature stages, which no trial changes, are fitted once per fold; each
+    distinct tree setting of a fold is fitted once, ``parallelism`` jobs at a
+    time."""
     from concurrent.futures import ThreadPoolExecutor
 
     space = sample_space(trials, seed)
     ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
-    # fold ids are stored once, so every fold's train/validation filters see
-    # the same assignment (a recomputed rand() could shift rows between folds)
-    with_fold = cut_lineage(df.withColumn("_lf_fold", (F.rand(seed) * folds).cast("int")))
-    scores = [[0.0] * folds for _ in space]
+    with_fold = cut_lineage(df.withColumn("_lf_fold", fold_of(folds)))
 
     def prepare_fold(k):
         train_k = with_fold.filter(F.col("_lf_fold") != k)
@@ -146,30 +152,30 @@ def search(df: DataFrame, trials: int = TRIALS, folds: int = FOLDS, seed: int =
         prep = Pipeline(stages=feature_pipeline().getStages()[:-1]).fit(train_k)
         tr = prep.transform(train_k).select("label", "features").cache()
         va = prep.transform(valid_k).select("label", "features").cache()
-        return tr, va
+        return tr, va, tr.count()
 
     def fit_eval(job):
-        i, k = job
-        tr, va = prepared[k]
-        tree = DecisionTreeClassifier(labelCol="label", featuresCol="features",
-                                      **{**TREE_PARAMS, **space[i]})
-        return i, k, ev.evaluate(tree.fit(tr).transform(va))
+        k, setting = job
+        tr, va, _ = prepared[k]
+        tree = DecisionTreeClassifier(labelCol="label", featuresCol="features", **{**TREE_PARAMS, **dict(setting)})
+        return job, ev.evaluate(tree.fit(tr).transform(va))
+
+    def key(trial, rows):
+        return tuple(sorted(tree_settings(trial, rows).items()))
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         prepared = list(pool.map(prepare_fold, range(folds)))
-        jobs = [(i, k) for k in range(folds) for i in range(len(space))]
-        for i, k, acc in pool.map(fit_eval, jobs):
-            scores[i][k] = acc
-    for tr, va in prepared:
+        jobs = {(k, key(t, prepared[k][2])) for k in range(folds) for t in space}
+        score_of = dict(pool.map(fit_eval, sorted(jobs)))
+    for tr, va, _ in prepared:
         tr.unpersist()
         va.unpersist()
-    means = [sum(s) / folds for s in scores]
+    means = [sum(score_of[k, key(t, prepared[k][2])] for k in range(folds)) / folds for t in space]
     best = max(range(len(space)), key=lambda i: (means[i], -i))
-    best_model = feature_pipeline(**space[best]).fit(df)
-    rows = [(i, t["maxDepth"], float(t["minWeightFractionPerNode"]), float(m))
-            for i, (t, m) in enumerate(zip(space, means))]
+    best_model = feature_pipeline(**tree_settings(space[best], with_fold.count())).fit(with_fold)
+    rows = [(i, t["maxDepth"], float(t["leaf_fraction"]), float(m)) for i, (t, m) in enumerate(zip(space, means))]
     trials_df = df.sparkSession.createDataFrame(
-        rows, "trial int, max_depth int, min_weight_fraction double, cv_accuracy double")
+        rows, "trial int, max_depth int, leaf_fraction double, cv_accuracy double")
     return best_model, trials_df
 
 
@@ -190,23 +196,33 @@ def score(model_path: str, df: DataFrame, id_col: str = ID_COL) -> DataFrame:
 _MODELS: dict = {}
 
 
+def _kept(spark: SparkSession, d: str, what: str, build):
+    """A fitted result of this session and folder, built anew when the
+    folder's files change."""
+    key, stamp = (spark.sparkContext.applicationId, d, what), folder_stamp(spark, d)
+    if key not in _MODELS or _MODELS[key][0] != stamp:
+        _MODELS[key] = stamp, build()
+    return _MODELS[key][1]
+
+
 def _fitted(spark: SparkSession, d: str) -> tuple[PipelineModel, DataFrame]:
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _MODELS:
-        train, _ = train_test(spark, d)
-        _MODELS[key] = feature_pipeline().fit(train)
-    return _MODELS[key], train_test(spark, d)[0]
+    train, _ = train_test(spark, d)
+    return _kept(spark, d, "model", lambda: feature_pipeline().fit(train)), train
+
+
+def _searched(spark: SparkSession, d: str):
+    return _kept(spark, d, "search", lambda: search(train_test(spark, d)[0]))
 
 
 def ml_prepare(spark, d):
-    return prepare(raw_frame(spark, d))
+    return prepare(labelled(spark, d))
 
 
 def ml_mean_impute(spark, d):
     train, _ = train_test(spark, d)
     model = Pipeline(stages=feature_stages()[:1]).fit(train)
     out = model.transform(train)
-    return out.select(ID_COL, *[F.round(f"{c}_imputed", 6).alias(f"{c}_imputed") for c in NUMERIC])
+    return out.select(ID_COL, *[F.round(f"{c}_filled", 6).alias(f"{c}_imputed") for c in NUMERIC])
 
 
 def _indexed_values(model: PipelineModel, train: DataFrame, c: str) -> DataFrame:
@@ -216,13 +232,12 @@ def _indexed_values(model: PipelineModel, train: DataFrame, c: str) -> DataFrame
     filler = {n: F.lit(0.0) for n in NUMERIC}
     others = {o: F.lit(None).cast("string" if o != "toxic" else "int") for o in CATEGORICAL if o != c}
     frame = values.select(*[v.alias(k) for k, v in filler.items()], *[v.alias(k) for k, v in others.items()], c)
-    stages = model.stages[:1 + 2 * len(CATEGORICAL)]
-    out = PipelineModel(stages).transform(frame)
-    arr = vector_to_array(F.col(f"{c}_ohe"))
+    out = PipelineModel(model.stages[:3]).transform(frame)
+    arr = vector_to_array(F.col(f"{c}_is"))
     slot = F.array_position(arr, 1.0) - 1
     return out.select(
         F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
-        F.col(f"{c}_indexed").cast("int").alias("category_index"),
+        F.col(f"{c}_place").cast("int").alias("category_index"),
         F.when(slot >= 0, slot).cast("int").alias("one_hot_slot"),
         F.size(arr).alias("one_hot_size"))
 
@@ -246,7 +261,8 @@ def ml_one_hot_slots(spark, d):
 
 def ml_assemble(spark, d):
     model, train = _fitted(spark, d)
-    return model.transform(train).select(ID_COL, vector_to_array("features").alias("features"))
+    return model.transform(train).select(
+        ID_COL, F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
 
 
 def ml_tree_predict(spark, d):
@@ -262,21 +278,36 @@ def ml_feature_names(spark, d):
 
 
 def ml_tree_rules(spark, d):
-    """Feature importances of the fitted tree as rows."""
+    """The fitted tree as text, a row per line, with the importance of
+    the feature that the line splits on."""
     model, train = _fitted(spark, d)
     tree = model.stages[-1]
     names = feature_names(model, train)
-    imp = tree.featureImportances.toArray().tolist()
-    return spark.createDataFrame(
-        [(i, n, float(imp[i])) for i, n in enumerate(names)],
-        "position int, feature string, importance double")
+    weights = tree.featureImportances.toArray().tolist()
+    rows = []
+    for n, line in enumerate(tree.toDebugString.strip().split("\n")):
+        found = re.search(r"feature (\d+)", line)
+        k = int(found[1]) if found else None
+        rows.append((n, re.sub(r"uid=\w+, ", "", line.rstrip()), None if k is None else names[k], None if k is None else weights[k]))
+    return spark.createDataFrame(rows, "line int, rule string, feature string, importance double")
 
 
 def ml_cv_search(spark, d):
+    return _searched(spark, d)[1]
+
+
+def ml_fold_sizes(spark, d):
+    """Rows and good documents per fold of the search."""
     train, _ = train_test(spark, d)
-    train = train.cache()  # reused by every fold and trial
-    _, trials = search(train)
-    return trials
+    return train.groupBy(fold_of().alias("fold")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(LABEL).cast("long").alias("n_good"))
+
+
+def ml_best_scores(spark, d):
+    """Every document outside the training rows, scored by the best trial
+    refitted on all training rows."""
+    model, _ = _searched(spark, d)
+    return model.transform(train_test(spark, d)[1]).select(
+        ID_COL, "prediction", vector_to_array("probability").alias("probability"))
 
 
 def ml_score_saved_model(spark, d):
@@ -307,6 +338,8 @@ QUERIES = {
     "ml_feature_names": ml_feature_names,
     "ml_tree_rules": ml_tree_rules,
     "ml_cv_search": ml_cv_search,
+    "ml_fold_sizes": ml_fold_sizes,
+    "ml_best_scores": ml_best_scores,
     "ml_score_saved_model": ml_score_saved_model,
     "ml_submission": ml_submission,
 }

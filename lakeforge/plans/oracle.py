@@ -754,6 +754,24 @@ FROM (SELECT DISTINCT column_name FROM vals WHERE value IS NULL) v""")]
 SELECT column_name, value,
   CASE WHEN category_index < n_labels THEN category_index END AS one_hot_slot,
   CAST(n_labels AS INT) AS one_hot_size FROM idx""")
+    # Feature vector: filled numbers, then an indicator per label of each category.
+    vector = freq + [("means", "SELECT avg(n_chars) AS a, avg(n_words) AS b FROM train")]
+    flags = " || ".join(
+        f"list_transform(range((SELECT max(n_labels) FROM idx WHERE column_name = '{c}')), lambda i: "
+        f"CASE WHEN i = {c}_at THEN 1.0 ELSE 0.0 END::DOUBLE)" for c in ("lang", "source", "toxic"))
+    places = ", ".join(f"(SELECT any_value(category_index) FROM idx WHERE column_name = '{c}' AND value = CAST(train.{c} AS VARCHAR)) "
+                       f"AS {c}_at" for c in ("lang", "source", "toxic"))
+    out["ml_assemble"] = compose(vector, f"""
+SELECT doc_id, [round(ifnull(n_chars, a), 6), round(ifnull(n_words, b), 6)] || {flags} AS features
+FROM (SELECT *, {places} FROM train) t, means""")
+    out["ml_feature_names"] = compose(freq, """
+SELECT CAST(row_number() OVER (ORDER BY block, slot) - 1 AS INT) AS position, feature FROM (
+  SELECT 0 AS block, 0 AS slot, 'n_chars_filled' AS feature UNION ALL SELECT 0, 1, 'n_words_filled'
+  UNION ALL SELECT list_position(['lang', 'source', 'toxic'], column_name), category_index, column_name || '_is_' || value
+  FROM idx WHERE value IS NOT NULL) named""")
+    out["ml_fold_sizes"] = compose(tr, """
+SELECT CAST(CAST('0x' || substr(md5(doc_id), 1, 8) AS BIGINT) % 5 AS INT) AS fold, COUNT(*) AS n_rows,
+  CAST(SUM(quality) AS BIGINT) AS n_good FROM train GROUP BY fold""")
     return out
 
 

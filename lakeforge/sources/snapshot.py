@@ -15,6 +15,7 @@ import datetime as dt
 import threading
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,13 +29,20 @@ def _log_path(root: str) -> str:
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """Committed versions: table, version, path, rows, committed_at."""
+    """Committed versions: table, version, path, rows, committed_at.  Only a
+    log that does not exist counts as empty; any other failure is raised."""
     try:
         return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
-    except Exception:  # noqa: BLE001 - no commit yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another run committed a version of the same table first."""
+
+
 def read_version(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
     """Read the current (or a given) committed version of ``table``."""
     log = versions(spark, root).filter(F.col("table") == table)
@@ -112,8 +120,18 @@ class Store:
         return sorted((v, p, n) for t, v, p, n, _ in self.entries if t == table)
 
     def commit(self) -> None:
+        """Log the pending versions.  Fails if another run has logged the same
+        or a later version of one of their tables since this run began."""
         if not self.pending:
             return
+        first = {}
+        for t, v, *_ in self.pending:
+            first[t] = min(v, first.get(t, v))
+        log = versions(self.spark, self.root).filter(F.col("table").isin(*first))
+        taken = log.groupBy("table").agg(F.max("version").alias("v")).collect()  # a row per pending table
+        lost = sorted(r["table"] for r in taken if r["v"] >= first[r["table"]])
+        if lost:
+            raise ConcurrentCommit(f"another run committed {', '.join(lost)} first; start this run again")
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         rows = [(t, v, p, n, mk, now) for t, v, p, n, mk in self.pending]
         self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1) \

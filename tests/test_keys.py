@@ -1,11 +1,12 @@
-"""Surrogate key assigner: equals a global row_number, also on the range
-path (forced with a tiny range size), with NULLs first and composite keys."""
+"""Surrogate key assigner: equals a global row_number, with NULLs first and
+composite keys, hot leading keys and wide rows, over many ranges."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
-from lakeforge.operators.keys import assign_keys, check_unique, max_key_col
+from lakeforge.operators.keys import RANGE, assign_keys, check_unique, max_key_col, number_ranges, store_ranges
 
 
 def _expected(rows, start):
@@ -13,30 +14,28 @@ def _expected(rows, start):
     return {r: start + i + 1 for i, r in enumerate(sorted(rows, key=key))}
 
 
-def test_single_task_path(spark):
+def test_few_rows(spark):
     rows = [(3, "b"), (1, "z"), (2, "a"), (None, "q")]
     df = spark.createDataFrame(rows, "a int, b string")
     got = {(r.a, r.b): r.id for r in assign_keys(df, ["a", "b"], "id", 10).collect()}
     assert got == _expected(rows, 10)
 
 
-def test_range_path_matches_row_number(spark):
+def test_matches_row_number(spark):
     rnd = random.Random(1)
     rows = list({(rnd.choice([None, *range(30)]), rnd.randint(0, 500)) for _ in range(900)})
     df = spark.createDataFrame(rows, "a int, b int").repartition(7)
-    out = assign_keys(df, ["a", "b"], "id", 100, single_task_rows=10, rows_per_range=60)
+    out = assign_keys(df, ["a", "b"], "id", 100)
     got = {(r.a, r.b): r.id for r in out.collect()}
     assert got == _expected(rows, 100)
 
 
-def test_range_path_with_hot_leading_key(spark):
+def test_hot_leading_key(spark):
     # one leading key holds most rows: ranges split it on the second column
     rows = [(1, i) for i in range(600)] + [(k, 0) for k in range(2, 50)]
     df = spark.createDataFrame(rows, "a int, b int")
-    out = assign_keys(df, ["a", "b"], "id", 0, single_task_rows=10, rows_per_range=50)
+    out = assign_keys(df, ["a", "b"], "id", 0)
     assert {(r.a, r.b): r.id for r in out.collect()} == _expected(rows, 0)
-    sizes = out.groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) > 1
 
 
 def test_scalar_start_and_checks(spark):
@@ -59,8 +58,27 @@ def test_number_within_groups_hot_group_spans_ranges(spark):
     rows = [(7, i) for i in range(400)] + [(g, i) for g in range(1, 40) for i in range(3)] + \
            [(None, 1), (None, 2)]
     df = spark.createDataFrame(rows, "g int, o int").repartition(5)
-    out = number_within_groups(df, ["g"], ["o"], "rn", single_task_rows=10, rows_per_range=45)
+    out = number_within_groups(df, ["g"], ["o"], "rn")
     got = {(r.g, r.o): r.rn for r in out.collect()}
     assert got == _rn(rows)
-    small = number_within_groups(df, ["g"], ["o"], "rn")
-    assert {(r.g, r.o): r.rn for r in small.collect()} == _rn(rows)
+
+
+def test_wide_rows_over_many_ranges(spark):
+    """22 columns, a hot leading key and NULL keys over 64 ranges, in seconds."""
+    wide = spark.range(20_000).select(
+        F.when(F.col("id") % 50 == 0, F.lit(None)).when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        *[F.concat(F.lit(f"c{i}-"), (F.col("id") * (i + 3) % 9973).cast("string")).alias(f"c{i}") for i in range(20)], "id")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    began = time.time()
+    try:
+        ranged = store_ranges(wide, wide.columns)
+        out = number_ranges(ranged, wide.columns, "n", 5)
+        assert ranged.select(RANGE).distinct().count() > 32
+        rows = out.select("n", *wide.columns).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert time.time() - began < 60
+    assert {tuple(r[1:]): r[0] for r in rows} == _expected([tuple(r[1:]) for r in rows], 5)

@@ -2,12 +2,35 @@
 
 from lakeforge.plans import ml
 
+from .conftest import SF_SMALL
+
 
 def test_search_space_bounds_and_determinism():
     a, b = ml.sample_space(100, 42), ml.sample_space(100, 42)
     assert a == b and len(a) == 100
-    assert all(3 <= t["maxDepth"] <= ml.SPARK_MAX_DEPTH for t in a)
-    assert all(1e-6 <= t["minWeightFractionPerNode"] <= 1e-3 for t in a)
+    assert all(3 <= t["maxDepth"] <= 30 for t in a)
+    assert all(1e-6 <= t["leaf_fraction"] <= 1e-3 for t in a)
+
+
+def test_leaf_fraction_becomes_rows():
+    assert ml.tree_settings({"maxDepth": 4, "leaf_fraction": 1e-3}, 323) == {"maxDepth": 4, "minInstancesPerNode": 1}
+    assert ml.tree_settings({"maxDepth": 4, "leaf_fraction": 1e-3}, 50_500)["minInstancesPerNode"] == 51
+
+
+def test_scoring_covers_every_document_outside_the_training_rows(spark):
+    train, test = ml.train_test(spark, SF_SMALL)
+    total = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+    assert train.count() + test.count() == total and test.filter("toxic IS NULL").count() > 0
+    scored = ml.ml_score_saved_model(spark, SF_SMALL)
+    assert scored.count() == test.count()
+
+
+def test_search_fits_and_scores(spark):
+    train, _ = ml.train_test(spark, SF_SMALL)
+    model, trials = ml.search(train, trials=4, folds=2, parallelism=4)
+    rows = trials.collect()
+    assert len(rows) == 4 and all(0 <= r["cv_accuracy"] <= 1 for r in rows)
+    assert model.transform(train).count() == train.count()
 
 
 def test_pipeline_classes_and_null_slot(spark):
@@ -19,6 +42,6 @@ def test_pipeline_classes_and_null_slot(spark):
     out = model.transform(df)
     assert len(out.first().probability) == 3            # keep adds a third, empty class
     names = ml.feature_names(model, df)
-    assert names[:2] == ["n_chars_imputed", "n_words_imputed"]
-    null_row = out.filter("lang IS NULL").select("lang_ohe").first()[0]
+    assert names[:2] == ["n_chars_filled", "n_words_filled"]
+    null_row = out.filter("lang IS NULL").select("lang_is").first()[0]
     assert null_row.numNonzeros() == 0                  # NULL lang encodes as all zeros

@@ -8,22 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def any_changed(pairs: list[tuple[Column, Column]], null_safe: bool = False) -> Column:
-    """OR over per-column differences, never NULL.
-
-    Null-blind (default, as the warehouse's ``a != b`` chain): a NULL on
-    either side makes that term unknown, so a change to or from NULL alone is
-    not detected.  ``null_safe=True`` uses ``NOT (a <=> b)``.
-    """
-    if not pairs:
-        return F.lit(False)
-    if null_safe:
-        terms = [~a.eqNullSafe(b) for a, b in pairs]
-    else:
-        terms = [a != b for a, b in pairs]
-    return F.coalesce(functools.reduce(lambda x, y: x | y, terms), F.lit(False))
-
-
 def any_null(cols: list[str]) -> Column:
     return functools.reduce(lambda x, y: x | y, [F.col(c).isNull() for c in cols])
 
@@ -34,7 +18,13 @@ def q(name: str) -> str:
 
 
 def any_changed_sql(pairs: list[tuple[str, str]], null_safe: bool = False) -> str:
-    """SQL text of :func:`any_changed` over (left, right) column names."""
+    """SQL text of the OR over per-column differences of (left, right) column
+    names, never NULL.
+
+    Null-blind (default, as the warehouse's ``a != b`` chain): a NULL on
+    either side makes that term unknown, so a change to or from NULL alone is
+    not detected.  ``null_safe=True`` uses ``NOT (a <=> b)``.
+    """
     if not pairs:
         return "false"
     if null_safe:

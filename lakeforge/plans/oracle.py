@@ -656,6 +656,29 @@ WHERE NOT EXISTS (SELECT 1 FROM {spec.name}_d2 y WHERE y.{spec.surrogate} = x.{s
         f"CAST(SUM(CASE WHEN {c} = -9 THEN 1 ELSE 0 END) AS BIGINT) AS n_unknown_members FROM {t}"
         for n, t, c in parts))
 
+    out["key_violations"] = compose(ku_ctes, "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) FILTER (c > 1) AS n_repeated_keys, "
+        f"CAST(coalesce(SUM(c) FILTER ({key} IS NULL), 0) AS BIGINT) AS n_null_keys, "
+        f"CAST(coalesce(SUM(missing), 0) AS BIGINT) AS n_null_required "
+        f"FROM (SELECT {key}, COUNT(*) AS c, COUNT(*) FILTER ({need} IS NULL) AS missing FROM {t} GROUP BY {key}) g"
+        for n, t, key, need in [(sp.name, f"{sp.name}_d2", sp.surrogate, sp.natural_key)
+                                for sp in (GEOGRAPHY, CUSTOMER, PRODUCT_CATEGORY, PRODUCT)]
+        + [("fact_sales", f, "_tf_fact_sales_id", "_tf_dim_calendar_id")]))
+    fixed = CALENDAR_SQL[CALENDAR_SQL.index("days AS"):].replace(
+        "generate_series(s, e, INTERVAL 1 DAY)", "generate_series(DATE '2000-01-01', DATE '2030-01-01', INTERVAL 1 DAY)").replace(
+        "AS d FROM b)", "AS d)")
+    out["calendar_orders"] = compose(source_ctes("sales_order_header", (1,)), f"""
+SELECT *, (SELECT COUNT(*) FROM src_sales_order_header_d1 WHERE CAST(OrderDate AS DATE) = cal_date) AS n_orders
+FROM (WITH {fixed}) cal""")
+    pv = source_ctes("address", (1,)) + [silver_src_cte("address", 1)]
+    out["source_preview_city"] = compose(pv, """
+SELECT address_id, city, state_province, postal_code, unnest(shown) AS preview FROM (
+  SELECT *, list_filter([CASE WHEN row_number() OVER (ORDER BY city, address_id) <= 10 THEN 'city' END,
+                         CASE WHEN row_number() OVER (ORDER BY address_id DESC) <= 10 THEN 'last' END],
+                        lambda x: x IS NOT NULL) AS shown FROM sv_address_d1) ranked""")
+    out["dml_insert_values"] = compose(pv, """
+SELECT address_id, address_line1, city FROM sv_address_d1
+UNION ALL VALUES (-1, '1 Inserted Road', 'Testville'), (-2, '2 Inserted Road', NULL)""")
     dsrc = source_ctes("sales_order_detail", (1,)) + [silver_src_cte("sales_order_detail", 1)]
     spec = SILVER["sales_order_detail"]
     cols = []
@@ -690,26 +713,42 @@ CHECKS_SQL = _checks_sql()
 
 
 # --- sources, sinks and the layered run ------------------------------------------------------
+def content_sql(layer: str, name: str, table: str, columns: list[str]) -> str:
+    """Row count and order-free checksum of a table's non-binary columns."""
+    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in sorted(columns))
+    return (f"SELECT '{layer}' AS layer, '{name}' AS table_name, COUNT(*) AS n_rows, "
+            f"CAST(coalesce(SUM(CAST('0x' || substr(md5(concat_ws('|', {values})), 1, 8) AS BIGINT)), 0) AS BIGINT) AS checksum "
+            f"FROM {table}")
+
+
+def _bronze_content(table: str, day: int) -> str:
+    columns = [src for src, _, typ in SILVER[table].columns if typ != "binary"]
+    return content_sql("bronze", table, f"src_{table}_d{day}", columns)
+
+
 def _run_sql() -> dict[str, str]:
     out = {}
     ctes = [c for t in SILVER for c in source_ctes(t, (1,))]
-    out["bronze_snapshot"] = compose(ctes, "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM src_{t}_d1" for t in SILVER))
+    out["bronze_snapshot"] = compose(ctes, "\nUNION ALL\n".join(_bronze_content(t, 1) for t in SILVER))
     out["csv_round_trip"] = compose(source_ctes("address", (1,)), "SELECT * FROM src_address_d1")
+    out["csv_inferred"] = compose(source_ctes("product", (1,)), """
+SELECT ProductID, Name, CAST(ListPrice AS DOUBLE) AS ListPrice, CAST(Size AS INTEGER) AS Size FROM src_product_d1""")
     all_ctes: list = []
     parts = []
     for t in SILVER:
         c, h = silver_chain(t, 2)
         all_ctes += c
-        parts.append(f"SELECT 'bronze' AS layer, '{t}' AS table_name, COUNT(*) AS n_rows FROM src_{t}_d2")
-        parts.append(f"SELECT 'silver', '{t}', COUNT(*) FROM {h}")
+        parts.append(_bronze_content(t, 2))
+        columns = [dst for _, dst, typ in SILVER[t].columns if typ != "binary"]
+        parts.append(content_sql("silver", t, h, ["_tf_id", *columns, *HIST_TAIL]))
     for spec in (GEOGRAPHY, CUSTOMER, PRODUCT_CATEGORY, PRODUCT):
         c, last = dim_chain(spec)
         all_ctes += c
-        parts.append(f"SELECT 'gold', '{spec.name}', COUNT(*) FROM {last}")
+        parts.append(content_sql("gold", spec.name, last, spec.columns))
     c, f = fact_chain()
     all_ctes += c
-    parts.append(f"SELECT 'gold', 'fact_sales', COUNT(*) FROM {f}")
+    parts.append(content_sql("gold", "fact_sales", f, ["_tf_fact_sales_id", *FACT_KEYS, *[c for c, _ in FACT_COMPARED],
+                                                       "_tf_create_date", "_tf_update_date"]))
     out["layered_run"] = compose(all_ctes, "\nUNION ALL\n".join(parts))
     return out
 

@@ -117,40 +117,44 @@ def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
     st.commit()
 
 
+def content(df: DataFrame, layer: str, name: str) -> DataFrame:
+    """One row: layer, table, row count and a checksum of all values (binary
+    columns apart) that does not depend on the order of rows."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c, t in sorted(df.dtypes) if t != "binary"]
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *values)), 1, 8), 16, 10).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(digest), F.lit(0)).alias("checksum")).select(
+        F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n_rows", "checksum")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def layered_run(spark: SparkSession, d: str) -> DataFrame:
-    """Two scheduled runs (day 1, day 2) into a fresh store; rows per table
-    after the second run (Silver: whole history = current + closed parts)."""
+    """Two scheduled runs (day 1, day 2) into a fresh store; rows and checksum
+    of every stored table after the second run (Silver: whole history)."""
     root = new_root(spark)
     for day in (1, 2):
         run_day(spark, d, root, day)
-    log = store.versions(spark, root)
-    latest = log.groupBy("table").agg(F.max("version").alias("version"))
-    current = (log.join(latest, ["table", "version"])
-               .filter(~F.col("table").endswith("/closed"))
-               .select(F.regexp_replace("table", "/current$", "").alias("t"), "rows"))
-    closed = (log.filter(F.col("table").endswith("/closed"))
-              .groupBy(F.regexp_replace("table", "/closed$", "").alias("t"))
-              .agg(F.sum("rows").alias("closed_rows")))
-    return (current.join(closed, "t", "left")
-            .select(F.split("t", "/").getItem(0).alias("layer"),
-                    F.split("t", "/").getItem(1).alias("table_name"),
-                    (F.col("rows") + F.coalesce(F.col("closed_rows"), F.lit(0))).cast("long")
-                    .alias("n_rows")))
+    st = store.Store(spark, root)
+    parts = [content(st.read(f"bronze/{t}"), "bronze", t) for t in SILVER]
+    parts += [content(silver_history(st, t), "silver", t) for t in SILVER]
+    names = [s.name for s in (GEOGRAPHY, CUSTOMER, PRODUCT_CATEGORY, PRODUCT)] + ["fact_sales"]
+    return _union(parts + [content(st.read(f"gold/{n}"), "gold", n) for n in names])
 
 
 def bronze_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """Full-refresh copies of the ten source tables (day 1), read back."""
+    """Full-refresh copies of the ten source tables (day 1), read back: rows
+    and checksum per stored table."""
     root = new_root(spark, "bronze")
     st = store.Store(spark, root)
     for table in SILVER:
         st.write(fixture_snapshot(spark, d, table, 1), f"bronze/{table}")
     st.commit()
-    out = None
-    for table in SILVER:
-        df = store.read_version(spark, root, f"bronze/{table}")
-        row = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(table).alias("table_name"), "n_rows")
-        out = row if out is None else out.unionByName(row)
-    return out
+    return _union([content(store.read_version(spark, root, f"bronze/{t}"), "bronze", t) for t in SILVER])
 
 
 def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -162,8 +166,17 @@ def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return read_csv(spark, path, src.schema)
 
 
+def csv_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """Products written as CSV and read back with inferred types."""
+    src = gold.warehouse(spark, d).bronze("product").select("ProductID", "Name", "ListPrice", "Size")
+    path = new_root(spark, "csv") + "/product_csv"
+    write_csv(src, path)
+    return read_csv(spark, path)
+
+
 QUERIES = {
     "bronze_snapshot": bronze_snapshot,
+    "csv_inferred": csv_inferred,
     "csv_round_trip": csv_round_trip,
     "layered_run": layered_run,
 }

@@ -34,9 +34,12 @@ def key_bounds(spark: SparkSession, url: str, table: str, column: str,
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, lower: int | None = None,
-              upper: int | None = None, num_partitions: int = 8,
+              upper: int | None = None, *, num_partitions: int | None = None,
               fetch_size: int = 10_000) -> DataFrame:
-    """Whole-table JDBC scan (S1), parallel over ``partition_column``."""
+    """Whole-table JDBC scan (S1), parallel over ``partition_column`` in
+    ``num_partitions`` ranges, which the caller sizes to the table."""
+    if partition_column is not None and num_partitions is None:
+        raise ValueError("num_partitions is required with a partition column")
     props = dict(properties or {})
     props.setdefault("fetchsize", str(fetch_size))
     if partition_column is None:

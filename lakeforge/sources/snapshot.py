@@ -77,8 +77,7 @@ class Store:
     def has(self, table: str) -> bool:
         return table in self.current
 
-    def write(self, df: DataFrame, table: str, partition_by: list[str] | None = None,
-              key: str | None = None) -> int:
+    def write(self, df: DataFrame, table: str, key: str | None = None) -> int:
         """Write ``df`` as the next version of ``table`` (visible to this run
         at once, to other readers after ``commit``).  The row count and the
         largest ``key`` are observed while writing (no second pass) and
@@ -89,10 +88,7 @@ class Store:
         obs = Observation(f"w{uuid.uuid4().hex}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         metrics.append((F.max(key) if key else F.lit(None)).cast("long").alias("max_key"))
-        writer = df.observe(obs, *metrics).write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        df.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
         got = obs.get
         rows, mk = int(got["rows"]), got["max_key"]
         with self._lock:
@@ -139,9 +135,9 @@ class Store:
         self.pending = []
 
 
-def write_version(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> int:
+def write_version(df: DataFrame, root: str, table: str) -> int:
     """Write and commit one new version of ``table``."""
     st = Store(df.sparkSession, root)
-    v = st.write(df, table, partition_by)
+    v = st.write(df, table)
     st.commit()
     return v

@@ -18,7 +18,9 @@ written, side by side; NULL ids come last."""
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -34,12 +36,14 @@ BLOCK_BYTES = 2**20
 SAMPLE_TEXT = 64 * 2**10
 DICTIONARY_BYTES = 64 * 2**10
 LEVEL = 3
-#: Pieces that a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Words with what follows them, and bare words, that a Python worker remembers.
+REMEMBERED = 400_000
 BLOCKS = ("shard int, block int, dictionary_sha256 string, first_doc long, last_doc long, n_tokens long, "
           "doc_ids array<long>, counts array<int>, offsets array<long>, payload binary")
 _BLANK = re.compile(r" \s")
 _WORD_START = re.compile(r" (?=\S)")
+# A word with ASCII punctuation behind it (no apostrophe): always two pieces of the tokenizer's pattern.
+_PUNCTUATED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class Encoder:
@@ -48,6 +52,7 @@ class Encoder:
     with their blank; each distinct one is encoded once and remembered."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -55,16 +60,29 @@ class Encoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         size = self.library.get_vocab_size()
-        self.dtype = np.dtype("<u2") if size <= 2**16 else np.dtype("<u4")
+        self.code, self.width = ("H", 2) if size <= 2**16 else ("I", 4)  # machines are little-endian
         self.words: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [array(self.code, x.ids).tobytes() for x in found]
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes words (without the blank in front of them)."""
+        parts = [(m[1], m[2]) if (m := _PUNCTUATED.fullmatch(w)) else (w, "") for w in words]
+        if len(self.bare) + len(parts) > REMEMBERED:
+            self.bare.clear()
+        wanted = {(" " + w) for w, _ in parts} | {p for _, p in parts}
+        new = list(wanted.difference(self.bare))
+        for at in range(0, len(new), 10_000):
+            some = new[at:at + 10_000]
+            self.bare.update(zip(some, self._library(some)))
+        self.words.update((w, self.bare[" " + a] + self.bare[p]) for w, (a, p) in zip(words, parts))
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Serialized ids of whole texts, each with the end id."""
-        tail = np.array([end], self.dtype).tobytes()
+        tail = array(self.code, [end]).tobytes()
         split: list = []
         for t in texts:
             if any(s in t for s in self.special):
@@ -77,10 +95,7 @@ class Encoder:
         if len(self.words) + len(new) > REMEMBERED:
             self.words.clear()
             new = wanted
-        new = list(new)
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            self.words.update(zip(some, self._library([" " + w for w in some])))
+        self._learn(list(new))
         get = self.words.__getitem__
         return [h + b"".join(map(get, x[1:] if x else ())) + tail for h, x in zip(heads, split)]
 
@@ -153,7 +168,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 0, sample_rows:
                 encoded = encoder.encode(texts[a:b], end)
                 for shard, doc, x in zip(batch.column(0)[a:b].to_pylist(), batch.column(1)[a:b].to_pylist(), encoded):
                     ids.append(doc)
-                    counts.append(len(x) // encoder.dtype.itemsize)
+                    counts.append(len(x) // encoder.width)
                     frames.append(compressor.compress(x))
                     size += len(frames[-1])
                     if size >= BLOCK_BYTES:

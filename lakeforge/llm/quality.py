@@ -1,7 +1,8 @@
 """Quality rules as a short-circuit cascade.
 
 Every rule rejects or passes one document.  The rules are timed on a bounded
-sample (`sample_rows` documents, those with the smallest hash of their id) and
+sample (`sample_rows` documents of at most SAMPLE_TEXT bytes, those with the
+smallest hash of their id) and
 ordered by rejections per second of cost; a document leaves the cascade at the
 first rule that rejects it.  A document is kept when no rule rejects it, so
 the verdict does not depend on the order; only the time does.
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 LETTER = re.compile(r"[^\W\d_]")
+SAMPLE_TEXT = 64 * 2**10
 MEASURES = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -101,7 +103,8 @@ EXTRA = (
 
 def sample_texts(docs: DataFrame, rows: int) -> list[str]:
     """At most `rows` texts, chosen by the hash of the id."""
-    found = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    found = (docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+             .filter(F.octet_length("text") <= SAMPLE_TEXT))
     return [r["text"] for r in found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("text").collect()]
 
 

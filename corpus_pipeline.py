@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeforge.llm import bpe, decontam, lines, quality, simhash
-from lakeforge.llm.common import documents, store
+from lakeforge.llm.common import documents, drop_stored, store
 from lakeforge.llm.queries import tokenizer_file
 from lakeforge.sources.tables import read_table
 
@@ -50,7 +50,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
-    docs = documents(spark, sf_dir)
+    docs, path = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs, _ = store(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        docs, new = store(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+        if path:
+            drop_stored(spark, path)
+        path = new
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -232,20 +232,22 @@ class Warehouse:
         self._prefetch_fact_inputs(day)
 
         def build():
-            prev = self.empty_fact() if day == 1 else self.fact(day - 1)
+            prev = empty_fact(self.spark) if day == 1 else self.fact(day - 1)
             return cut_lineage(scd1_upsert(
                 prev, self.fact_projection(day), list(FACT_KEYS), [c for c, _ in FACT_COMPARED],
                 FACT_SURROGATE, silver.LOADS[day]))
         return self._memo(("f", day), build)
 
-    def empty_fact(self) -> DataFrame:
-        cols = [F.lit(None).cast("long").alias(FACT_SURROGATE),
-                F.lit(None).cast("int").alias(FACT_KEYS[0]),
-                F.lit(None).cast("int").alias(FACT_KEYS[1])]
-        cols += [F.lit(None).cast(t).alias(c) for c, t in FACT_COMPARED]
-        cols += [F.lit(None).cast("timestamp_ntz").alias(CREATE_DATE),
-                 F.lit(None).cast("timestamp_ntz").alias(UPDATE_DATE)]
-        return self.spark.range(0).select(*cols)
+
+def empty_fact(spark: SparkSession) -> DataFrame:
+    """The fact table without rows."""
+    cols = [F.lit(None).cast("long").alias(FACT_SURROGATE),
+            F.lit(None).cast("int").alias(FACT_KEYS[0]),
+            F.lit(None).cast("int").alias(FACT_KEYS[1])]
+    cols += [F.lit(None).cast(t).alias(c) for c, t in FACT_COMPARED]
+    cols += [F.lit(None).cast("timestamp_ntz").alias(CREATE_DATE),
+             F.lit(None).cast("timestamp_ntz").alias(UPDATE_DATE)]
+    return spark.range(0).select(*cols)
 
 
 _WAREHOUSES: dict = {}

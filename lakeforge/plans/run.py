@@ -29,7 +29,7 @@ from ..operators.keys import number_ranges, store_ranges
 from ..operators.merge import empty_history, history_columns, scd1_upsert, scd2_transitions
 from ..operators.projection import to_silver
 from ..operators.star import fact_sales_projection
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, owned_stages
 from ..sources import snapshot as store
 from ..sources.files import read_csv, write_csv
 from ..sources.fixtures import snapshot as fixture_snapshot
@@ -80,7 +80,13 @@ def _concurrently(steps: list) -> None:
 
 def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
     """One scheduled run for the fixture snapshot of ``day``, layer by layer;
-    each layer is committed once all its tables are written."""
+    each layer is committed once all its tables are written.  Its stage tables
+    go when it ends."""
+    with owned_stages(spark):
+        _run_day(spark, d, root, day)
+
+
+def _run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
     load_date = silver.LOADS[day]
     st = store.Store(spark, root)
     # bronze: full refresh; tables are independent, so their jobs overlap
@@ -110,7 +116,7 @@ def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
     proj = fact_sales_projection(cur("sales_order_detail"), cur("sales_order_header"), cur("customer"),
                                  cur("address"), st.read(f"gold/{CUSTOMER.name}"),
                                  st.read(f"gold/{GEOGRAPHY.name}"), st.read(f"gold/{PRODUCT.name}"))
-    prev = st.read("gold/fact_sales") if st.has("gold/fact_sales") else gold.warehouse(spark, d).empty_fact()
+    prev = st.read("gold/fact_sales") if st.has("gold/fact_sales") else gold.empty_fact(spark)
     st.write(scd1_upsert(prev, proj, list(FACT_KEYS), [c for c, _ in FACT_COMPARED], FACT_SURROGATE,
                          load_date, start=st.latest_max_key("gold/fact_sales")),
              "gold/fact_sales", key=FACT_SURROGATE)

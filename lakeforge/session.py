@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,9 +68,35 @@ def cut_lineage(df):
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/lakeforge-stage-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    with _LOCK:
+        if _OWNERS:
+            _OWNERS[-1].append(path)
     return spark.read.parquet(path)
 
 
+_OWNERS: list[list[str]] = []  # stage tables of the runs that own them, innermost last
+_LOCK = threading.Lock()
+
+
+@contextmanager
+def owned_stages(spark: SparkSession):
+    """Deletes at its end the stage tables that ``cut_lineage`` stored while it
+    was open, by this or other threads; for runs that write their results
+    elsewhere before they end."""
+    mine: list[str] = []
+    with _LOCK:
+        _OWNERS.append(mine)
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _OWNERS.remove(mine)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in mine:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def folder_stamp(spark: SparkSession, path: str) -> int:
     """A number that changes when files under ``path`` change (names, sizes
     and times, two levels deep), read through Spark's file systems."""

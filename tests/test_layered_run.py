@@ -1,8 +1,11 @@
 """The layered run's split Silver layout (closed parts + current part)
 holds exactly the history a single-table SCD2 load produces."""
 
+import pathlib
+
 from lakeforge.contracts import CUSTOMER, GEOGRAPHY, PRODUCT, PRODUCT_CATEGORY, SILVER
 from lakeforge.plans import gold, run
+from lakeforge.session import ensure_checkpoint_dir
 from lakeforge.sources import snapshot as store
 
 from .conftest import SF_SMALL
@@ -10,8 +13,11 @@ from .conftest import SF_SMALL
 
 def test_split_layout_equals_history(spark):
     root = run.new_root(spark, "test")
+    base = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = {p.name for p in base.glob("lakeforge-stage-*")}
     for day in (1, 2):
         run.run_day(spark, SF_SMALL, root, day)
+    assert {p.name for p in base.glob("lakeforge-stage-*")} == before  # a run leaves no stage table
     st = store.Store(spark, root)
     w = gold.warehouse(spark, SF_SMALL)
     for table in SILVER:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def _concurrently(steps: list) -> None:
     """Run independent steps (each its own Spark jobs) from several driver
     threads; the scheduler interleaves their tasks."""
     with ThreadPoolExecutor(max_workers=min(8, len(steps))) as pool:
-        for f in [pool.submit(s) for s in steps]:
+        for f in [pool.submit(copy_context().run, s) for s in steps]:
             f.result()
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
-import threading
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -68,29 +68,27 @@ def cut_lineage(df):
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/lakeforge-stage-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    with _LOCK:
-        if _OWNERS:
-            _OWNERS[-1].append(path)
+    owner = _OWNER.get()
+    if owner is not None:
+        owner.append(path)
     return spark.read.parquet(path)
 
 
-_OWNERS: list[list[str]] = []  # stage tables of the runs that own them, innermost last
-_LOCK = threading.Lock()
+# Stage tables of the run that this context belongs to.
+_OWNER: ContextVar[list[str] | None] = ContextVar("owner", default=None)
 
 
 @contextmanager
 def owned_stages(spark: SparkSession):
-    """Deletes at its end the stage tables that ``cut_lineage`` stored while it
-    was open, by this or other threads; for runs that write their results
-    elsewhere before they end."""
+    """Deletes at its end the stage tables that ``cut_lineage`` stored in this
+    context; for runs that write their results elsewhere before they end.
+    Threads of the run must be given a copy of its context."""
     mine: list[str] = []
-    with _LOCK:
-        _OWNERS.append(mine)
+    token = _OWNER.set(mine)
     try:
         yield
     finally:
-        with _LOCK:
-            _OWNERS.remove(mine)
+        _OWNER.reset(token)
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in mine:
             target = jvm.org.apache.hadoop.fs.Path(path)

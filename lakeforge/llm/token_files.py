@@ -36,8 +36,8 @@ BLOCK_BYTES = 2**20
 SAMPLE_TEXT = 64 * 2**10
 DICTIONARY_BYTES = 64 * 2**10
 LEVEL = 3
-#: Words with what follows them, and bare words, that a Python worker remembers.
-REMEMBERED = 400_000
+#: Words without what follows them that a Python worker remembers.
+REMEMBERED = 800_000
 BLOCKS = ("shard int, block int, dictionary_sha256 string, first_doc long, last_doc long, n_tokens long, "
           "doc_ids array<long>, counts array<int>, offsets array<long>, payload binary")
 _BLANK = re.compile(r" \s")
@@ -61,24 +61,49 @@ class Encoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         size = self.library.get_vocab_size()
         self.code, self.width = ("H", 2) if size <= 2**16 else ("I", 4)  # machines are little-endian
-        self.words: dict[str, bytes] = {}
+        names = self.library.get_vocab(with_added_tokens=True)
+        self.blank = np.zeros(max(names.values()) + 1, bool)
+        self.blank[[i for t, i in names.items() if t[0] == "\u0120"]] = True  # the byte-level sign of a blank
         self.bare: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, x.ids).tobytes() for x in found]
 
-    def _learn(self, words: list[str]) -> None:
-        """Encodes words (without the blank in front of them)."""
-        parts = [(m[1], m[2]) if (m := _PUNCTUATED.fullmatch(w)) else (w, "") for w in words]
-        if len(self.bare) + len(parts) > REMEMBERED:
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words with a blank in front, encoded as one text: each
+        begins at the only token in it that starts with a blank."""
+        ids = np.array(self.library.encode(" " + " ".join(words), add_special_tokens=False).ids, np.int64)
+        starts = np.flatnonzero(self.blank[ids])
+        if len(starts) != len(words):
+            return self._library([" " + w for w in words])
+        data, cuts = array(self.code, ids.tolist()).tobytes(), (self.width * np.append(starts, len(ids))).tolist()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words with a blank in front.  What is remembered is words
+        without the punctuation behind them, and punctuation."""
+        parts = {w: (m[1], m[2]) for w in words if (m := _PUNCTUATED.fullmatch(w))}
+        bare = {parts[w][0] if w in parts else w for w in words}
+        new = bare.difference(self.bare)
+        if len(self.bare) + len(new) > REMEMBERED:
             self.bare.clear()
-        wanted = {(" " + w) for w, _ in parts} | {p for _, p in parts}
-        new = list(wanted.difference(self.bare))
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            self.bare.update(zip(some, self._library(some)))
-        self.words.update((w, self.bare[" " + a] + self.bare[p]) for w, (a, p) in zip(words, parts))
+            new = bare
+        plain = [w for w in new if w and not w[-1].isspace()]
+        for at in range(0, len(plain), 1000):
+            some = plain[at:at + 1000]
+            self.bare.update(zip(some, self._joined(some)))
+        rest = [w for w in new if not w or w[-1].isspace()]
+        self.bare.update(zip(rest, self._library([" " + w for w in rest])))
+        tails = list({p for _, p in parts.values()}.difference(self.tails))
+        if len(self.tails) + len(tails) > REMEMBERED // 8:
+            self.tails.clear()
+            tails = list({p for _, p in parts.values()})
+        self.tails.update(zip(tails, self._library(tails)))
+        found = {w: self.bare[w] for w in words if w not in parts}
+        found.update((w, self.bare[a] + self.tails[p]) for w, (a, p) in parts.items())
+        return found
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Serialized ids of whole texts, each with the end id."""
@@ -90,13 +115,7 @@ class Encoder:
             else:
                 split.append(_WORD_START.split(t) if _BLANK.search(t) else t.split(" "))
         heads = self._library([x[0] if x else t for x, t in zip(split, texts)])
-        wanted = set().union(*(x[1:] for x in split if x))
-        new = wanted.difference(self.words)
-        if len(self.words) + len(new) > REMEMBERED:
-            self.words.clear()
-            new = wanted
-        self._learn(list(new))
-        get = self.words.__getitem__
+        get = self._words(set().union(*(x[1:] for x in split if x))).__getitem__
         return [h + b"".join(map(get, x[1:] if x else ())) + tail for h, x in zip(heads, split)]
 
 

@@ -69,3 +69,12 @@ def text_size(docs: DataFrame) -> tuple[int, int, int]:
     row = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b"),
                    F.max(F.octet_length("text")).alias("m")).first()
     return int(row["n"] or 0), int(row["b"] or 0), int(row["m"] or 0)
+
+
+def sample(docs: DataFrame, rows: int, longest: int) -> DataFrame:
+    """(text) of at most `rows` documents, those with the smallest hash of
+    their id, without texts over `longest` bytes.  The ids are chosen first, so
+    that no task hands on more than `rows` of them, and no texts."""
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
+    chosen = docs.filter(F.col("doc_id").isin([r["doc_id"] for r in ids]))
+    return chosen.select(F.coalesce(F.col("text"), F.lit("")).alias("text")).filter(F.octet_length("text") <= longest).limit(rows)

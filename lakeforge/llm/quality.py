@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sample
+
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 LETTER = re.compile(r"[^\W\d_]")
@@ -102,10 +104,7 @@ EXTRA = (
 
 
 def sample_texts(docs: DataFrame, rows: int) -> list[str]:
-    """At most `rows` texts, chosen by the hash of the id."""
-    found = (docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-             .filter(F.octet_length("text") <= SAMPLE_TEXT))
-    return [r["text"] for r in found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("text").collect()]
+    return [r["text"] for r in sample(docs, rows, SAMPLE_TEXT).collect()]
 
 
 def order_rules(rules, texts: list[str]) -> list[Rule]:

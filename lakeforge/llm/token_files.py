@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, text_size, with_null_ids
+from .common import id_and_text, sample, text_size, with_null_ids
 
 SHARD_BYTES = 24 * 2**20
 BLOCK_BYTES = 2**20
@@ -139,15 +139,13 @@ def _chunks(texts: list[str], size: int):
 
 def train(texts: DataFrame, tokenizer: str, end: int, sample_rows: int) -> bytes:
     """A dictionary for the serialized ids; empty if the sample is too small."""
-    sample = (texts.filter(F.octet_length("text") <= SAMPLE_TEXT)
-              .orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample_rows).select("text"))
-
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(load(tokenizer).encode(batch.column(0).to_pylist(), end), pa.binary())],
                                              names=["ids"])
 
-    samples = [bytes(r["ids"]) for r in sample.mapInArrow(run, "ids binary").collect()]
+    chosen = sample(texts, sample_rows, SAMPLE_TEXT)
+    samples = [bytes(r["ids"]) for r in chosen.mapInArrow(run, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, sum(map(len, samples)) // 8), samples).as_bytes()
     except (zstandard.ZstdError, ValueError):

@@ -45,14 +45,18 @@ def main():
 
     timings: dict[str, float] = {}
 
-    def timed(name, thunk):
-        _cold()
+    def timed(name, thunk, cold=True):
+        if cold:
+            _cold()
         t0 = time.perf_counter()
         thunk()
         timings[name] = round(time.perf_counter() - t0, 3)
 
+    # BI reads stored Bronze tables: storing them is timed apart.
+    tables = ("product", "product_category", "customer", "address", "sales_order_header", "sales_order_detail")
+    timed("bronze_tables", lambda: [gold.warehouse(spark, sf_dir).bronze(t) for t in tables])
     for name, fn in bi.QUERIES.items():
-        timed(name, lambda fn=fn: run(fn))
+        timed(name, lambda fn=fn: run(fn), cold=False)
 
     def first_load():
         return silver.history(spark, sf_dir, "sales_order_detail", days=1).count()

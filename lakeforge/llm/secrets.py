@@ -1,8 +1,9 @@
 """Secret scans: assignment-aware lexing beside three fixed patterns.
 
 The lexer reads `name = literal` pairs of source and configuration syntax
-(`=`, `:`, `:=`, `=>`, quoted names, string concatenation), propagates
-constants (`B = A` gives B the literal of A) and scores each literal by how
+(`=`, `:`, `:=`, `=>`, quoted, subscripted, typed and chained names, string
+concatenation), propagates constants (`B = A`, `B = $A` and `B = ${A}` give B
+the literal of A) and scores each literal by how
 sensitive the names are that it reaches.  Spans are code-point offsets into
 the whole text, end exclusive.  NULL text counts as empty."""
 
@@ -31,10 +32,20 @@ SENSITIVE = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "secret": 3,
 ROOTS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "bearer", "auth")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example|placeholder|none|null|true|false|todo|your.*|<.*>|\$.*|\{.*\})$")
 
-STRING = r""""(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'"""
-PAIR = re.compile(
-    rf"""(?<![A-Za-z0-9_])(?P<name>[A-Za-z_][A-Za-z0-9_.-]{{0,63}})["']?[ \t]{{0,8}}(?::=|=>|==?|:)(?!/)[ \t]{{0,8}}"""
-    rf"""(?P<value>(?:{STRING})(?:[ \t]{{0,8}}\+[ \t]{{0,8}}(?:{STRING}))*|[^\s"',;#(){{}}\[\]<>]+)""")
+STRING = r""""(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'"""
+_WORD = "[A-Za-z0-9_.-]"
+_BRACKETS = r"""\[(?:[^\[\]\n"'=]|\[[^\[\]\n"'=]*+\])*+\]|<(?:[^<>\n"'=]|<[^<>\n"'=]*+>)*+>"""
+_TYPE = rf"""(?:&(?:'[a-z_]++[ \t]++)?+(?:mut[ \t]++)?+)?+[A-Za-z_][A-Za-z0-9_.]*+(?:::[A-Za-z0-9_]++)*+(?:{_BRACKETS})*+[?*]?+"""
+#: A target and its operator: a name of any length, also quoted, subscripted or
+#: with a type (`name: type =`).  A run of name characters is tried once, from
+#: its start, and blanks are never given back, so the search is linear.
+TARGET = re.compile(
+    rf"""(?<!{_WORD})(?P<name>{_WORD}++(?:\[[ \t]*+(?:{STRING}|{_WORD}++)[ \t]*+\])*+)["']?+(?:[ \t]*+\])?+(?P<gap>[ \t]*+)"""
+    rf"""(?::[ \t]*+(?P<type>{_TYPE}(?:[ \t]*+\|[ \t]*+{_TYPE})*+)(?:[ \t]++=|=(?=[ \t]*+["']))(?![=>])|"""
+    r"""(?P<op>:=|=>|==?|:)(?!/))[ \t]*+""")
+VALUE = re.compile(rf"""(?:{STRING})(?:[ \t]*+\+[ \t]*+(?:{STRING}))*+|\$\{{{_WORD}++\}}|[^\s"',;#(){{}}\[\]<>]+""")
+NAME = re.compile("(?<![A-Za-z0-9_])[A-Za-z_].*", re.DOTALL)
+REFERENCE = re.compile(r"\$(?:\{([A-Za-z0-9_.-]+)\}|([A-Za-z0-9_.-]+))")
 PART = re.compile(STRING)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
@@ -57,24 +68,78 @@ def literal_weight(value: str) -> int:
     return (spread >= 2.5) + (classes >= 2) + (n >= 12 and classes >= 2)
 
 
+def _chained(text: str, first: re.Match) -> list[re.Match]:
+    """Targets that follow one another directly: `A = B = `."""
+    chain = [first]
+    while chain[-1]["type"] or chain[-1]["op"] in ("=", ":="):
+        following = TARGET.match(text, chain[-1].end())
+        if not following or following["op"] != "=" or not NAME.match(following["name"]):
+            break
+        chain.append(following)
+    return chain
+
+
+def assignments(text: str):
+    """(targets, value) matches in order.  Targets written without blanks
+    (`a=b=c`) are chained only if a quoted literal ends the chain: `b=c` may as
+    well be a value with its padding."""
+    at = 0
+    while first := TARGET.search(text, at):
+        chain = _chained(text, first)
+        last = VALUE.match(text, chain[-1].end())
+        quoted = last is not None and last[0][0] in "\"'"
+        at, k = first.start(), 0
+        while k < len(chain):
+            j = k
+            while j + 1 < len(chain) and (quoted or (chain[j + 1]["gap"] and (j + 2 < len(chain) or last))):
+                j += 1
+            value = VALUE.match(text, chain[j].end())
+            if value is None and chain[j]["type"]:
+                value = VALUE.match(text, chain[j].start("type"))
+            if value:
+                yield chain[k:j + 1], value
+            at, k = (value or chain[j]).end(), j + 1
+            while k < len(chain) and chain[k].start() < at:
+                k += 1
+
+
+def _passed_over(targets: list[re.Match]):
+    """Spans read as a type or as a further target that look like literals."""
+    spans = [(m, m.span("type")) for m in targets if m["type"]]
+    spans += [(a, b.span("name")) for a, b in zip(targets, targets[1:])]
+    for m, (a, b) in spans:
+        literal = m.string[a:b]
+        if literal_weight(literal) == 3 and any(c.isdigit() for c in literal):
+            yield m, (a, b)
+
+
 def lexed(text: str, least: int = 5) -> list[tuple[int, int]]:
     """Spans of literals that reach a sensitive name with a score of `least`
     or more (weight of the name plus weight of the literal)."""
     constants: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
     found: set[tuple[int, int]] = set()
-    for m in PAIR.finditer(text):
-        name, raw, at = m["name"], m["value"], m.start("value")
+
+    def reach(name: str, value: str, pieces) -> None:
+        if (weight := name_weight(name)) >= 2 and (score := literal_weight(value)) and weight + score >= least:
+            found.update(p for p in pieces if p[1] > p[0])
+
+    for targets, m in assignments(text):
+        raw, at = m[0], m.start()
         if raw[0] in "\"'":
             pieces = [(at + p.start() + 1, at + p.end() - 1) for p in PART.finditer(raw)]
             value = "".join(text[a:b] for a, b in pieces)
+            known = (r := REFERENCE.fullmatch(value)) and constants.get(r[1] or r[2])
         else:
             pieces, value = [(at, at + len(raw))], raw
             known = constants.get(raw.strip("${}"))
-            if known:
-                value, pieces = known[0], list(known[1])
-        constants[name] = (value, tuple(pieces))
-        if (weight := name_weight(name)) >= 2 and (score := literal_weight(value)) and weight + score >= least:
-            found.update(p for p in pieces if p[1] > p[0])
+        if known:
+            value, pieces = known[0], list(known[1])
+        for t in targets:
+            if name := NAME.search(t["name"]):
+                constants[name[0]] = (value, tuple(pieces))
+                reach(name[0], value, pieces)
+        for t, span in _passed_over(targets):
+            reach(t["name"], text[slice(*span)], [span])
     return sorted(found)
 
 

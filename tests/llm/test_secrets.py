@@ -101,3 +101,43 @@ def test_given_documents(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     wanted = {d: hashlib.sha256(secrets.joined(base(t)).encode()).hexdigest() for d, t in docs}
     assert {r["doc_id"]: r["base_sha256"] for r in op6_secret_scan(spark, SF_SMALL).collect()} == wanted
+
+
+@pytest.mark.parametrize(("text", "literals"), [
+    ('db_password          =          "x9!kQ2zz"', ["x9!kQ2zz"]),
+    ("client_secret\t\t\t\t\t\t\t\t\t=\tZx81-kkq0-99ab", ["Zx81-kkq0-99ab"]),
+    ("service_" * 8 + 'password = "x9!kQ2zz"', ["x9!kQ2zz"]),
+    ('part = "q8Zr"' + " " * 12 + "+" + " " * 12 + '"T6-pL0w"\nclientSecret: part\n', ["q8Zr", "T6-pL0w"]),
+    ('db_password: str = "x9!kQ2zz"', ["x9!kQ2zz"]),
+    ('def f(db_password: str="x9!kQ2zz"):', ["x9!kQ2zz"]),
+    ('db_password: Optional[Dict[str, str]] | None = "x9!kQ2zz"', ["x9!kQ2zz"]),
+    ('const apiKey: string = "x9!kQ2zz-4Lm"', ["x9!kQ2zz-4Lm"]),
+    ('let password: &\'static str = "x9!kQ2zz"', ["x9!kQ2zz"]),
+    ('A = client_secret = "Zx81-kkq0-99ab"', ["Zx81-kkq0-99ab"]),
+    ('client_secret=B="Zx81-kkq0-99ab"\n', ["Zx81-kkq0-99ab"]),
+    ("client_secret = B = Zx81-kkq0-99ab\n", ["Zx81-kkq0-99ab"]),
+    ("client_secret=Zx81kkq099ab=", ["Zx81kkq099ab="]),
+    ("client_secret: Zx81kkq099ab= # padded", ["Zx81kkq099ab="]),
+    ("client_secret=Zx81kkq099ab=&x=1", ["Zx81kkq099ab=&x=1"]),
+    ('os.environ["API_KEY"] = "x9!kQ2zz-4Lm"', ["x9!kQ2zz-4Lm"]),
+    ("cfg['db']['password'] = 'x9!kQ2zz'", ["x9!kQ2zz"]),
+    ('password["admin"] = "x9!kQ2zz"', ["x9!kQ2zz"]),
+    ('get()["password"] = "x9!kQ2zz"', ["x9!kQ2zz"]),
+    ('A="s3cr3t-V4lue-77"\naccess_token=$A\n', ["s3cr3t-V4lue-77"]),
+    ('A="s3cr3t-V4lue-77"\naccess_token=${A}\n', ["s3cr3t-V4lue-77"]),
+    ('A="s3cr3t-V4lue-77"\naccess_token="${A}"\n', ["s3cr3t-V4lue-77"]),
+    ("--password=x9!kQ2zz 9.password=y8!kQ2zz", ["x9!kQ2zz", "y8!kQ2zz"]),
+    ("access_token=${A}", []),
+    ("password: string = changeme", []),
+])
+def test_lexer_without_caps(text, literals):
+    assert [text[a:b] for k, a, b in secrets.spans_of(text) if k == "literal"] == literals
+
+
+@pytest.mark.parametrize("part", ["a-", "a.", "a ", " ", "a=", "a = ", "a[b]=", "a[b]", "a: b[", "a: b ", 'a="', "a='\\'", "a: b=", "a:b<", "a::b", "a:b|", "a$", "${a"])
+def test_lexer_is_linear(part):
+    import time
+
+    start = time.perf_counter()
+    secrets.lexed("password " + part * 40_000)
+    assert time.perf_counter() - start < 5

@@ -248,7 +248,7 @@ def deduplicate(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     whole = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), rest.alias("rest"))
     plan = deal(id_and_text(docs), keys_per_byte=0.01, bucket_keys=250_000)
-    whole = whole.select(plan.group().alias("grp"), "text", "doc_id", "rest")
+    whole = plan.dealt(whole).select("grp", "text", "doc_id", "rest")
     texts = whole.select("grp", "text", "doc_id")
     answers, answers_path = store(_ranked(_first_keys(texts, plan)), "lines")
     state, path = store(_first_level(texts, answers, plan, min_lines), "ranks")

@@ -187,14 +187,14 @@ def deduplicate(docs: DataFrame, min_words: int = 13) -> DataFrame:
     spark = docs.sparkSession
     texts = id_and_text(docs)
     plan = deal(texts, keys_per_byte=0.16)
-    texts = texts.select(plan.group().alias("grp"), "text", "doc_id")
-    answers, answers_path = store(shared_keys(_first_keys(texts, min_words, plan)), "windows")
+    texts = plan.dealt(texts).select("grp", "text", "doc_id")
+    answers, answers_path = store(shared_keys(_first_keys(texts, min_words, plan), plan.owners), "windows")
     state, state_path = store(_first_level(texts, answers, min_words), "levels")
     drop_stored(spark, answers_path)
     length = min_words
     while left := (state.agg(F.sum(F.octet_length("starts"))).first()[0] or 0) // 4:
         level = Deal(plan.ids, max(16, min(plan.buckets, left // 500_000)))
-        answers = shared_keys(_next_keys(state, length, level))
+        answers = shared_keys(_next_keys(state, length, level), plan.owners)
         following, path = store(_next_level(state, answers, length), "levels")
         drop_stored(spark, state_path)
         state, state_path, length = following, path, 2 * length

@@ -265,7 +265,7 @@ def deduplicate(docs: DataFrame, length: int = 200, gram: int | None = None, hot
     spark, gram = docs.sparkSession, gram or (length + 1) // 2
     texts = id_and_text(docs)
     plan = deal(texts, keys_per_byte=0.025)
-    texts = texts.select(plan.group().alias("grp"), "text", "doc_id")
+    texts = plan.dealt(texts).select("grp", "text", "doc_id")
     answers, answers_path = store(shared_keys(_anchor_keys(texts, length, gram, plan)), "anchors")
     contexts, contexts_path = store(_contexts(texts, answers, length, gram), "contexts")
     drop_stored(spark, answers_path)

@@ -25,12 +25,13 @@ rows with the same id and different texts may be in different components."""
 from __future__ import annotations
 
 import math
+import uuid
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop_stored, id_and_text, store, with_null_ids
@@ -65,15 +66,25 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp), fp as a signed 64-bit integer with the same bits."""
+def text_hash() -> Column:
+    """Tells rows with one id apart by their texts."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def fingerprints(docs: DataFrame, shingle: int, with_hash: bool = False) -> DataFrame:
+    """(doc_id, fp), fp as a signed 64-bit integer with the same bits; with
+    the hash of the text, if wanted."""
 
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, fp long")
+    texts = id_and_text(docs)
+    if with_hash:
+        return texts.select("*", text_hash().alias("text_hash")).mapInArrow(run, "doc_id long, fp long, text_hash long")
+    return texts.mapInArrow(run, "doc_id long, fp long")
 
 
 def embed(fp: np.ndarray) -> np.ndarray:
@@ -199,11 +210,9 @@ def links(entries: DataFrame, max_bits: int) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) per document row; component_id is the least
-    doc_id that links of at most `max_bits` differing bits reach."""
-    spark = docs.sparkSession
-    fps, _ = store(fingerprints(docs, shingle), "fingerprints")
+def _components(spark: SparkSession, fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, component_id) per fingerprint: a fingerprint that names its
+    component, and the component's least doc_id."""
     points, points_path = store(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
     entries = points.count() * len(grids(max_bits))
     buckets = max(64, math.ceil(entries / BUCKET_ROWS))
@@ -211,17 +220,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     member = (points.join(found.withColumnRenamed("node", "fp"), "fp", "left")
               .select("fp", "least", F.coalesce("component", "fp").alias("root")))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    roots, _ = store(member.join(least, "root").select("fp", "component_id"), "roots")
+    roots, _ = store(member.join(least, "root").select("fp", "root", "component_id"), "roots")
     for path in (points_path, edges_path):
         drop_stored(spark, path)
+    return roots
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """(doc_id, fp, component_id) per document row; component_id is the least
+    doc_id that links of at most `max_bits` differing bits reach."""
+    fps, _ = store(fingerprints(docs, shingle), "fingerprints")
+    roots = _components(docs.sparkSession, fps, max_bits)
     out = fps.join(roots, "fp").select("doc_id", "fp", "component_id")
     return with_null_ids(with_null_ids(out), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """`docs` with one document of each component: the one with the least id.
+    """`docs` with one document of each component: the one with the least id,
+    and of several rows with that id the one with the least hash of its text.
     All columns stay; equal rows of that document stay once."""
-    found = near_duplicates(docs, shingle, max_bits)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    fps, _ = store(fingerprints(docs, shingle, with_hash=True), "fingerprints")
+    roots = _components(docs.sparkSession, fps, max_bits)
+    first = fps.join(roots, "fp").filter("doc_id = component_id").groupBy("root", "doc_id").agg(F.min("text_hash").alias("kept_hash"))
+    kept = with_null_ids(first).select(F.col("doc_id").alias("kept_id"), "kept_hash").distinct()
+    key = f"text_hash_{uuid.uuid4().hex}"
+    rows = docs.withColumn(key, text_hash())
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows[key] == kept["kept_hash"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", key]).drop(key)

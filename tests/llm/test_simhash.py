@@ -84,3 +84,16 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, x) for x in range(200, 260)] + [(5, 7), (3, 3)]
     found = {r["node"]: r["component"] for r in connected(spark.createDataFrame(edges, "u long, v long"))[0].collect()}
     assert found == {i: 100 for i in range(101, 141)} | {x: 5 for x in [7, *range(200, 260)]}
+
+
+def test_one_row_of_each_component_under_repeated_ids(spark):
+    from .fixtures import prose
+
+    shared, near = prose(1, 300), prose(1, 300) + " tail"
+    assert (brute_fp(shared) ^ brute_fp(near)).bit_count() <= 4
+    other, third = prose(21, 300), prose(33, 300)
+    data = [(1, shared), (2, near), (2, other), (5, third), (5, third + " tail"), (5, third), (None, None), (None, "")]
+    kept = [r[:2] for r in simhash.keep_one(frame(spark, data)).collect()]
+    ids = sorted((d is None, d or 0) for d, _ in kept)
+    assert ids == [(False, 1), (False, 2), (False, 5), (True, 0)]
+    assert (1, shared) in kept and (2, other) in kept

@@ -15,7 +15,8 @@ Items are the stated query set: they are taken in blocks of at most
 
 Words are runs of letters and digits, A-Z lower-cased, other ASCII characters
 separate.  Items or documents with fewer than five words have no shingle and
-match nothing; NULL texts and ids count as such.  Repeated rows are judged one
+match nothing; neither do NULL texts.  Items without an id are not reported by
+`search`, but `clean` drops the documents that hold them.  Repeated rows are judged one
 by one; repeated item ids are merged into one item per text."""
 
 from __future__ import annotations
@@ -95,10 +96,12 @@ class Items:
                 yield self.ids[k], len(exact), shared
 
 
-def item_blocks(items: DataFrame, threshold: float, block_bytes: int = BLOCK_BYTES):
-    """The items in blocks of bounded size, one after another."""
+def item_blocks(items: DataFrame, threshold: float, block_bytes: int = BLOCK_BYTES, named: bool = True):
+    """The items in blocks of bounded size, one after another; those without an
+    id only if they need not be `named`."""
     known = (items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-             .filter("item_id IS NOT NULL AND text IS NOT NULL").distinct())
+             .filter("text IS NOT NULL").distinct())
+    known = known.filter("item_id IS NOT NULL") if named else known
     size = known.agg(F.sum(F.octet_length("text") + 64).alias("b")).first()["b"] or 0
     # A shingle takes a hash, a signature value and its own text: about ten times the item's text.
     blocks = max(1, math.ceil(10 * size / block_bytes))
@@ -131,7 +134,7 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of `docs` that hold no item, all columns unchanged."""
     spark = docs.sparkSession
-    for block in item_blocks(items, threshold, block_bytes):
+    for block in item_blocks(items, threshold, block_bytes, named=False):
         sent = spark.sparkContext.broadcast(block)
 
         def pick(batches, sent=sent):

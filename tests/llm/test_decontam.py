@@ -70,3 +70,10 @@ def test_given_documents(spark):
     d = [tuple(r) for r in read_table(spark, SF_SMALL, "documents", "doc_id", "text").collect()]
     i = [tuple(r) for r in read_table(spark, SF_SMALL, "benchmark", "item_id", "text").collect()]
     same(op8_decontamination(spark, SF_SMALL).collect(), brute(d, i))
+
+
+def test_clean_drops_holders_of_items_without_id(spark):
+    table = spark.createDataFrame([(None, prose(50, 40)), (None, None), (1, prose(51, 40))], "item_id long, text string")
+    data = [(1, prose(70, 90) + " " + prose(50, 40)), (2, prose(71, 90)), (None, prose(51, 40)), (3, None)]
+    for size in (decontam.BLOCK_BYTES, 2000):
+        same([r[:2] for r in decontam.clean(frame(spark, data), table, block_bytes=size).collect()], [data[1], data[3]])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, lines, quality, secrets, simhash, substrings, suffix_dedup, token_files, urls
+from . import bpe, decontam, lines, quality, secrets, simhash, substrings, suffix_dedup, token_files, urls, whitening
 from .common import documents, new_path
 
 # The rules of the URL query's contract.
@@ -76,5 +76,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_files, op4_bpe, op5_quality_rules, op6_secret_scan, op7_line_dedup, op8_decontamination,
-                                   op9_simhash, op10_suffix_dedup)}
+                                   op9_simhash, op10_suffix_dedup, op11_embedding_whitening)}

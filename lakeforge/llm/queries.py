@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontam, hnsw, lines, quality, secrets, simhash, substrings, suffix_dedup, token_files, urls, whitening
+from . import bpe, decontam, hnsw, lines, quality, secrets, simhash, substrings, suffix_dedup, token_files, trie, urls, whitening
 from .common import documents, new_path
 
 # The rules of the URL query's contract.
@@ -80,10 +80,14 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8)
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "embeddings")
     return hnsw.search(rows, rows.filter("vec_id % 20 = 0"), k=20)
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_url_filter, op3_token_files, op4_bpe, op5_quality_rules, op6_secret_scan, op7_line_dedup, op8_decontamination,
-                                   op9_simhash, op10_suffix_dedup, op11_embedding_whitening, op13_nearest_neighbours)}
+                                   op9_simhash, op10_suffix_dedup, op11_embedding_whitening, op12_conversation_trie, op13_nearest_neighbours)}

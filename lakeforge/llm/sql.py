@@ -127,5 +127,44 @@ SELECT l.doc_id, count(*) FILTER (l.t <> '') AS n_lines, count(g.ln) AS n_remove
 FROM trimmed l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.ln = g.ln GROUP BY l.doc_id
 """
 
+# CRC-32 bit by bit: a byte is xored in, each -1 shifts once.
+_CRC32 = """
+xor(4294967295, list_reduce(flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END, 4294967295::BIGINT))
+"""
+
+TRIE = rf"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place,
+         sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+         length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, {_CRC32} % 6 AS head FROM own GROUP BY conv_id),
+convs AS (SELECT s.*, least(s.head, coalesce(b.n, 0)) AS taken FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.base),
+turns AS (
+  SELECT c.conv_id, place AS depth, digest, chars FROM convs c JOIN own o ON o.conv_id = c.base WHERE place <= taken
+  UNION ALL
+  SELECT conv_id, taken + place - head, digest, chars FROM convs JOIN own USING (conv_id) WHERE place > head),
+paths AS (
+  SELECT conv_id, depth, chars, md5(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth)) || '/' || depth AS node FROM turns
+  UNION ALL
+  SELECT conv_id, 0, 0, '' FROM convs),
+nodes AS (SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n, any_value(chars) AS chars FROM paths GROUP BY node),
+linked AS (
+  SELECT n.*, p.node AS parent, m.conv_id AS parent_conv_id FROM nodes n
+  LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 LEFT JOIN nodes m ON m.node = p.node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent),
+totals AS (
+  SELECT p.node, count(*) FILTER (c.n_children IS NULL) AS n_leaves, sum((x.n - 1) * x.chars) AS saved_tokens
+  FROM nodes x JOIN paths p ON p.conv_id = x.conv_id AND p.depth <= x.depth LEFT JOIN children c ON c.node = x.node GROUP BY p.node),
+ends AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max_by(node, depth) AS node FROM paths GROUP BY conv_id) GROUP BY node)
+SELECT l.conv_id, l.depth, parent_conv_id, l.n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM linked l JOIN totals t USING (node) LEFT JOIN children c USING (node) LEFT JOIN ends e USING (node)
+"""
+
 ORACLE_SQL = {"op1_substring_dedup": SUBSTRINGS, "op2_url_filter": URLS, "op5_quality_rules": QUALITY,
-              "op7_line_dedup": LINES, "op8_decontamination": DECONTAMINATION}
+              "op7_line_dedup": LINES, "op8_decontamination": DECONTAMINATION,
+              "op12_conversation_trie": TRIE}

@@ -2,11 +2,12 @@
 
 ``assign_keys`` gives the rows of a frame the dense numbers
 ``start + ROW_NUMBER() OVER (ORDER BY order_by)``, by one algorithm at every
-size: rows are dealt into contiguous key ranges (Spark's range partitioning)
-and stored once together with the number of their range, so that numbers do
-not depend on how a later job partitions them; rows are counted per range, the
-counts summed up over the ranges before (one row per range), and each range is
-numbered by a window of its own.
+size: rows are dealt into contiguous key ranges (Spark's range partitioning),
+sorted, and stored once together with the number of their range and their
+place in it, so that numbers do not depend on how a later job partitions them;
+rows are counted per range and the counts summed up over the ranges before (one
+row per range).  The bounds of the ranges hold the columns of ``order_by``
+only, so these should be few and short.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-RANGE = "_lf_range"
+RANGE, PLACE = "_lf_range", "_lf_place"
 
 
 def _ascending(order_by: list[str]) -> list[Column]:
@@ -25,21 +26,21 @@ def _ascending(order_by: list[str]) -> list[Column]:
 
 def store_ranges(df: DataFrame, order_by: list[str]) -> DataFrame:
     """``df`` stored in contiguous ranges of ``order_by`` (NULLs first), with
-    the number of each row's range as column ``RANGE``."""
-    dealt = df.repartitionByRange(*_ascending(order_by))
-    return cut_lineage(dealt.withColumn(RANGE, F.spark_partition_id()))
+    the number of each row's range as column ``RANGE`` and its place in the
+    sorted range, from 0, as ``PLACE``."""
+    dealt = df.repartitionByRange(*_ascending(order_by)).sortWithinPartitions(*_ascending(order_by))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))  # the lower bits count the rows of a task
+    return cut_lineage(dealt.withColumns({RANGE: F.spark_partition_id(), PLACE: place}))
 
 
-def number_ranges(ranged: DataFrame, order_by: list[str], key_col: str, start: int | Column = 0) -> DataFrame:
-    """Number the rows (or some of the rows) of a frame from ``store_ranges``;
-    ``RANGE`` stays as a column."""
+def number_ranges(ranged: DataFrame, key_col: str, start: int | Column = 0) -> DataFrame:
+    """Number the rows of a frame from ``store_ranges``; ``RANGE`` stays as a column."""
     # One row per range, so the broadcast side has as many rows as the shuffle has partitions.
     offsets = (ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_lf_n"))
                .select(RANGE, (F.sum("_lf_n").over(Window.orderBy(RANGE)) - F.col("_lf_n")).alias("_lf_off")))
-    place = F.row_number().over(Window.partitionBy(RANGE).orderBy(*_ascending(order_by)))
     first = start if isinstance(start, Column) else F.lit(start)
     return (ranged.join(F.broadcast(offsets), RANGE)
-            .withColumn(key_col, (first + F.col("_lf_off") + place).cast("long")).drop("_lf_off"))
+            .withColumn(key_col, (first + F.col("_lf_off") + F.col(PLACE) + 1).cast("long")).drop("_lf_off", PLACE))
 
 
 def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | Column = 0) -> DataFrame:
@@ -49,7 +50,7 @@ def assign_keys(df: DataFrame, order_by: list[str], key_col: str, start: int | C
     it is evaluated inside the plan.  ``order_by`` should be unique over ``df``
     for the numbers to be deterministic (ties are numbered in an unspecified
     order, as in SQL)."""
-    return number_ranges(store_ranges(df, order_by), order_by, key_col, start).drop(RANGE)
+    return number_ranges(store_ranges(df, order_by), key_col, start).drop(RANGE)
 
 
 def number_within_groups(df: DataFrame, group_by: list[str], order_by: list[str], out_col: str) -> DataFrame:
@@ -63,7 +64,7 @@ def number_within_groups(df: DataFrame, group_by: list[str], order_by: list[str]
     the first and last group of a range can span ranges, so the correction has
     at most two rows per range."""
     order = list(group_by) + list(order_by)
-    numbered = number_ranges(store_ranges(df, order), order, "_lf_gid")
+    numbered = number_ranges(store_ranges(df, order), "_lf_gid")
     x = numbered.withColumn("_lf_lstart", F.min("_lf_gid").over(Window.partitionBy(RANGE, *group_by)))
     edge = F.struct(*[F.col(c) for c in group_by], F.col("_lf_lstart").alias("_lf_lstart"))
     ends = (x.groupBy(RANGE).agg(F.min(edge).alias("a"), F.max(edge).alias("b"))

@@ -1,9 +1,17 @@
 """Merges: SCD type 2 history load (M1–M3) and SCD type 1 upsert (M4, M5).
 
-SCD2 runs in one pass: the *active* target rows are full-outer-joined with
-the source on the natural key (one shuffle of each side on the key; closed
-history is passed through untouched, with no shuffle), and each joined row
-emits one or two output rows through a small action array:
+Both merges evaluate target and source once, in one full outer join with one
+shuffle of each side (none of the target if it is stored in buckets, see
+:mod:`lakeforge.sources.buckets`).  The sides meet on a 64-bit hash of the
+natural key; the keys themselves are compared as well.  A row with a NULL key
+gets a hash of its own: it matches nothing, and such rows spread over all
+tasks (active target rows are closed, source rows opened, G4).  The source's
+rows are checked for a key that occurs twice (G20) where the join's shuffle has
+brought them together.
+
+An SCD2 load joins the *active* target rows only; closed history is passed
+through untouched.  Each joined row emits one or two rows through a small
+action array:
 
 =====================  =========================
 joined row             emitted
@@ -14,24 +22,28 @@ target only            target row closed
 source only            new source version
 =====================  =========================
 
-Rows with a NULL key can never match an equality join; they are split off
-*before* the join (so they cannot pile up in the one task that NULL hashes
-to): active ones are closed, source ones are opened — the warehouse's
-behaviour (G4).  New versions get ``max(id) + row_number() over (order by
-key)`` from :func:`assign_keys`.
+The merged rows are stored once.  Those without an id yet, and only those, are
+dealt into ranges of (natural key, digest) and get ``max(id) + row_number()``
+from :func:`assign_keys`; the digest of all data columns orders rows with a
+NULL key and is 0 for the others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..contracts import CREATE_DATE, ID, UPDATE_DATE, VALID_FROM, VALID_TO
 from ..functions.dates import ts_lit
 from ..functions.predicates import any_changed_sql, any_null, q
-from .keys import assign_keys, max_key_col, number_ranges, store_ranges
+from ..session import cut_lineage
+from .keys import assign_keys, max_key_col
 
 _S = "_lf_s_"
+#: Hash that target and source meet on, whether a merged row differs from the
+#: stored one, and the order of rows with a NULL key.
+HASH, CHANGED, DIGEST = "_lf_h", "_lf_changed", "_lf_digest"
 
 
 def _ts_sql(load_date) -> str:
@@ -52,49 +64,75 @@ def empty_history(source: DataFrame, id_col: str = ID) -> DataFrame:
         F.lit(None).cast(ntz).alias(CREATE_DATE), F.lit(None).cast(ntz).alias(UPDATE_DATE))
 
 
-def assert_unique_keys(source: DataFrame, keys: list[str], what: str = "source") -> DataFrame:
-    """Fail the job if a non-NULL key occurs twice (merge cardinality rule,
-    G20).  The largest per-key row count is a scalar subquery of an
-    aggregate over the key columns only (map-side partial counts, so even a
-    key holding a third of the rows is counted without gathering it), and
-    is checked before the merge consumes the source."""
-    most = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lf_n"))
-            .agg(F.coalesce(F.max("_lf_n"), F.lit(0))).scalar())
-    msg = f"merge {what} has several rows for one key ({', '.join(keys)})"
-    return source.filter(F.when(most > 1, F.raise_error(F.lit(msg))).otherwise(F.lit(True)))
+def merge_hash(df: DataFrame, keys: list[str]) -> str:
+    """SQL text of ``HASH``: of the key (integers of any width as BIGINT), or of
+    its own for a row with a NULL in its key."""
+    null = " OR ".join(f"{q(k)} IS NULL" for k in keys)
+    values = [f"CAST({q(k)} AS BIGINT)" if isinstance(df.schema[k].dataType, IntegralType) else q(k) for k in keys]
+    return f"CASE WHEN {null} THEN xxhash64(monotonically_increasing_id()) ELSE xxhash64({', '.join(values)}) END"
 
 
-def _split_new(merged: DataFrame, order: list[str], id_col: str, start) -> tuple[DataFrame, DataFrame]:
-    """Rows that have an id, and the others with new ids.  ``merged`` is
-    stored once, in ranges of ``order``, and both parts read it, so the merge
-    join and the source run once."""
-    ranged = store_ranges(merged, order)
-    new = number_ranges(ranged.filter(F.col(id_col).isNull()).drop(id_col), order, id_col, start)
-    return ranged.filter(F.col(id_col).isNotNull()), new
+def order_digest(keys: list[str], data_cols: list[str]) -> str:
+    """SQL text of ``DIGEST``: 60 bits of the MD5 of all data columns if the
+    key holds a NULL, else 0."""
+    null = " OR ".join(f"{q(k)} IS NULL" for k in keys)
+    text = ", ".join(f"coalesce(CAST({q(c)} AS STRING), '-')" for c in data_cols)
+    return f"CASE WHEN {null} THEN CAST(conv(substring(md5(concat_ws('|', {text})), 1, 15), 16, 10) AS BIGINT) ELSE 0L END"
 
 
-def _key_order(keys: list[str], data_cols: list[str]) -> list[str]:
-    """The natural key first; the other columns only order NULL-key rows."""
-    return list(keys) + [c for c in data_cols if c not in keys]
+def once_per_key(source: DataFrame, keys: list[str], what: str = "source") -> DataFrame:
+    """``source`` (with ``HASH``) that fails the job if a non-NULL key occurs
+    twice (merge cardinality rule, G20).  Equal keys are neighbours after the
+    shuffle on ``HASH`` that the merge needs anyway."""
+    w = Window.partitionBy(HASH).orderBy(*keys)
+    before = [f"_lf_before_{i}" for i in range(len(keys))]
+    msg = f"merge {what} has several rows for one key ({', '.join(keys)})"
+    same = " AND ".join(f"{q(k)} = {q(b)}" for k, b in zip(keys, before))
+    return (source.withColumns({b: F.lag(k).over(w) for k, b in zip(keys, before)})
+            .filter(F.when(F.expr(same), F.raise_error(F.lit(msg))).otherwise(F.lit(True))).drop(*before))
+
+
+def _paired(target: DataFrame, source: DataFrame, keys: list[str], data_cols: list[str]) -> DataFrame:
+    """Target rows and source rows (columns prefixed ``_S``) by key, unmatched
+    ones of both sides included; ``_lf_tp`` / ``_lf_sp`` tell which are there."""
+    for k in keys:
+        types = [df.schema[k].dataType for df in (target, source)]
+        if types[0] != types[1] and not all(isinstance(t, IntegralType) for t in types):
+            raise TypeError(f"merge key {k} is {types[0]} in the target and {types[1]} in the source")
+    s = once_per_key(source.selectExpr(*map(q, data_cols), f"{merge_hash(source, keys)} AS {HASH}"), keys)
+    s = s.selectExpr(*[f"{q(c)} AS {q(_S + c)}" for c in [*data_cols, HASH]], "true AS _lf_sp")
+    t = target if HASH in target.columns else target.selectExpr("*", f"{merge_hash(target, keys)} AS {HASH}")
+    # Two inequalities, so that the join is partitioned by the hash alone.
+    same = [(F.col(k) <= F.col(_S + k)) & (F.col(k) >= F.col(_S + k)) for k in keys]
+    return t.withColumn("_lf_tp", F.lit(True)).join(s, [F.col(HASH) == F.col(_S + HASH), *same], "full_outer")
+
+
+def number_new(merged: DataFrame, keys: list[str], data_cols: list[str], id_col: str, start) -> DataFrame:
+    """The rows of ``merged`` without an id, numbered after ``start`` in the
+    order of their key."""
+    new = merged.filter(F.col(id_col).isNull()).drop(id_col).selectExpr("*", f"{order_digest(keys, data_cols)} AS {DIGEST}")
+    return assign_keys(new, [*keys, DIGEST], id_col, start).drop(DIGEST)
+
+
+def scd2_opened(source: DataFrame, keys: list[str], load_date, id_col: str = ID) -> DataFrame:
+    """Every source row as a new version without an id: the transitions of a
+    first load."""
+    tl, cols = _ts_sql(load_date), list(source.columns)
+    s = once_per_key(source.selectExpr(*map(q, cols), f"{merge_hash(source, keys)} AS {HASH}"), keys)
+    return s.selectExpr(
+        f"CAST(NULL AS BIGINT) AS {q(id_col)}", *map(q, cols), f"{tl} AS {VALID_FROM}", f"CAST(NULL AS TIMESTAMP_NTZ) AS {VALID_TO}",
+        f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}", HASH, f"true AS {CHANGED}")
 
 
 def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
                      load_date, null_safe: bool = False, id_col: str = ID,
                      include_open: bool = True) -> DataFrame:
     """The merged *active* part after a load, before ids of new versions are
-    assigned (their ``id_col`` is NULL).  Closed history is not included."""
-    t = ts_lit(load_date)
+    assigned (their ``id_col`` is NULL), with ``HASH`` and ``CHANGED``.  Closed
+    history is not included."""
     tl = _ts_sql(load_date)
     data_cols = list(source.columns)
-    active = target.filter(F.col(VALID_TO).isNull())
-    nk = any_null(keys)
-    a_ok, a_null = active.filter(~nk), active.filter(nk)
-    s_ok, s_null = source.filter(~nk), source.filter(nk)
-    s_ok = assert_unique_keys(s_ok, keys)
-
-    s = s_ok.selectExpr(*[f"{q(c)} AS {q(_S + c)}" for c in data_cols], "true AS _lf_sp")
-    a = a_ok.withColumn("_lf_tp", F.lit(True))
-    j = a.join(s, [a[k] == s[_S + k] for k in keys], "full_outer")
+    j = _paired(target.filter(F.col(VALID_TO).isNull()), source, keys, data_cols)
     changed = any_changed_sql([(c, _S + c) for c in tracked], null_safe)
     close_open = "array('close', 'open')" if include_open else "array('close')"
     only_s = "array('open')" if include_open else "array()"
@@ -103,37 +141,31 @@ def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], trac
                f"ELSE CAST({only_s} AS array<string>) END")
     x = j.selectExpr("*", f"explode({actions}) AS _lf_act")
     is_open, is_close = "_lf_act = 'open'", "_lf_act = 'close'"
-    merged = x.selectExpr(
+    return x.selectExpr(
         f"CASE WHEN {is_open} THEN CAST(NULL AS BIGINT) ELSE {q(id_col)} END AS {q(id_col)}",
         *[f"CASE WHEN {is_open} THEN {q(_S + c)} ELSE {q(c)} END AS {q(c)}" for c in data_cols],
         f"CASE WHEN {is_open} THEN {tl} ELSE {VALID_FROM} END AS {VALID_FROM}",
         f"CASE WHEN {is_close} THEN {tl} WHEN {is_open} THEN CAST(NULL AS TIMESTAMP_NTZ) "
         f"ELSE {VALID_TO} END AS {VALID_TO}",
         f"CASE WHEN {is_open} THEN {tl} ELSE {CREATE_DATE} END AS {CREATE_DATE}",
-        f"CASE WHEN {is_open} OR {is_close} THEN {tl} ELSE {UPDATE_DATE} END AS {UPDATE_DATE}")
-
-    closed_null = a_null.withColumn(VALID_TO, t).withColumn(UPDATE_DATE, t)
-    out = merged.unionByName(closed_null.select(*merged.columns))
-    if include_open:
-        opened_null = s_null.selectExpr(
-            f"CAST(NULL AS BIGINT) AS {q(id_col)}", *[q(c) for c in data_cols],
-            f"{tl} AS {VALID_FROM}", f"CAST(NULL AS TIMESTAMP_NTZ) AS {VALID_TO}",
-            f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}")
-        out = out.unionByName(opened_null)
-    return out
+        f"CASE WHEN {is_open} OR {is_close} THEN {tl} ELSE {UPDATE_DATE} END AS {UPDATE_DATE}",
+        f"coalesce({HASH}, {q(_S + HASH)}) AS {HASH}", f"_lf_act != 'keep' AS {CHANGED}")
 
 
-def scd2_load(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
+def scd2_load(target: DataFrame | None, source: DataFrame, keys: list[str], tracked: list[str],
               load_date, null_safe: bool = False, id_col: str = ID) -> DataFrame:
     """One SCD2 load (close changed/missing active versions, open new ones)
-    in a single pass over the active target."""
+    in a single pass over the active target.  Without a target every source
+    row is opened."""
     keys, tracked = list(keys), list(tracked)
     data_cols = list(source.columns)
     cols = history_columns(data_cols, id_col)
+    if target is None:
+        return number_new(scd2_opened(source, keys, load_date, id_col), keys, data_cols, id_col, 0).select(*cols)
     history = target.filter(F.col(VALID_TO).isNotNull()).select(*cols)
-    merged = scd2_transitions(target, source, keys, tracked, load_date, null_safe, id_col)
-    kept, new = _split_new(merged, _key_order(keys, data_cols), id_col, max_key_col(target, id_col))
-    return history.unionByName(kept.select(*cols)).unionByName(new.select(*cols))
+    merged = cut_lineage(scd2_transitions(target, source, keys, tracked, load_date, null_safe, id_col))
+    new = number_new(merged, keys, data_cols, id_col, max_key_col(target, id_col))
+    return history.unionByName(merged.filter(F.col(id_col).isNotNull()).select(*cols)).unionByName(new.select(*cols))
 
 
 def scd2_close(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
@@ -151,20 +183,38 @@ def scd2_open(target: DataFrame, source: DataFrame, keys: list[str], load_date,
               id_col: str = ID) -> DataFrame:
     """Second half of a load (M2): insert a new version for every source row
     without an *active* target row on its key (new keys and keys just closed)."""
-    t = ts_lit(load_date)
     keys = list(keys)
     data_cols = list(source.columns)
     cols = history_columns(data_cols, id_col)
     active_keys = target.filter(F.col(VALID_TO).isNull()).select(*keys)
-    fresh = source.join(active_keys, keys, "left_anti")  # NULL keys never match: opened
-    fresh = fresh.select(
-        *data_cols, t.alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
-        t.alias(CREATE_DATE), t.alias(UPDATE_DATE))
-    new = assign_keys(fresh, _key_order(keys, data_cols), id_col, max_key_col(target, id_col))
+    fresh = source.join(active_keys, keys, "left_anti").select(*data_cols)  # NULL keys never match: opened
+    new = number_new(scd2_opened(fresh, keys, load_date, id_col), keys, data_cols, id_col, max_key_col(target, id_col))
     return target.select(*cols).unionByName(new.select(*cols))
 
 
-def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
+def scd1_merged(target: DataFrame | None, source: DataFrame, keys: list[str], compared: list[str], surrogate: str,
+                load_date, null_safe: bool = False) -> DataFrame:
+    """All rows of the target after an SCD1 upsert, before surrogates of new
+    rows are assigned (theirs is NULL), with ``HASH`` and ``CHANGED``."""
+    tl = _ts_sql(load_date)
+    data_cols = keys + [c for c in compared if c not in keys]
+    if target is None:
+        s = once_per_key(source.selectExpr(*map(q, data_cols), f"{merge_hash(source, keys)} AS {HASH}"), keys)
+        return s.selectExpr(f"CAST(NULL AS BIGINT) AS {q(surrogate)}", *map(q, data_cols), f"{tl} AS {CREATE_DATE}",
+                            f"{tl} AS {UPDATE_DATE}", HASH, f"true AS {CHANGED}")
+    kept = [surrogate, *data_cols, CREATE_DATE, UPDATE_DATE, *([HASH] if HASH in target.columns else [])]
+    j = _paired(target.select(*kept), source, keys, data_cols)
+    changed = any_changed_sql([(c, _S + c) for c in compared], null_safe)
+    take_s = f"(_lf_tp IS NULL OR (_lf_sp IS NOT NULL AND {changed}))"
+    return j.selectExpr(
+        q(surrogate),
+        *[f"CASE WHEN {take_s} THEN {q(_S + c)} ELSE {q(c)} END AS {q(c)}" for c in data_cols],
+        f"CASE WHEN _lf_tp IS NULL THEN {tl} ELSE {CREATE_DATE} END AS {CREATE_DATE}",
+        f"CASE WHEN {take_s} THEN {tl} ELSE {UPDATE_DATE} END AS {UPDATE_DATE}",
+        f"coalesce({HASH}, {q(_S + HASH)}) AS {HASH}", f"{take_s} AS {CHANGED}")
+
+
+def scd1_upsert(target: DataFrame | None, source: DataFrame, key, compared: list[str],
                 surrogate: str, load_date, null_safe: bool = False,
                 start: int | Column | None = None) -> DataFrame:
     """SCD type 1 upsert (M4/M5): matched and any compared column differs →
@@ -172,34 +222,21 @@ def scd1_upsert(target: DataFrame, source: DataFrame, key, compared: list[str],
     matched and equal, or target only → target row unchanged (rows are never
     deleted, G8); source only → new surrogate, ``create = update = load``.
 
-    ``key`` may be a list of columns (fact grain).  NULL keys never match:
-    such rows of either side go around the join.
+    ``key`` may be a list of columns (fact grain).  NULL keys never match.
+    Without a target every source row is new.
     ``start`` is the largest surrogate in use when the caller knows it (e.g.
     from a commit log); otherwise it is a scalar subquery over the target.
     """
-    tl = _ts_sql(load_date)
     keys = [key] if isinstance(key, str) else list(key)
     data_cols = keys + [c for c in compared if c not in keys]
     out_cols = [surrogate, *data_cols, CREATE_DATE, UPDATE_DATE]
-    nk = any_null(keys)
-    src_ok = assert_unique_keys(source.filter(~nk), keys)
-    s = src_ok.selectExpr(*[f"{q(c)} AS {q(_S + c)}" for c in data_cols], "true AS _lf_sp")
-    tg = target.filter(~nk).select(*out_cols).withColumn("_lf_tp", F.lit(True))
-    j = tg.join(s, [tg[k] == s[_S + k] for k in keys], "full_outer")
-    changed = any_changed_sql([(c, _S + c) for c in compared], null_safe)
-    take_s = f"(_lf_tp IS NULL OR (_lf_sp IS NOT NULL AND {changed}))"
-    merged = j.selectExpr(
-        q(surrogate),
-        *[f"CASE WHEN {take_s} THEN {q(_S + c)} ELSE {q(c)} END AS {q(c)}" for c in data_cols],
-        f"CASE WHEN _lf_tp IS NULL THEN {tl} ELSE {CREATE_DATE} END AS {CREATE_DATE}",
-        f"CASE WHEN {take_s} THEN {tl} ELSE {UPDATE_DATE} END AS {UPDATE_DATE}")
-    null_new = source.filter(nk).selectExpr(
-        f"CAST(NULL AS BIGINT) AS {q(surrogate)}", *[q(c) for c in data_cols],
-        f"{tl} AS {CREATE_DATE}", f"{tl} AS {UPDATE_DATE}")
-    merged = merged.unionByName(target.filter(nk).select(*out_cols)).unionByName(null_new)
+    merged = scd1_merged(target, source, keys, compared, surrogate, load_date, null_safe)
+    if target is None:
+        return number_new(merged, keys, data_cols, surrogate, start or 0).select(*out_cols)
+    merged = cut_lineage(merged)
     first = max_key_col(target, surrogate) if start is None else start
-    kept, new = _split_new(merged.select(*out_cols), data_cols, surrogate, first)
-    return kept.select(*out_cols).unionByName(new.select(*out_cols))
+    new = number_new(merged, keys, data_cols, surrogate, first)
+    return merged.filter(F.col(surrogate).isNotNull()).select(*out_cols).unionByName(new.select(*out_cols))
 
 
 def as_of(history: DataFrame, at) -> DataFrame:

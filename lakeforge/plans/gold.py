@@ -194,7 +194,7 @@ class Warehouse:
     def history(self, table: str, day: int) -> DataFrame:
         def build():
             src = silver.silver_source(self.spark, self.d, table, day)
-            prev = (silver.empty_history(src) if day == 1 else self.history(table, day - 1))
+            prev = None if day == 1 else self.history(table, day - 1)
             return cut_lineage(silver.load(prev, src, table, silver.LOADS[day]))
         return self._memo(("h", table, day), build)
 

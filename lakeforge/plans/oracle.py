@@ -414,7 +414,11 @@ def upsert_sql(prev: str, src: str, surrogate: str, keys: list[str], compared: l
     diff = "COALESCE(" + " OR ".join(f"t.{c} <> s.{c}" for c in compared) + ", FALSE)"
     data = keys + [c for c in compared if c not in keys]
     scols = ", ".join(f"s.{c}" for c in data)
-    order = ", ".join(f"s.{c}" for c in data)
+    # rows with a NULL in their key are numbered by a digest of all their columns
+    text = ", ".join(f"coalesce(CAST(s.{c} AS VARCHAR), '-')" for c in data)
+    null = " OR ".join(f"s.{k} IS NULL" for k in keys)
+    order = ", ".join(f"s.{k} NULLS FIRST" for k in keys) + (
+        f", CASE WHEN {null} THEN CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 15) AS BIGINT) ELSE 0 END")
     return "\nUNION ALL\n".join([
         f"SELECT t.{surrogate} AS {surrogate}, {scols}, t._tf_create_date AS _tf_create_date, "
         f"{tsl(load)} AS _tf_update_date FROM {prev} t JOIN {src} s ON {match} WHERE {diff}",

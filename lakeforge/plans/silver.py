@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import SILVER, VALID_TO
-from ..operators.merge import empty_history, scd2_close, scd2_load, scd2_open
+from ..operators.merge import scd2_close, scd2_load, scd2_open
 from ..operators.projection import to_silver
 from ..session import cut_lineage
 from ..sources.fixtures import LOAD_1, LOAD_2
@@ -22,7 +22,7 @@ def silver_source(spark: SparkSession, d: str, table: str, day: int) -> DataFram
     return to_silver(warehouse(spark, d).bronze(table, day), SILVER[table])
 
 
-def load(target: DataFrame, source: DataFrame, table: str, load_date,
+def load(target: DataFrame | None, source: DataFrame, table: str, load_date,
          null_safe: bool = False) -> DataFrame:
     spec = SILVER[table]
     return scd2_load(target, source, spec.keys, spec.tracked, load_date, null_safe)
@@ -36,8 +36,7 @@ def history(spark: SparkSession, d: str, table: str, days: int = 2,
     h = None
     for day in range(1, days + 1):
         src = silver_source(spark, d, table, day)
-        h = load(empty_history(src) if h is None else h, src, table, LOADS[day], null_safe)
-        h = cut_lineage(h)
+        h = cut_lineage(load(h, src, table, LOADS[day], null_safe))
     return h
 
 

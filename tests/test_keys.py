@@ -74,7 +74,7 @@ def test_wide_rows_over_many_ranges(spark):
     began = time.time()
     try:
         ranged = store_ranges(wide, wide.columns)
-        out = number_ranges(ranged, wide.columns, "n", 5)
+        out = number_ranges(ranged, "n", 5)
         assert ranged.select(RANGE).distinct().count() > 32
         rows = out.select("n", *wide.columns).collect()
     finally:

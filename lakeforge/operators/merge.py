@@ -92,14 +92,17 @@ def once_per_key(source: DataFrame, keys: list[str], what: str = "source") -> Da
             .filter(F.when(F.expr(same), F.raise_error(F.lit(msg))).otherwise(F.lit(True))).drop(*before))
 
 
-def _paired(target: DataFrame, source: DataFrame, keys: list[str], data_cols: list[str]) -> DataFrame:
+def _paired(target: DataFrame, source: DataFrame, keys: list[str], data_cols: list[str], buckets: int | None) -> DataFrame:
     """Target rows and source rows (columns prefixed ``_S``) by key, unmatched
-    ones of both sides included; ``_lf_tp`` / ``_lf_sp`` tell which are there."""
+    ones of both sides included; ``_lf_tp`` / ``_lf_sp`` tell which are there.
+    With ``buckets``, the target is stored in so many buckets of ``HASH`` and the
+    source is dealt likewise."""
     for k in keys:
         types = [df.schema[k].dataType for df in (target, source)]
         if types[0] != types[1] and not all(isinstance(t, IntegralType) for t in types):
             raise TypeError(f"merge key {k} is {types[0]} in the target and {types[1]} in the source")
-    s = once_per_key(source.selectExpr(*map(q, data_cols), f"{merge_hash(source, keys)} AS {HASH}"), keys)
+    s = source.selectExpr(*map(q, data_cols), f"{merge_hash(source, keys)} AS {HASH}")
+    s = once_per_key(s.repartition(buckets, HASH) if buckets else s, keys)
     s = s.selectExpr(*[f"{q(c)} AS {q(_S + c)}" for c in [*data_cols, HASH]], "true AS _lf_sp")
     t = target if HASH in target.columns else target.selectExpr("*", f"{merge_hash(target, keys)} AS {HASH}")
     # Two inequalities, so that the join is partitioned by the hash alone.
@@ -126,13 +129,13 @@ def scd2_opened(source: DataFrame, keys: list[str], load_date, id_col: str = ID)
 
 def scd2_transitions(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
                      load_date, null_safe: bool = False, id_col: str = ID,
-                     include_open: bool = True) -> DataFrame:
+                     include_open: bool = True, buckets: int | None = None) -> DataFrame:
     """The merged *active* part after a load, before ids of new versions are
     assigned (their ``id_col`` is NULL), with ``HASH`` and ``CHANGED``.  Closed
     history is not included."""
     tl = _ts_sql(load_date)
     data_cols = list(source.columns)
-    j = _paired(target.filter(F.col(VALID_TO).isNull()), source, keys, data_cols)
+    j = _paired(target.filter(F.col(VALID_TO).isNull()), source, keys, data_cols, buckets)
     changed = any_changed_sql([(c, _S + c) for c in tracked], null_safe)
     close_open = "array('close', 'open')" if include_open else "array('close')"
     only_s = "array('open')" if include_open else "array()"
@@ -193,7 +196,7 @@ def scd2_open(target: DataFrame, source: DataFrame, keys: list[str], load_date,
 
 
 def scd1_merged(target: DataFrame | None, source: DataFrame, keys: list[str], compared: list[str], surrogate: str,
-                load_date, null_safe: bool = False) -> DataFrame:
+                load_date, null_safe: bool = False, buckets: int | None = None) -> DataFrame:
     """All rows of the target after an SCD1 upsert, before surrogates of new
     rows are assigned (theirs is NULL), with ``HASH`` and ``CHANGED``."""
     tl = _ts_sql(load_date)
@@ -203,7 +206,7 @@ def scd1_merged(target: DataFrame | None, source: DataFrame, keys: list[str], co
         return s.selectExpr(f"CAST(NULL AS BIGINT) AS {q(surrogate)}", *map(q, data_cols), f"{tl} AS {CREATE_DATE}",
                             f"{tl} AS {UPDATE_DATE}", HASH, f"true AS {CHANGED}")
     kept = [surrogate, *data_cols, CREATE_DATE, UPDATE_DATE, *([HASH] if HASH in target.columns else [])]
-    j = _paired(target.select(*kept), source, keys, data_cols)
+    j = _paired(target.select(*kept), source, keys, data_cols, buckets)
     changed = any_changed_sql([(c, _S + c) for c in compared], null_safe)
     take_s = f"(_lf_tp IS NULL OR (_lf_sp IS NOT NULL AND {changed}))"
     return j.selectExpr(

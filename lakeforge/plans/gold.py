@@ -4,20 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+import uuid
 from concurrent.futures import Future, ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import (CREATE_DATE, CUSTOMER, FACT_COMPARED, FACT_KEYS, FACT_SURROGATE,
+from ..contracts import (CREATE_DATE, CUSTOMER, FACT_COLUMNS, FACT_COMPARED, FACT_KEYS, FACT_SURROGATE,
                          GEOGRAPHY, PRODUCT, PRODUCT_CATEGORY, UNKNOWN_KEY, UNKNOWN_TEXT,
                          UPDATE_DATE, VALID_TO, DimSpec)
 from ..functions.dates import date_key, ts_lit
 from ..operators.hierarchy import flatten_categories
-from ..operators.merge import scd1_upsert
+from ..operators.merge import HASH, number_new, scd1_merged, scd1_upsert
 from ..operators.projection import conform
 from ..operators.star import fact_sales_projection
 from ..session import cut_lineage, ensure_checkpoint_dir, folder_stamp
+from ..sources import snapshot as store
+from ..sources.buckets import BUCKETS, BucketedTable
 from ..sources.fixtures import D1, day2_snapshot, snapshot
 from ..sources.tables import read_table
 from . import silver
@@ -157,7 +160,7 @@ class Warehouse:
         self.spark, self.d = spark, d
         self._cache: dict = {}
         self._lock = threading.Lock()
-        ensure_checkpoint_dir(spark)
+        self.store = store.Store(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakeforge-warehouse-{uuid.uuid4().hex[:12]}")
 
     def _memo(self, key, fn):
         """Build ``key`` once, also when several threads ask for it."""
@@ -232,22 +235,49 @@ class Warehouse:
         self._prefetch_fact_inputs(day)
 
         def build():
-            prev = empty_fact(self.spark) if day == 1 else self.fact(day - 1)
-            return cut_lineage(scd1_upsert(
-                prev, self.fact_projection(day), list(FACT_KEYS), [c for c, _ in FACT_COMPARED],
-                FACT_SURROGATE, silver.LOADS[day]))
+            if day > 1:
+                self.fact(day - 1)
+            upsert_fact(self.store, "gold/fact_sales", self.fact_projection(day), silver.LOADS[day])
+            return fact_history(self.store)
         return self._memo(("f", day), build)
 
 
-def empty_fact(spark: SparkSession) -> DataFrame:
-    """The fact table without rows."""
-    cols = [F.lit(None).cast("long").alias(FACT_SURROGATE),
-            F.lit(None).cast("int").alias(FACT_KEYS[0]),
-            F.lit(None).cast("int").alias(FACT_KEYS[1])]
-    cols += [F.lit(None).cast(t).alias(c) for c, t in FACT_COMPARED]
-    cols += [F.lit(None).cast("timestamp_ntz").alias(CREATE_DATE),
-             F.lit(None).cast("timestamp_ntz").alias(UPDATE_DATE)]
-    return spark.range(0).select(*cols)
+def fact_history(st: store.Store, name: str = "gold/fact_sales") -> DataFrame:
+    """The fact as the last load left it."""
+    return BucketedTable(st, name).read().drop(HASH)
+
+
+def reference_checks(rows: DataFrame, dims: dict[str, DataFrame]) -> tuple[DataFrame, dict]:
+    """``rows`` with a flag for each foreign key whose value no row of its
+    dimension has, and the checks of those flags and of missing values."""
+    checks = {}
+    for key, dim in dims.items():
+        flag, known = f"{store.CHECKED}{key}", f"_lf_known_{key}"
+        found = dim.select(F.col(key).alias(known)).distinct()
+        rows = rows.join(found, F.col(key) == F.col(known), "left").withColumn(
+            flag, F.col(key).isNotNull() & F.col(known).isNull()).drop(known)
+        checks[f"{key} has no row in its dimension"] = F.col(flag)
+        checks[f"{key} is NULL"] = F.col(key).isNull()
+    return rows, checks
+
+
+def upsert_fact(st: store.Store, name: str, projection: DataFrame, load_date, buckets: int = BUCKETS,
+                dims: dict[str, DataFrame] | None = None) -> None:
+    """SCD1 upsert of the fact (M5): only the buckets in which a row is new or
+    changed are written.  With ``dims``, the keys of the rows that are written
+    must be in their dimensions."""
+    fact = BucketedTable(st, name, buckets)
+    keys, compared = list(FACT_KEYS), [c for c, _ in FACT_COMPARED]
+    data_cols = keys + compared
+    target, start = fact.read(), st.latest_max_key(name)
+    merged = scd1_merged(target, projection, keys, compared, FACT_SURROGATE, load_date, buckets=fact.buckets)
+    if target is None:
+        rows = number_new(merged, keys, data_cols, FACT_SURROGATE, start)
+    else:
+        merged = cut_lineage(merged)
+        rows = merged.filter(F.col(FACT_SURROGATE).isNotNull()).unionByName(number_new(merged, keys, data_cols, FACT_SURROGATE, start))
+    rows, checks = reference_checks(rows, dims or {})
+    fact.apply(rows, F.lit(True), FACT_SURROGATE, FACT_COLUMNS, checks)
 
 
 _WAREHOUSES: dict = {}

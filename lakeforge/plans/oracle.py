@@ -753,7 +753,19 @@ SELECT ProductID, Name, CAST(ListPrice AS DOUBLE) AS ListPrice, CAST(Size AS INT
     all_ctes += c
     parts.append(content_sql("gold", "fact_sales", f, ["_tf_fact_sales_id", *FACT_KEYS, *[c for c, _ in FACT_COMPARED],
                                                        "_tf_create_date", "_tf_update_date"]))
-    out["layered_run"] = compose(all_ctes, "\nUNION ALL\n".join(parts))
+    out["layered_run"] = out["catalog_tables"] = compose(all_ctes, "\nUNION ALL\n".join(parts))
+
+    f_ctes, f = fact_chain(1)
+    checks = [(spec.name, f"{c} is NULL", f"SELECT COUNT(*) FROM {spec.name}_d1 WHERE {c} IS NULL")
+              for spec in (GEOGRAPHY, CUSTOMER, PRODUCT) for c in (spec.surrogate, spec.natural_key)]
+    days = """(SELECT CAST(strftime(unnest(generate_series(DATE '2000-01-01', DATE '2030-01-01', INTERVAL 1 DAY)), '%Y%m%d') AS INT)
+  AS _tf_dim_calendar_id)"""
+    for c, dim in [("_tf_dim_calendar_id", days), *((spec.surrogate, f"{spec.name}_d1") for spec in (GEOGRAPHY, CUSTOMER, PRODUCT))]:
+        checks.append(("fact_sales", f"{c} has no row in its dimension",
+                       f"SELECT COUNT(*) FROM {f} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT {c} FROM {dim})"))
+        checks.append(("fact_sales", f"{c} is NULL", f"SELECT COUNT(*) FROM {f} WHERE {c} IS NULL"))
+    counts = "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, '{c}' AS \"constraint\", ({sql}) AS n_rows" for t, c, sql in checks)
+    out["write_checks"] = compose(f_ctes, f"SELECT *, SUM(n_rows) OVER (PARTITION BY table_name) = 0 AS committed FROM ({counts}) x")
     return out
 
 

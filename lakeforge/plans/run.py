@@ -3,16 +3,21 @@
 Storage layout under ``root`` (a folder on the shared file system):
 
 * ``bronze/<Table>/v=<n>``          full-refresh snapshot per run (S3/S4)
-* ``silver/<table>/current/v=<n>``  current versions after run n (rewritten)
+* ``silver/<table>/current/of=<b>/v=<n>``  buckets of the current versions that run n changed
 * ``silver/<table>/closed/v=<n>``   versions closed by run n (append-only)
-* ``gold/<dim or fact>/v=<n>``      dimension / fact after run n
+* ``gold/<dimension>/v=<n>``        dimension after run n
+* ``gold/fact_sales/of=<b>/v=<n>``  buckets of the fact that run n changed
 
 Silver history grows without bound while only current rows change, so a
-load reads and rewrites only the current part; closed history is appended
-once and never rewritten (H4).  Every write is a new version recorded in
-the commit log after its job succeeded (see :mod:`lakeforge.sources.snapshot`),
-so a failed run leaves the previous versions readable and the run can be
-repeated.
+load reads only the current part and writes only the buckets in which a row
+changes (:mod:`lakeforge.sources.buckets`); closed history is appended once and
+never rewritten (H4).  Every write is a new version recorded in the commit log
+after its job succeeded (see :mod:`lakeforge.sources.snapshot`).
+
+A layer's tables and the fact that it is done are logged together, so a run
+that fails leaves the layers it has finished, and repeating it goes on after
+them (W10).  Constraints are checked while a table is written; rows that break
+one keep its layer from being committed (S12).
 """
 
 from __future__ import annotations
@@ -24,14 +29,14 @@ from contextvars import copy_context
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import (CUSTOMER, FACT_COMPARED, FACT_KEYS, FACT_SURROGATE, GEOGRAPHY, ID,
-                         PRODUCT, PRODUCT_CATEGORY, SILVER, VALID_TO)
-from ..operators.keys import number_ranges, store_ranges
-from ..operators.merge import empty_history, history_columns, scd1_upsert, scd2_transitions
+from ..contracts import CUSTOMER, GEOGRAPHY, ID, PRODUCT, PRODUCT_CATEGORY, SILVER, VALID_TO
+from ..operators.merge import HASH, history_columns, number_new, scd2_opened, scd2_transitions
 from ..operators.projection import to_silver
 from ..operators.star import fact_sales_projection
-from ..session import ensure_checkpoint_dir, owned_stages
+from ..session import cut_lineage, ensure_checkpoint_dir, folder_stamp, owned_stages
 from ..sources import snapshot as store
+from ..sources.buckets import BUCKETS, BucketedTable
+from ..sources.catalog import publish, withdraw
 from ..sources.files import read_csv, write_csv
 from ..sources.fixtures import snapshot as fixture_snapshot
 from . import gold, silver
@@ -43,32 +48,37 @@ def new_root(spark: SparkSession, name: str = "run") -> str:
     return f"{base.rstrip('/')}/lakeforge-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def silver_current(st: store.Store, table: str) -> DataFrame:
+    """Current versions of a Silver table."""
+    return BucketedTable(st, f"silver/{table}/current").read().drop(HASH)
+
+
 def silver_history(st: store.Store, table: str) -> DataFrame:
     """Whole Silver history: every closed part plus the current part."""
-    cur = st.read(f"silver/{table}/current")
+    cur = silver_current(st, table)
     paths = [p for _, p, n in st.all_versions(f"silver/{table}/closed") if n > 0]
     if not paths:
         return cur
     return st.spark.read.schema(cur.schema).parquet(*paths).unionByName(cur)
 
 
-def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date) -> None:
+def load_silver(st: store.Store, table: str, bronze: DataFrame, load_date, buckets: int = BUCKETS) -> None:
     """SCD2 load into the split layout: newly closed versions are appended,
-    the current part is rewritten; closed history is not read or rewritten
-    (only its ids, for the next identity value)."""
+    the buckets of the current part that hold a change are written anew; closed
+    history is not read or rewritten (only its largest id, from the log)."""
     spec = SILVER[table]
     src = to_silver(bronze, spec)
-    cols = history_columns(list(src.columns))
-    cur_t, closed_t = f"silver/{table}/current", f"silver/{table}/closed"
-    current = st.read(cur_t) if st.has(cur_t) else empty_history(src)
-    # stored once: the closed and current parts are both read from it
-    order = list(spec.keys) + [c for c in src.columns if c not in spec.keys]
-    merged = store_ranges(scd2_transitions(current, src, list(spec.keys), list(spec.tracked), load_date), order)
-    # next identity value from the commit log: no scan of the history
-    new = number_ranges(merged.filter(F.col(ID).isNull()).drop(ID), order, ID, st.max_key(cur_t, closed_t))
-    kept = merged.filter(F.col(ID).isNotNull() & F.col(VALID_TO).isNull())
-    st.write(merged.filter(F.col(VALID_TO).isNotNull()).select(*cols), closed_t, key=ID)
-    st.write(kept.select(*cols).unionByName(new.select(*cols)), cur_t, key=ID)
+    keys, data_cols, cols = list(spec.keys), list(src.columns), history_columns(list(src.columns))
+    current = BucketedTable(st, f"silver/{table}/current", buckets)
+    closed_t, target = f"silver/{table}/closed", current.read()
+    start = st.max_key(current.table, closed_t)
+    if target is None:
+        rows = number_new(scd2_opened(src, keys, load_date), keys, data_cols, ID, start)
+    else:
+        merged = cut_lineage(scd2_transitions(target, src, keys, list(spec.tracked), load_date, buckets=current.buckets))
+        st.write(merged.filter(F.col(VALID_TO).isNotNull()).select(*cols), closed_t, key=ID)
+        rows = merged.filter(F.col(ID).isNotNull()).unionByName(number_new(merged, keys, data_cols, ID, start))
+    current.apply(rows, F.col(VALID_TO).isNull(), ID, cols)
 
 
 def _concurrently(steps: list) -> None:
@@ -79,49 +89,63 @@ def _concurrently(steps: list) -> None:
             f.result()
 
 
-def run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
+def run_day(spark: SparkSession, d: str, root: str, day: int, buckets: int = BUCKETS) -> None:
     """One scheduled run for the fixture snapshot of ``day``, layer by layer;
-    each layer is committed once all its tables are written.  Its stage tables
-    go when it ends."""
-    with owned_stages(spark):
-        _run_day(spark, d, root, day)
+    each layer is committed once all its tables are written, and a layer that an
+    earlier attempt has committed is not run again.  Its stage tables go when it
+    ends."""
+    st = store.Store(spark, root)
+    try:
+        with owned_stages(spark):
+            for layer, load in LAYERS:
+                step = f"run/day={day}/{layer}"
+                if not st.has(step):
+                    load(st, d, day, buckets)
+                    st.commit(step)
+    finally:
+        st.forget()
 
 
-def _run_day(spark: SparkSession, d: str, root: str, day: int) -> None:
-    load_date = silver.LOADS[day]
-    st = store.Store(spark, root)
-    # bronze: full refresh; tables are independent, so their jobs overlap
-    _concurrently([lambda t=t: st.write(fixture_snapshot(spark, d, t, day), f"bronze/{t}")
-                   for t in SILVER])
-    st.commit()
-    # silver: tables are independent of each other
-    _concurrently([lambda t=t: load_silver(st, t, st.read(f"bronze/{t}"), load_date) for t in SILVER])
-    st.commit()
+def load_bronze(st: store.Store, d: str, day: int, buckets: int) -> None:
+    """Full refresh; tables are independent, so their jobs overlap."""
+    _concurrently([lambda t=t: st.write(fixture_snapshot(st.spark, d, t, day), f"bronze/{t}") for t in SILVER])
+
 
-    def cur(t):
-        return st.read(f"silver/{t}/current")
+def load_silver_layer(st: store.Store, d: str, day: int, buckets: int) -> None:
+    """SCD2 loads; tables are independent of each other."""
+    _concurrently([lambda t=t: load_silver(st, t, st.read(f"bronze/{t}"), silver.LOADS[day], buckets) for t in SILVER])
 
+
+def not_null(*columns: str) -> dict:
+    """Checks that columns have a value."""
+    return {f"{c} is NULL": F.col(c).isNull() for c in columns}
+
+
+def load_dimensions(st: store.Store, d: str, day: int, buckets: int) -> None:
+    """SCD1 upserts; the product dimension waits for the category dimension."""
     def upsert(spec, src):
         name = f"gold/{spec.name}"
-        prev = st.read(name) if st.has(name) else gold.seeded_dim(spark, spec)
-        out = gold.upsert_dim(prev, src, spec, load_date, start=st.latest_max_key(name))
-        st.write(out, name, key=spec.surrogate)
+        prev = st.read(name) if st.has(name) else gold.seeded_dim(st.spark, spec)
+        out = gold.upsert_dim(prev, src, spec, silver.LOADS[day], start=st.latest_max_key(name))
+        st.write(out, name, key=spec.surrogate, checks=not_null(spec.surrogate, spec.natural_key))
 
     _concurrently([
-        lambda: upsert(GEOGRAPHY, gold.geography_source(cur("address"))),
-        lambda: upsert(CUSTOMER, gold.customer_source(cur("customer"))),
-        lambda: upsert(PRODUCT_CATEGORY, gold.category_source(cur("product_category")))])
-    upsert(PRODUCT, gold.product_source(cur("product"), cur("product_model"),
+        lambda: upsert(GEOGRAPHY, gold.geography_source(silver_current(st, "address"))),
+        lambda: upsert(CUSTOMER, gold.customer_source(silver_current(st, "customer"))),
+        lambda: upsert(PRODUCT_CATEGORY, gold.category_source(silver_current(st, "product_category")))])
+    upsert(PRODUCT, gold.product_source(silver_current(st, "product"), silver_current(st, "product_model"),
                                         st.read(f"gold/{PRODUCT_CATEGORY.name}")))
-    st.commit()
-    proj = fact_sales_projection(cur("sales_order_detail"), cur("sales_order_header"), cur("customer"),
-                                 cur("address"), st.read(f"gold/{CUSTOMER.name}"),
-                                 st.read(f"gold/{GEOGRAPHY.name}"), st.read(f"gold/{PRODUCT.name}"))
-    prev = st.read("gold/fact_sales") if st.has("gold/fact_sales") else gold.empty_fact(spark)
-    st.write(scd1_upsert(prev, proj, list(FACT_KEYS), [c for c, _ in FACT_COMPARED], FACT_SURROGATE,
-                         load_date, start=st.latest_max_key("gold/fact_sales")),
-             "gold/fact_sales", key=FACT_SURROGATE)
-    st.commit()
+
+
+def load_fact(st: store.Store, d: str, day: int, buckets: int) -> None:
+    dims = {s.surrogate: st.read(f"gold/{s.name}") for s in (CUSTOMER, GEOGRAPHY, PRODUCT)}
+    proj = fact_sales_projection(*(silver_current(st, t) for t in ("sales_order_detail", "sales_order_header", "customer", "address")),
+                                 *dims.values())
+    gold.upsert_fact(st, "gold/fact_sales", proj, silver.LOADS[day], buckets, dims)
+
+
+#: The layers of a run in their order.
+LAYERS = (("bronze", load_bronze), ("silver", load_silver_layer), ("dimensions", load_dimensions), ("fact", load_fact))
 
 
 def content(df: DataFrame, layer: str, name: str) -> DataFrame:
@@ -140,17 +164,67 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+_ROOTS: dict = {}
+
+
+def two_days(spark: SparkSession, d: str) -> str:
+    """A store after two scheduled runs (day 1, day 2), run once per session
+    and data folder."""
+    key, stamp = (spark.sparkContext.applicationId, id(spark), d), folder_stamp(spark, d)
+    if _ROOTS.get(key, (None,))[0] != stamp:
+        root = new_root(spark)
+        for day in (1, 2):
+            run_day(spark, d, root, day)
+        _ROOTS[key] = stamp, root
+    return _ROOTS[key][1]
+
+
+GOLD = [s.name for s in (GEOGRAPHY, CUSTOMER, PRODUCT_CATEGORY, PRODUCT)] + ["fact_sales"]
+
+
 def layered_run(spark: SparkSession, d: str) -> DataFrame:
-    """Two scheduled runs (day 1, day 2) into a fresh store; rows and checksum
-    of every stored table after the second run (Silver: whole history)."""
-    root = new_root(spark)
-    for day in (1, 2):
-        run_day(spark, d, root, day)
-    st = store.Store(spark, root)
+    """Two scheduled runs into a fresh store; rows and checksum of every stored
+    table after the second run (Silver: whole history)."""
+    st = store.Store(spark, two_days(spark, d))
     parts = [content(st.read(f"bronze/{t}"), "bronze", t) for t in SILVER]
     parts += [content(silver_history(st, t), "silver", t) for t in SILVER]
-    names = [s.name for s in (GEOGRAPHY, CUSTOMER, PRODUCT_CATEGORY, PRODUCT)] + ["fact_sales"]
-    return _union(parts + [content(st.read(f"gold/{n}"), "gold", n) for n in names])
+    parts += [content(st.read(f"gold/{n}"), "gold", n) for n in GOLD[:-1]]
+    out = cut_lineage(_union(parts + [content(gold.fact_history(st), "gold", "fact_sales")]))
+    st.forget()
+    return out
+
+
+def catalog_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The tables of the layered run read by name from the databases of their
+    layers (S3, S5, S8): rows and checksum of each.  The names go at the end."""
+    prefix = f"lakeforge_{uuid.uuid4().hex[:8]}_"
+    try:
+        publish(store.Store(spark, two_days(spark, d)), prefix)
+        names = [(layer, t) for layer in ("bronze", "silver") for t in SILVER] + [("gold", n) for n in GOLD]
+        return cut_lineage(_union([content(spark.table(f"{prefix}{layer}.{t}"), layer, t) for layer, t in names]))
+    finally:
+        withdraw(spark, prefix)
+
+
+def write_checks(spark: SparkSession, d: str) -> DataFrame:
+    """S12 at load: the rows that were seen to break each constraint while the
+    dimensions and the fact of day 1 were written (columns without a value, keys
+    without a row in their dimension), and whether the table was committed.
+    Orders before 2000 have no day in the fixed calendar (G10), so that
+    constraint keeps the fact out."""
+    w = gold.warehouse(spark, d)
+    st = store.Store(spark, new_root(spark, "checks"))
+    specs = (GEOGRAPHY, CUSTOMER, PRODUCT)
+    for spec in specs:
+        st.write(w.dim(spec, 1), f"gold/{spec.name}", key=spec.surrogate, checks=not_null(spec.surrogate, spec.natural_key))
+    dims = {"_tf_dim_calendar_id": gold.dim_calendar_range(spark)} | {s.surrogate: st.read(f"gold/{s.name}") for s in specs}
+    try:
+        gold.upsert_fact(st, "gold/fact_sales", w.fact_projection(1), silver.LOADS[1], dims=dims)
+    except store.ConstraintViolation:
+        pass  # shown by `committed`
+    st.commit()
+    rows = [(t.removeprefix("gold/"), c, n, st.has(t)) for t, c, n in st.observed]  # a row per constraint
+    return spark.createDataFrame(rows, "table_name string, constraint string, n_rows long, committed boolean")
 
 
 def bronze_snapshot(spark: SparkSession, d: str) -> DataFrame:
@@ -183,7 +257,9 @@ def csv_inferred(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "bronze_snapshot": bronze_snapshot,
+    "catalog_tables": catalog_tables,
     "csv_inferred": csv_inferred,
     "csv_round_trip": csv_round_trip,
     "layered_run": layered_run,
+    "write_checks": write_checks,
 }

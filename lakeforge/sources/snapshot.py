@@ -16,10 +16,12 @@ import threading
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 LOG = "_log"
+#: Columns with this prefix serve the checks of a write and are not stored.
+CHECKED = "_lf_check_"
 LOG_SCHEMA = ("table string, version int, path string, rows long, max_key long, "
               "committed_at timestamp_ntz")
 
@@ -54,21 +56,32 @@ def read_version(spark: SparkSession, root: str, table: str, version: int | None
     return spark.read.parquet(row[0])
 
 
+class ConstraintViolation(RuntimeError):
+    """Rows that were written break a constraint of their table."""
+
+
+def check_metrics(checks: dict[str, Column]) -> list[Column]:
+    """Counts of the rows for which each check's column is true."""
+    return [F.count_if(F.coalesce(c, F.lit(False))).alias(f"check {name}") for name, c in checks.items()]
+
+
 class Store:
-    """Writer of one run: reads the commit log once, writes new versions,
-    and logs them in one commit per layer (``commit``)."""
+    """Writer of one run: reads the newest version of each table from the
+    commit log once, writes new versions, and logs them in one commit per layer
+    (``commit``).  One writer per root at a time: the check in ``commit`` finds
+    runs that overlap but is no lock."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.token = uuid.uuid4().hex[:8]
-        # the log holds one small row per committed version (bounded by runs)
-        self.entries: list[tuple] = [tuple(r) for r in versions(spark, root)
-                                     .select("table", "version", "path", "rows", "max_key").collect()]
-        self.current: dict[str, tuple[int, str, int]] = {}
-        for t, v, p, n, _ in self.entries:
-            if t not in self.current or v > self.current[t][0]:
-                self.current[t] = (v, p, n)
+        newest = F.max_by(F.struct("version", "path", "rows", "max_key"), "version").alias("v")
+        found = versions(spark, root).groupBy("table").agg(newest, F.max("max_key").alias("top")).collect()  # a row per table
+        self.current: dict[str, tuple[int, str, int]] = {r["table"]: (r["v"]["version"], r["v"]["path"], r["v"]["rows"]) for r in found}
+        self.newest_key: dict[str, int | None] = {r["table"]: r["v"]["max_key"] for r in found}
+        self.top_key: dict[str, int | None] = {r["table"]: r["top"] for r in found}
         self.pending: list[tuple] = []
+        self.observed: list[tuple[str, str, int]] = []
+        self.names: list[str] = []  # catalog tables of this session, see `forget`
         self._lock = threading.Lock()  # writes of different tables may run concurrently
 
     def version(self, table: str) -> int:
@@ -77,47 +90,72 @@ class Store:
     def has(self, table: str) -> bool:
         return table in self.current
 
-    def write(self, df: DataFrame, table: str, key: str | None = None) -> int:
-        """Write ``df`` as the next version of ``table`` (visible to this run
-        at once, to other readers after ``commit``).  The row count and the
-        largest ``key`` are observed while writing (no second pass) and
-        logged, so the next identity value never needs a scan."""
+    def new_version(self, table: str, folder: str | None = None) -> tuple[str, int]:
+        """Folder and number of the next version of ``table``."""
         with self._lock:
             version = self.version(table) + 1
-        path = f"{self.root}/{table}/v={version}-{self.token}"
-        obs = Observation(f"w{uuid.uuid4().hex}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        metrics.append((F.max(key) if key else F.lit(None)).cast("long").alias("max_key"))
-        df.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
-        got = obs.get
-        rows, mk = int(got["rows"]), got["max_key"]
+        return f"{self.root}/{folder or table}/v={version}-{self.token}", version
+
+    def record(self, table: str, version: int, path: str, rows: int, max_key: int | None) -> None:
+        """A version that is complete: visible to this run at once, to other
+        readers after ``commit``."""
+        with self._lock:
+            self.current[table], self.newest_key[table] = (version, path, rows), max_key
+            self.top_key[table] = max((k for k in (self.top_key.get(table), max_key) if k is not None), default=None)
+            self.pending.append((table, version, path, rows, max_key))
+
+    def passed(self, table: str, got: dict, checks: dict[str, Column]) -> None:
+        """Keeps the observed counts of ``checks`` and fails if one is not zero."""
+        counts = [(table, name, int(got[f"check {name}"])) for name in checks]
         with self._lock:
-            self.current[table] = (version, path, rows)
-            self.entries.append((table, version, path, rows, mk))
-            self.pending.append((table, version, path, rows, mk))
+            self.observed += counts
+        broken = [f"{name}: {n} rows" for _, name, n in counts if n]
+        if broken:
+            raise ConstraintViolation(f"{table} is not committed: {', '.join(broken)}")
+
+    def write(self, df: DataFrame, table: str, key: str | None = None, checks: dict[str, Column] | None = None) -> int:
+        """Write ``df`` as the next version of ``table``.  The row count, the
+        largest ``key`` and the rows that break one of ``checks`` (conditions that
+        no row may meet) are observed while writing, with no second pass; a
+        broken check fails the write before its version is logged (S12)."""
+        path, version = self.new_version(table)
+        obs, checks = Observation(f"w{uuid.uuid4().hex}"), checks or {}
+        metrics = [F.count(F.lit(1)).alias("rows"), (F.max(key) if key else F.lit(None)).cast("long").alias("max_key")]
+        out = df.observe(obs, *metrics, *check_metrics(checks))
+        out.select(*(c for c in df.columns if not c.startswith(CHECKED))).write.mode("errorifexists").parquet(path)
+        got = obs.get
+        self.passed(table, got, checks)
+        self.record(table, version, path, int(got["rows"]), got["max_key"])
         return version
 
     def max_key(self, *tables: str) -> int:
         """Largest logged key (>= 0) over every version of ``tables``."""
-        keys = [mk for t, _, _, _, mk in self.entries if t in tables and mk is not None]
-        return max([0, *keys])
+        return max([0, *(self.top_key[t] for t in tables if self.top_key.get(t) is not None)])
 
     def latest_max_key(self, table: str) -> int:
         """Largest logged key of the current version of ``table`` (0 if none)."""
-        vs = [(v, mk) for t, v, _, _, mk in self.entries if t == table]
-        # identity values start at 1: seeds such as -9 never raise the start
-        return max(0, max(vs)[1] or 0) if vs else 0
+        return max(0, self.newest_key.get(table) or 0)  # identity values start at 1: seeds such as -9 never raise the start
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.current[table][1])
 
     def all_versions(self, table: str) -> list[tuple[int, str, int]]:
         """Every version of ``table`` (version, path, rows), oldest first."""
-        return sorted((v, p, n) for t, v, p, n, _ in self.entries if t == table)
-
-    def commit(self) -> None:
-        """Log the pending versions.  Fails if another run has logged the same
-        or a later version of one of their tables since this run began."""
+        log = versions(self.spark, self.root).filter(F.col("table") == table).select("version", "path", "rows")
+        return sorted([tuple(r) for r in log.collect()] + [p[1:4] for p in self.pending if p[0] == table])
+
+    def forget(self) -> None:
+        """Drops this session's names of the tables; their files stay."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names = []
+
+    def commit(self, *steps: str) -> None:
+        """Log the pending versions, and ``steps`` of a run as done (``has``).
+        Fails if another run has logged the same or a later version of one of
+        their tables since this run began."""
+        for step in steps:
+            self.record(step, self.version(step) + 1, "", 0, None)
         if not self.pending:
             return
         first = {}

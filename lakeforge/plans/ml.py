@@ -2,8 +2,17 @@
 
 All stages are Spark ML estimators fitted by distributed aggregations (means,
 category counts, tree statistics); nothing is collected to the driver except
-fitted statistics.  The search fits the feature stages once per fold, on that
-fold's training rows (no leakage, G16), and then each distinct tree setting.
+fitted statistics.
+
+A fitted tree is also kept as a table of paths: for each leaf the bounds of the
+features on the way to it, and the training rows of each class that reach it.
+Rows are scored by joining their feature values with the bounds.
+
+The search takes the feature statistics of all folds in one pass over the data:
+a fold's training rows are all rows but the fold's own, so are their sums and
+counts (no leakage, G16).  Each distinct tree setting of a fold is fitted once;
+how many rows a node needs to be split is applied to the fitted tree afterwards,
+by merging the leaves below the nodes that have fewer.
 """
 
 from __future__ import annotations
@@ -11,11 +20,11 @@ from __future__ import annotations
 import math
 import random
 import re
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StringIndexer,
+from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
+from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +42,9 @@ LABEL = "quality"
 HOLDOUT_MOD = 5
 # Decision tree of the reference pipeline.
 TREE_PARAMS = {"impurity": "entropy", "maxDepth": 3, "minInstancesPerNode": 10, "seed": 42}
-# Search space: depth log-int 3..30 (30 is the deepest tree Spark fits), leaf
-# fraction log-uniform 1e-6..1e-3; 100 trials, 5 folds.  Spark's trees have no
-# parameter for the rows a split needs; a leaf's rows bound it from below.
+# Search space: depth log-int 3..30 (30 is the deepest tree Spark fits), the
+# fractions of rows that a split and a leaf need log-uniform 1e-6..1e-3; 100
+# trials, 5 folds.
 DEPTH_RANGE = (3, 30)
 FRACTION_RANGE = (1e-6, 1e-3)
 TRIALS, FOLDS = 100, 5
@@ -111,14 +120,14 @@ def feature_names(model: PipelineModel, df: DataFrame) -> list[str]:
 
 
 def sample_space(trials: int = TRIALS, seed: int = 42) -> list[dict]:
-    """Seeded log-uniform trials (depth log-int, leaf fraction log-float)."""
+    """Seeded log-uniform trials (depth log-int, fractions log-float)."""
     rng = random.Random(seed)
 
     def log_uniform(low, high):
         return math.exp(rng.uniform(math.log(low), math.log(high)))
 
-    return [{"maxDepth": round(log_uniform(*DEPTH_RANGE)), "leaf_fraction": log_uniform(*FRACTION_RANGE)}
-            for _ in range(trials)]
+    space = [{"maxDepth": round(log_uniform(*DEPTH_RANGE)), "leaf_fraction": log_uniform(*FRACTION_RANGE)} for _ in range(trials)]
+    return [{**t, "split_fraction": log_uniform(*FRACTION_RANGE)} for t in space]
 
 
 def tree_settings(trial: dict, rows: int) -> dict:
@@ -127,57 +136,214 @@ def tree_settings(trial: dict, rows: int) -> dict:
     return {"maxDepth": trial["maxDepth"], "minInstancesPerNode": max(1, math.ceil(trial["leaf_fraction"] * rows))}
 
 
+def split_rows(trial: dict, rows: int) -> int:
+    """How many rows a node must have to be split."""
+    return max(2, math.ceil(trial["split_fraction"] * rows))
+
+
+# --- fitted trees as tables ------------------------------------------------------------------
+@dataclass(frozen=True)
+class Leaf:
+    """A leaf by the turns on the way to it: (feature, goes right, threshold)
+    from the root, and the training rows of each class that reach it."""
+
+    turns: tuple[tuple[int, bool, float], ...]
+    counts: tuple[int, ...] = ()
+
+    @property
+    def prediction(self) -> float:
+        """The class with most rows, the first of equals."""
+        return float(self.counts.index(max(self.counts)))
+
+    def bounds(self) -> dict[int, tuple[float, float]]:
+        """(low, high] per feature on the way."""
+        out: dict[int, tuple[float, float]] = {}
+        for feature, right, t in self.turns:
+            low, high = out.get(feature, (-math.inf, math.inf))
+            out[feature] = (max(low, t), high) if right else (low, min(high, t))
+        return out
+
+
+_TURN = re.compile(r"( +)(If|Else) \(feature (\d+) (?:<=|>|in|not in) \{?([-+\w.]+)\}?\)")
+
+
+def read_leaves(tree: DecisionTreeClassificationModel) -> list[Leaf]:
+    """The leaves of a tree, left to right, from its printed form.  Indicator
+    features (0 or 1) count as numbers with the threshold 0.5."""
+    turns: list[tuple[int, bool, float]] = []
+    leaves = []
+    for line in tree.toDebugString.split("\n")[1:]:
+        if m := _TURN.match(line):
+            depth = len(m[1]) - 2
+            turns = turns[:depth] + [(int(m[3]), m[2] == "Else", 0.5 if "{" in line else float(m[4]))]
+        elif "Predict" in line:
+            leaves.append(Leaf(tuple(turns[:len(line) - len(line.lstrip()) - 2])))
+    return leaves
+
+
+def leaf_counts(tree: DecisionTreeClassificationModel, rows: DataFrame) -> dict[tuple[int, int], int]:
+    """Rows per (leaf, label): one aggregation, a row per leaf and class comes back."""
+    found = tree.copy({tree.leafCol: "leaf"}).transform(rows).groupBy(F.col("leaf").cast("int"), F.col("label").cast("int")).count()
+    return {(r[0], r[1]): r[2] for r in found.collect()}
+
+
+def fitted_leaves(tree: DecisionTreeClassificationModel, train: DataFrame) -> list[Leaf]:
+    """The leaves of a tree with the class counts of its training rows."""
+    found = leaf_counts(tree, train)
+    return [Leaf(leaf.turns, tuple(found.get((n, c), 0) for c in range(tree.numClasses))) for n, leaf in enumerate(read_leaves(tree))]
+
+
+def prune(leaves: list[Leaf], least: int) -> list[Leaf]:
+    """For each leaf, the leaf it becomes part of if nodes with fewer than
+    ``least`` training rows are not split."""
+    def total(group):
+        return tuple(map(sum, zip(*(x.counts for x in group))))
+
+    def merge(group, depth):
+        if len(group) == 1:
+            return list(group)
+        if sum(total(group)) < least:
+            return [Leaf(group[0].turns[:depth], total(group))] * len(group)
+        cut = next(n for n, x in enumerate(group) if x.turns[depth][1])
+        return merge(group[:cut], depth + 1) + merge(group[cut:], depth + 1)
+
+    return merge(leaves, 0)
+
+
+#: Bounds of a tree up to this number are broadcast; more are joined by shuffle.
+SMALL_TREE = 10_000
+
+
+def score_by_paths(rows: DataFrame, leaves: list[Leaf], id_col: str = ID_COL) -> DataFrame:
+    """L11 as a range join: each row's feature values meet the bounds of their
+    feature, and the leaf whose bounds all hold gives prediction and
+    probabilities.  ``rows`` has ``id_col``, of any values, and ``features``."""
+    spark = rows.sparkSession
+    shares = [[c / sum(x.counts) for c in x.counts] for x in leaves]
+    if len(leaves) == 1:
+        return rows.select(id_col, F.lit(leaves[0].prediction).alias("prediction"), F.array(*map(F.lit, shares[0])).alias("probability"))
+    bounds = [(n, f, low, high) for n, x in enumerate(leaves) for f, (low, high) in x.bounds().items()]
+    small = F.broadcast if len(bounds) <= SMALL_TREE else (lambda df: df)
+    paths = spark.createDataFrame(bounds, "leaf int, feature int, low double, high double")
+    ends = spark.createDataFrame([(n, len(x.bounds()), x.prediction, shares[n]) for n, x in enumerate(leaves)],
+                                 "leaf int, n_bounds long, prediction double, probability array<double>")
+    used = sorted({f for _, f, _, _ in bounds})
+    values = F.transform(F.array(*map(F.lit, used)), lambda f: F.struct(
+        f.cast("int").alias("feature"), F.get("_lf_values", f).alias("value")))
+    long = (rows.select(F.monotonically_increasing_id().alias("_lf_row"), id_col, vector_to_array("features").alias("_lf_values"))
+            .select("_lf_row", id_col, F.inline(values)))
+    hits = (long.join(small(paths), "feature").filter("value > low AND value <= high")
+            .groupBy("_lf_row", id_col, "leaf").agg(F.count(F.lit(1)).alias("n_hits")))
+    return hits.join(small(ends), "leaf").filter("n_hits = n_bounds").select(id_col, "prediction", "probability")
+
+
+# --- cross-validation ------------------------------------------------------------------------
 def fold_of(folds: int = FOLDS):
     """Fold of a row: from the digits of its id's hash, so that it depends on
     nothing but the id."""
     return (F.conv(F.substring(F.md5(F.col(ID_COL).cast("string")), 1, 8), 16, 10).cast("long") % folds).cast("int")
 
 
+def fold_statistics(with_fold: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """(fold, column_name, value, n, total): what the feature stages of each
+    fold are fitted from, in one pass.  For a number `value` is NULL, `n` and
+    `total` its count and sum; for a category there is a row per value.  Rows
+    are counted under their own fold, and a fold's training statistics are
+    those of all folds less its own."""
+    column = lambda name, value, number: F.struct(
+        F.lit(name).alias("column_name"), value.cast("string").alias("value"), number.cast("double").alias("number"))
+    cells = F.array(*[column(c, F.lit(None), F.col(c)) for c in NUMERIC], *[column(c, F.col(c), F.lit(0)) for c in [*CATEGORICAL, LABEL]])
+    own = (with_fold.select("_lf_fold", F.inline(cells)).filter("number IS NOT NULL AND (value IS NOT NULL OR column_name IN ('%s'))" % "', '".join(NUMERIC))
+           .groupBy("_lf_fold", "column_name", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("number").alias("total")))
+    # The folds that a group of rows trains: one row per fold, column and value goes on.
+    trains = own.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).filter("fold != _lf_fold")
+    return trains.groupBy("fold", "column_name", "value").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+@dataclass(frozen=True)
+class FoldFeatures:
+    """The feature stages of one fold, built from its statistics."""
+
+    rows: int
+    means: dict[str, float]
+    labels: dict[str, list[str]]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """(label, features) of rows; nothing is fitted on the data."""
+        filled = [f"{c}_filled" for c in NUMERIC]
+        df = df.withColumns({f: F.coalesce(F.col(c), F.lit(self.means[c])) for c, f in zip(NUMERIC, filled)})
+        df = df.withColumns({c: F.col(c).cast("string") for c in [*CATEGORICAL, LABEL]})
+        names = [*CATEGORICAL, LABEL]
+        places = [*(f"{c}_place" for c in CATEGORICAL), "label"]
+        for name, place in zip(names, places):
+            df = StringIndexerModel.from_labels(self.labels[name], inputCol=name, outputCol=place, handleInvalid="keep").transform(df)
+        flags = [f"{c}_is" for c in CATEGORICAL]
+        encoded = OneHotEncoder(inputCols=places[:-1], outputCols=flags).fit(df).transform(df)  # sizes come from the index
+        return VectorAssembler(inputCols=filled + flags, outputCol="features").transform(encoded).select("label", "features")
+
+
+def fold_features(statistics: DataFrame, folds: int = FOLDS) -> list[FoldFeatures]:
+    """The stages of every fold; a row per fold, column and category is read."""
+    by: dict = {k: {} for k in range(folds)}
+    for r in statistics.collect():
+        by[r["fold"]].setdefault(r["column_name"], []).append((r["value"], r["n"], r["total"]))
+    out = []
+    for k in range(folds):
+        means = {c: (by[k][c][0][2] / by[k][c][0][1] if c in by[k] else 0.0) for c in NUMERIC}
+        labels = {c: [v for v, n, _ in sorted(by[k].get(c, []), key=lambda x: (-x[1], x[0]))] for c in [*CATEGORICAL, LABEL]}
+        out.append(FoldFeatures(sum(n for _, n, _ in by[k].get(LABEL, [])), means, labels))
+    return out
+
+
 def search(df: DataFrame, trials: int = TRIALS, folds: int = FOLDS, seed: int = 42,
-           parallelism: int = 64):
+           parallelism: int = 64, space: list[dict] | None = None):
     """Cross-validated accuracy of every trial, then the best trial
-    refitted on all rows.  Returns (best model, trials frame).
+    refitted on all rows.  Returns (leaves of the best tree, its feature model,
+    trials frame).
 
-    The feature stages, which no trial changes, are fitted once per fold; each
-    distinct tree setting of a fold is fitted once, ``parallelism`` jobs at a
-    time."""
+    Each distinct tree of a fold is fitted once, ``parallelism`` jobs at a time;
+    it answers for all trials that differ in the split fraction alone, from the
+    counts of its leaves."""
     from concurrent.futures import ThreadPoolExecutor
 
-    space = sample_space(trials, seed)
-    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    space = space or sample_space(trials, seed)
     with_fold = cut_lineage(df.withColumn("_lf_fold", fold_of(folds)))
+    stages = fold_features(fold_statistics(with_fold, folds), folds)
+    data = [(f.transform(with_fold.filter(F.col("_lf_fold") != k)), f.transform(with_fold.filter(F.col("_lf_fold") == k)))
+            for k, f in enumerate(stages)]
 
-    def prepare_fold(k):
-        train_k = with_fold.filter(F.col("_lf_fold") != k)
-        valid_k = with_fold.filter(F.col("_lf_fold") == k)
-        prep = Pipeline(stages=feature_pipeline().getStages()[:-1]).fit(train_k)
-        tr = prep.transform(train_k).select("label", "features").cache()
-        va = prep.transform(valid_k).select("label", "features").cache()
-        return tr, va, tr.count()
+    def key(trial, rows):
+        return tuple(sorted(tree_settings(trial, rows).items()))
+
+    def classifier(setting):
+        return DecisionTreeClassifier(labelCol="label", featuresCol="features", **{**TREE_PARAMS, **dict(setting)})
 
     def fit_eval(job):
         k, setting = job
-        tr, va, _ = prepared[k]
-        tree = DecisionTreeClassifier(labelCol="label", featuresCol="features", **{**TREE_PARAMS, **dict(setting)})
-        return job, ev.evaluate(tree.fit(tr).transform(va))
-
-    def key(trial, rows):
-        return tuple(sorted(tree_settings(trial, rows).items()))
+        train, valid = data[k]
+        tree = classifier(setting).fit(train)
+        leaves, seen = fitted_leaves(tree, train), leaf_counts(tree, valid)
+        least = {split_rows(t, stages[k].rows) for t in space if key(t, stages[k].rows) == setting}
+        scores = {}
+        for n in least:
+            predicted = [x.prediction for x in prune(leaves, n)]
+            scores[n] = sum(c for (leaf, label), c in seen.items() if predicted[leaf] == label) / max(1, sum(seen.values()))
+        return job, scores
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        prepared = list(pool.map(prepare_fold, range(folds)))
-        jobs = {(k, key(t, prepared[k][2])) for k in range(folds) for t in space}
+        jobs = {(k, key(t, stages[k].rows)) for k in range(folds) for t in space}
         score_of = dict(pool.map(fit_eval, sorted(jobs)))
-    for tr, va, _ in prepared:
-        tr.unpersist()
-        va.unpersist()
-    means = [sum(score_of[k, key(t, prepared[k][2])] for k in range(folds)) / folds for t in space]
+    means = [sum(score_of[k, key(t, stages[k].rows)][split_rows(t, stages[k].rows)] for k in range(folds)) / folds for t in space]
     best = max(range(len(space)), key=lambda i: (means[i], -i))
-    best_model = feature_pipeline(**tree_settings(space[best], with_fold.count())).fit(with_fold)
-    rows = [(i, t["maxDepth"], float(t["leaf_fraction"]), float(m)) for i, (t, m) in enumerate(zip(space, means))]
+    n = with_fold.count()
+    features = Pipeline(stages=[*feature_stages(), StringIndexer(inputCol=LABEL, outputCol="label").setHandleInvalid("keep")]).fit(with_fold)
+    train = features.transform(with_fold).select("label", "features")
+    tree = classifier(key(space[best], n)).fit(train)
+    leaves = list(dict.fromkeys(prune(fitted_leaves(tree, train), split_rows(space[best], n))))
+    rows = [(i, t["maxDepth"], float(t["leaf_fraction"]), float(t["split_fraction"]), float(m)) for i, (t, m) in enumerate(zip(space, means))]
     trials_df = df.sparkSession.createDataFrame(
-        rows, "trial int, max_depth int, leaf_fraction double, cv_accuracy double")
-    return best_model, trials_df
+        rows, "trial int, max_depth int, leaf_fraction double, split_fraction double, cv_accuracy double")
+    return leaves, features, trials_df
 
 
 def save_model(model: PipelineModel, root: str, name: str, version: int) -> str:
@@ -193,6 +359,14 @@ def score(model_path: str, df: DataFrame, id_col: str = ID_COL) -> DataFrame:
     return model.transform(df).select(id_col, "prediction", "probability")
 
 
+def tree_rules(leaves: list[Leaf], names: list[str], weights: list[float], spark: SparkSession) -> DataFrame:
+    """A row per leaf and feature on the way to it: the bounds (low, high],
+    the training rows of each class, the prediction and the feature's importance."""
+    rows = [(n, names[f], low if low > -math.inf else None, high if high < math.inf else None, list(x.counts), x.prediction, float(weights[f]))
+            for n, x in enumerate(leaves) for f, (low, high) in sorted(x.bounds().items())]
+    return spark.createDataFrame(rows, "leaf int, feature string, low double, high double, class_rows array<long>, prediction double, importance double")
+
+
 # --- registered queries ----------------------------------------------------------------------
 _MODELS: dict = {}
 
@@ -279,22 +453,24 @@ def ml_feature_names(spark, d):
 
 
 def ml_tree_rules(spark, d):
-    """The fitted tree as text, a row per line, with the importance of
-    the feature that the line splits on."""
+    """The fitted tree as a table of paths."""
     model, train = _fitted(spark, d)
     tree = model.stages[-1]
-    names = feature_names(model, train)
-    weights = tree.featureImportances.toArray().tolist()
-    rows = []
-    for n, line in enumerate(tree.toDebugString.strip().split("\n")):
-        found = re.search(r"feature (\d+)", line)
-        k = int(found[1]) if found else None
-        rows.append((n, re.sub(r"uid=\w+, ", "", line.rstrip()), None if k is None else names[k], None if k is None else weights[k]))
-    return spark.createDataFrame(rows, "line int, rule string, feature string, importance double")
+    leaves = fitted_leaves(tree, PipelineModel(model.stages[:-1]).transform(train))
+    out = tree_rules(leaves, feature_names(model, train), tree.featureImportances.toArray().tolist(), spark)
+    return out.select("leaf", "feature", *[F.round(c, 6).alias(c) for c in ("low", "high")], "class_rows", "prediction",
+                      F.round("importance", 9).alias("importance"))
 
 
 def ml_cv_search(spark, d):
-    return _searched(spark, d)[1]
+    return _searched(spark, d)[2]
+
+
+def ml_fold_statistics(spark, d):
+    """The means and category counts that each fold's features are built from."""
+    train, _ = train_test(spark, d)
+    found = fold_statistics(train.withColumn("_lf_fold", fold_of()))
+    return found.select("fold", "column_name", "value", "n", F.when(F.col("column_name").isin(NUMERIC), F.round(F.col("total") / F.col("n"), 6)).alias("mean"))
 
 
 def ml_fold_sizes(spark, d):
@@ -306,9 +482,18 @@ def ml_fold_sizes(spark, d):
 def ml_best_scores(spark, d):
     """Every document outside the training rows, scored by the best trial
     refitted on all training rows."""
-    model, _ = _searched(spark, d)
-    return model.transform(train_test(spark, d)[1]).select(
-        ID_COL, "prediction", vector_to_array("probability").alias("probability"))
+    leaves, features, _ = _searched(spark, d)
+    test = train_test(spark, d)[1].withColumn(LABEL, F.lit(None).cast("int"))
+    return score_by_paths(features.transform(test).select(ID_COL, "features"), leaves)
+
+
+def ml_score_by_paths(spark, d):
+    """L11 as a range join of feature values and the tree's paths: every
+    document outside the training rows."""
+    model, train = _fitted(spark, d)
+    features = PipelineModel(model.stages[:-2])
+    leaves = fitted_leaves(model.stages[-1], PipelineModel(model.stages[:-1]).transform(train))
+    return score_by_paths(features.transform(train_test(spark, d)[1]).select(ID_COL, "features"), leaves)
 
 
 def ml_score_saved_model(spark, d):
@@ -349,6 +534,8 @@ QUERIES = {
     "ml_tree_rules": ml_tree_rules,
     "ml_cv_search": ml_cv_search,
     "ml_fold_sizes": ml_fold_sizes,
+    "ml_fold_statistics": ml_fold_statistics,
+    "ml_score_by_paths": ml_score_by_paths,
     "ml_best_scores": ml_best_scores,
     "ml_score_saved_model": ml_score_saved_model,
     "ml_submission": ml_submission,

@@ -781,6 +781,88 @@ ML_PREPARED = r"""SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, d.doc_id AS id_num
   CAST(l.toxic AS INT) AS toxic, CAST(l.quality AS INT) AS quality
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 
+# The decision tree from its definition: thresholds of a number lie between
+# distinct values about n/32 rows apart (all of them if there are at most 31), an
+# indicator is split at 0.5; a node with two classes takes the split of largest
+# entropy gain (first feature, then smallest threshold, of equals) that leaves 10
+# rows on either side, three levels deep; a node whose leaves agree is a leaf.
+_THRESHOLDS = """
+SELECT feature, threshold FROM (
+  WITH RECURSIVE counted AS (
+    SELECT feature, value, COUNT(*) AS n, lead(value) OVER (PARTITION BY feature ORDER BY value) AS above,
+      row_number() OVER (PARTITION BY feature ORDER BY value) AS i, COUNT(*) OVER (PARTITION BY feature) AS n_values
+    FROM seen WHERE feature < 2 GROUP BY feature, value),
+  summed AS (SELECT *, SUM(n) OVER (PARTITION BY feature ORDER BY i) AS before, SUM(n) OVER (PARTITION BY feature) AS n_rows FROM counted),
+  walk AS (
+    SELECT feature, CAST(0 AS BIGINT) AS i, CAST(n_rows AS DOUBLE) / 32 AS target, CAST(NULL AS DOUBLE) AS threshold FROM summed WHERE i = 1
+    UNION ALL
+    SELECT s.feature, s.i, CASE WHEN hit THEN target + CAST(n_rows AS DOUBLE) / 32 ELSE target END,
+      CASE WHEN hit THEN (s.value + s.above) / 2 END
+    FROM (SELECT w.feature, w.target, s.i, s.value, s.above, s.n_rows,
+            s.n_values > 32 AND abs(s.before - w.target) < abs(t.before - w.target) AS hit
+          FROM walk w JOIN summed s ON s.feature = w.feature AND s.i = w.i + 1
+          JOIN summed t ON t.feature = s.feature AND t.i = s.i + 1) s)
+  SELECT feature, threshold FROM walk WHERE threshold IS NOT NULL
+  UNION ALL SELECT feature, (value + above) / 2 FROM summed WHERE n_values <= 32 AND above IS NOT NULL) numbers
+UNION ALL SELECT feature, 0.5 FROM slots"""
+_H = "(CASE WHEN {a} IN (0, {n}) THEN 0 ELSE -({a} / {n}) * ln({a} / {n}) / ln(2) - (1 - {a} / {n}) * ln(1 - {a} / {n}) / ln(2) END)"
+
+
+def _tree_ctes() -> list[tuple[str, str]]:
+    def entropy(a, n):
+        return _H.format(a=f"CAST({a} AS DOUBLE)", n=f"CAST({n} AS DOUBLE)")
+
+    ctes = [
+        ("every", ML_PREPARED.replace("JOIN labels", "LEFT JOIN labels")),
+        ("slots", """
+SELECT column_name, value, CAST(category_index + 2 + CASE column_name WHEN 'lang' THEN 0 WHEN 'source' THEN n_lang
+  ELSE n_lang + n_source END AS INT) AS feature, column_name || '_is_' || value AS name
+FROM idx, (SELECT max(n_labels) FILTER (column_name = 'lang') AS n_lang, max(n_labels) FILTER (column_name = 'source') AS n_source FROM idx)
+WHERE value IS NOT NULL"""),
+        ("classes", "SELECT quality, row_number() OVER (ORDER BY COUNT(*) DESC, quality) - 1 AS class FROM train GROUP BY quality"),
+        ("x", """
+SELECT doc_id, 0 AS feature, ifnull(n_chars, (SELECT avg(n_chars) FROM train)) AS value FROM every
+UNION ALL SELECT doc_id, 1, ifnull(n_words, (SELECT avg(n_words) FROM train)) FROM every
+UNION ALL SELECT doc_id, s.feature, CASE WHEN v.value = s.value THEN 1.0 ELSE 0.0 END FROM slots s JOIN (
+  SELECT doc_id, 'lang' AS column_name, lang AS value FROM every UNION ALL SELECT doc_id, 'source', source FROM every
+  UNION ALL SELECT doc_id, 'toxic', CAST(toxic AS VARCHAR) FROM every) v USING (column_name)"""),
+        ("seen", "SELECT x.*, class FROM x JOIN train USING (doc_id) JOIN classes USING (quality)"),
+        ("thresholds", _THRESHOLDS),
+        ("at0", "SELECT doc_id, '' AS node FROM every")]
+    for k in range(3):
+        ctes += [
+            (f"tried{k}", f"""
+SELECT node, feature, threshold, COUNT(*) AS n, SUM(class) AS a, COUNT(*) FILTER (value <= threshold) AS nl,
+  coalesce(SUM(class) FILTER (value <= threshold), 0) AS al
+FROM seen JOIN at{k} USING (doc_id) JOIN thresholds USING (feature) GROUP BY node, feature, threshold"""),
+            (f"split{k}", f"""
+SELECT * FROM (SELECT node, feature, threshold, n, {entropy('a', 'n')} - CAST(nl AS DOUBLE) / n * {entropy('al', 'nl')}
+    - CAST(n - nl AS DOUBLE) / n * {entropy('(a - al)', '(n - nl)')} AS gain
+  FROM tried{k} WHERE nl >= 10 AND n - nl >= 10) g
+WHERE gain > 1e-12 QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, feature, threshold) = 1"""),
+            (f"at{k + 1}", f"""
+SELECT doc_id, node || CASE WHEN value <= threshold THEN 'L' ELSE 'R' END AS node
+FROM at{k} JOIN split{k} USING (node) JOIN x USING (doc_id, feature)""")]
+    ctes += [
+        ("places", " UNION ALL ".join(f"SELECT * FROM at{k}" for k in range(4))),
+        ("splits", " UNION ALL ".join(f"SELECT * FROM split{k}" for k in range(3))),
+        ("tree", """
+SELECT node, [COUNT(*) FILTER (class = 0), COUNT(*) FILTER (class = 1), 0] AS class_rows,
+  CASE WHEN COUNT(*) FILTER (class = 1) > COUNT(*) FILTER (class = 0) THEN 1.0 ELSE 0.0 END AS prediction
+FROM places JOIN train USING (doc_id) JOIN classes USING (quality) GROUP BY node"""),
+        # a node is a leaf if all ends below it predict the same: then merging them goes up to it
+        ("ends", "SELECT t.* FROM tree t WHERE node NOT IN (SELECT node FROM splits)"),
+        ("agree", """
+SELECT t.node FROM tree t JOIN ends e ON starts_with(e.node, t.node) GROUP BY t.node HAVING COUNT(DISTINCT e.prediction) = 1"""),
+        ("leaves", """
+SELECT t.* FROM tree t JOIN agree a USING (node) WHERE NOT EXISTS (
+  SELECT 1 FROM agree u WHERE u.node <> t.node AND starts_with(t.node, u.node))"""),
+        ("scored", """
+SELECT p.doc_id, l.prediction, list_transform(class_rows, lambda c: CAST(c AS DOUBLE) / list_sum(class_rows)) AS probability
+FROM places p JOIN leaves l USING (node)"""),
+        ("test", "SELECT * FROM every WHERE quality IS NULL OR id_num % 5 = 0")]
+    return ctes
+
 
 def _ml_sql() -> dict[str, str]:
     out = {}
@@ -827,6 +909,32 @@ SELECT CAST(row_number() OVER (ORDER BY block, slot) - 1 AS INT) AS position, fe
     out["ml_fold_sizes"] = compose(tr, """
 SELECT CAST(CAST('0x' || substr(md5(doc_id), 1, 8) AS BIGINT) % 5 AS INT) AS fold, COUNT(*) AS n_rows,
   CAST(SUM(quality) AS BIGINT) AS n_good FROM train GROUP BY fold""")
+    out["ml_fold_statistics"] = compose(tr, """
+SELECT CAST(k AS INT) AS fold, column_name, value, COUNT(*) AS n, round(avg(number), 6) AS mean
+FROM (SELECT *, CAST('0x' || substr(md5(doc_id), 1, 8) AS BIGINT) % 5 AS own FROM train) t JOIN range(5) f(k) ON k <> own,
+  LATERAL (VALUES ('n_chars', NULL, n_chars, n_chars IS NOT NULL), ('n_words', NULL, n_words, n_words IS NOT NULL),
+    ('lang', lang, NULL, lang IS NOT NULL), ('source', source, NULL, source IS NOT NULL),
+    ('toxic', CAST(toxic AS VARCHAR), NULL, toxic IS NOT NULL), ('quality', CAST(quality AS VARCHAR), NULL, TRUE)) c(column_name, value, number, there)
+WHERE there GROUP BY k, column_name, value""")
+    tree = freq + _tree_ctes()
+    out["ml_tree_predict"] = compose(tree, """
+SELECT doc_id, CAST(class AS DOUBLE) AS label, prediction, probability FROM train JOIN classes USING (quality) JOIN scored USING (doc_id)""")
+    out["ml_score_saved_model"] = out["ml_score_by_paths"] = compose(
+        tree, "SELECT doc_id, prediction, probability FROM test JOIN scored USING (doc_id)")
+    out["ml_submission"] = compose(tree, """
+SELECT doc_id, CAST(c.quality AS VARCHAR) AS predicted_quality FROM test JOIN scored USING (doc_id) JOIN classes c ON c.class = prediction""")
+    out["ml_submission_csv"] = compose(tree, """
+SELECT CAST(doc_id AS INT) AS doc_id, CAST(c.quality AS INT) AS predicted_quality
+FROM test JOIN scored USING (doc_id) JOIN classes c ON c.class = prediction""")
+    out["ml_tree_rules"] = compose(tree, """
+SELECT CAST(dense_rank() OVER (ORDER BY l.node) - 1 AS INT) AS leaf, coalesce(any_value(s.name), CASE g.feature WHEN 0 THEN 'n_chars_filled' ELSE 'n_words_filled' END) AS feature,
+  round(max(threshold) FILTER (substr(l.node, length(g.node) + 1, 1) = 'R'), 6) AS low,
+  round(min(threshold) FILTER (substr(l.node, length(g.node) + 1, 1) = 'L'), 6) AS high, any_value(class_rows) AS class_rows,
+  any_value(prediction) AS prediction, any_value(round(w.importance, 9)) AS importance
+FROM leaves l JOIN splits g ON starts_with(l.node, g.node) AND l.node <> g.node LEFT JOIN slots s ON s.feature = g.feature
+JOIN (SELECT feature, SUM(gain * n) / (SELECT SUM(gain * n) FROM splits WHERE node NOT IN (SELECT node FROM agree)) AS importance
+      FROM splits WHERE node NOT IN (SELECT node FROM agree) GROUP BY feature) w ON w.feature = g.feature
+GROUP BY l.node, g.feature""")
     return out
 
 

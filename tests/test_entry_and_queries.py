@@ -10,14 +10,15 @@ from lakeforge.sources.tables import TABLES
 
 from .conftest import SF_SMALL
 
-LLM_WITHOUT_SQL = {"op3_token_files", "op4_bpe", "op6_secret_scan", "op9_simhash", "op10_suffix_dedup", "pipeline"}
+LLM_WITHOUT_SQL = {"op3_token_files", "op4_bpe", "op6_secret_scan", "op9_simhash", "op10_suffix_dedup", "op11_embedding_whitening",
+                   "op13_nearest_neighbours", "pipeline"}
 
 
 def test_oracles_belong_to_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    missing = set(q) - set(o) - LLM_WITHOUT_SQL
-    assert all(name.startswith("ml_") for name in missing)
+    # The trials' trees are up to 30 deep, fitted per fold: SQL cannot restate them.
+    assert set(q) - set(o) - LLM_WITHOUT_SQL == {"ml_cv_search", "ml_best_scores"}
 
 
 def test_entry_smoke(spark):

@@ -1,5 +1,7 @@
 """ML pipeline: search space, three label classes (G15), one-hot NULL slot."""
 
+from pyspark.sql import functions as F
+
 from lakeforge.plans import ml
 
 from .conftest import SF_SMALL
@@ -9,7 +11,7 @@ def test_search_space_bounds_and_determinism():
     a, b = ml.sample_space(100, 42), ml.sample_space(100, 42)
     assert a == b and len(a) == 100
     assert all(3 <= t["maxDepth"] <= 30 for t in a)
-    assert all(1e-6 <= t["leaf_fraction"] <= 1e-3 for t in a)
+    assert all(1e-6 <= t[f] <= 1e-3 for t in a for f in ("leaf_fraction", "split_fraction"))
 
 
 def test_leaf_fraction_becomes_rows():
@@ -26,11 +28,60 @@ def test_scoring_covers_every_document_outside_the_training_rows(spark):
 
 
 def test_search_fits_and_scores(spark):
-    train, _ = ml.train_test(spark, SF_SMALL)
-    model, trials = ml.search(train, trials=4, folds=2, parallelism=4)
+    train, test = ml.train_test(spark, SF_SMALL)
+    leaves, features, trials = ml.search(train, trials=4, folds=2, parallelism=4)
     rows = trials.collect()
     assert len(rows) == 4 and all(0 <= r["cv_accuracy"] <= 1 for r in rows)
-    assert model.transform(train).count() == train.count()
+    assert sum(sum(x.counts) for x in leaves) == train.count()
+    scored = ml.score_by_paths(features.transform(train).select("doc_id", "features"), leaves)
+    assert scored.count() == train.count()
+
+
+def test_split_fraction_changes_scores(spark):
+    train, _ = ml.train_test(spark, "/root/testdata/sf0.01")
+    one = {"maxDepth": 6, "leaf_fraction": 1e-6}
+    _, _, trials = ml.search(train, folds=2, parallelism=4, space=[{**one, "split_fraction": f} for f in (1e-6, 0.3, 1.0)])
+    got = [r["cv_accuracy"] for r in trials.orderBy("trial").collect()]
+    labels = [r["quality"] for r in train.select("quality").collect()]
+    assert got[0] != got[2] and abs(got[2] - max(labels.count(0), labels.count(1)) / len(labels)) < 0.05  # no split: the larger class
+
+
+def test_prune_merges_the_leaves_below_small_nodes():
+    leaves = [ml.Leaf(((0, False, 1.0), (1, False, 2.0)), (5, 1)), ml.Leaf(((0, False, 1.0), (1, True, 2.0)), (0, 4)), ml.Leaf(((0, True, 1.0),), (20, 0))]
+    assert ml.prune(leaves, 2) == leaves
+    merged = ml.prune(leaves, 11)
+    assert merged[0] == merged[1] == ml.Leaf(((0, False, 1.0),), (5, 5)) and merged[2] == leaves[2]
+    assert set(ml.prune(leaves, 31)) == {ml.Leaf((), (25, 5))}
+    assert leaves[1].bounds() == {0: (float("-inf"), 1.0), 1: (2.0, float("inf"))}
+
+
+def test_paths_score_as_the_model(spark):
+    train, test = ml.train_test(spark, "/root/testdata/sf0.01")
+    model = ml.feature_pipeline(maxDepth=7, minInstancesPerNode=2).fit(train)
+    leaves = ml.fitted_leaves(model.stages[-1], ml.PipelineModel(model.stages[:-1]).transform(train))
+    assert len(leaves) > 8 and sum(sum(x.counts) for x in leaves) == train.count()
+    ids = test.unionByName(test.limit(3)).withColumn("doc_id", F.when(F.col("doc_id") != "5", F.col("doc_id")))  # repeated and NULL ids
+    rows = ml.PipelineModel(model.stages[:-2]).transform(ids).select("doc_id", "features")
+    got = ml.score_by_paths(rows, leaves).collect()
+    want = model.transform(ids).select("doc_id", "prediction", ml.vector_to_array("probability").alias("probability")).collect()
+    order = lambda r: (str(r[0]), r[1], [round(p, 9) for p in r[2]])
+    assert sorted(map(order, got)) == sorted(map(order, want))
+    root = ml.feature_pipeline(maxDepth=0).fit(train)
+    alone = ml.fitted_leaves(root.stages[-1], ml.PipelineModel(root.stages[:-1]).transform(train))
+    assert len(alone) == 1 and ml.score_by_paths(rows, alone).count() == ids.count()
+
+
+def test_fold_features_equal_fitted_stages(spark):
+    train, _ = ml.train_test(spark, SF_SMALL)
+    with_fold = train.withColumn("_lf_fold", ml.fold_of())
+    stages = ml.fold_features(ml.fold_statistics(with_fold))
+    for k in (0, 3):
+        rest = with_fold.filter(F.col("_lf_fold") != k)
+        fitted = ml.Pipeline(stages=ml.feature_pipeline().getStages()[:-1]).fit(rest)
+        assert stages[k].rows == rest.count()
+        rows = [sorted((r["label"], [round(v, 9) for v in r["features"].toArray()]) for r in df.collect())
+                for df in (fitted.transform(with_fold).select("label", "features"), stages[k].transform(with_fold))]
+        assert rows[0] == rows[1]
 
 
 def test_pipeline_classes_and_null_slot(spark):

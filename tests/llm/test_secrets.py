@@ -141,3 +141,19 @@ def test_lexer_is_linear(part):
     start = time.perf_counter()
     secrets.lexed("password " + part * 40_000)
     assert time.perf_counter() - start < 5
+
+
+def sensitive_names():
+    keys = list(secrets.SENSITIVE)
+    names = [k for k in keys] + [f"{a}_{b}" for a in keys for b in keys] + ["pass_word", "pwD", "privateAccess", "api_access", "pass-phrase", "cre_dential"]
+    return [n for n in names if secrets.name_weight(n) >= 2]
+
+
+def test_every_sensitive_name_alone_in_its_text():
+    assert len(sensitive_names()) > 200
+    for name in sensitive_names():
+        text = f'{name} = "aB3dE5fG7hI9"'
+        alone = secrets.lexed(text)
+        assert [text[a:b] for a, b in alone] == ["aB3dE5fG7hI9"], name
+        assert [s for s in secrets.spans_of(text) if s[0] == "literal"] == [("literal", *s) for s in alone]
+        assert secrets.lexed("# monkey\n" + text) == [(a + 9, b + 9) for a, b in alone] == secrets.lexed("# plain..\n"[:8] + "\n" + text)

@@ -36,20 +36,23 @@ BLOCK_BYTES = 2**20
 SAMPLE_TEXT = 64 * 2**10
 DICTIONARY_BYTES = 64 * 2**10
 LEVEL = 3
-#: Words without what follows them that a Python worker remembers.
-REMEMBERED = 800_000
+#: Bytes of units with their ids that a Python worker remembers: those used
+#: since half of it was last filled, and those used while it was.
+REMEMBERED = 192 * 2**20
+#: What a unit and its ids take beside their characters.
+ENTRY_BYTES = 200
 BLOCKS = ("shard int, block int, dictionary_sha256 string, first_doc long, last_doc long, n_tokens long, "
           "doc_ids array<long>, counts array<int>, offsets array<long>, payload binary")
-_BLANK = re.compile(r" \s")
-_WORD_START = re.compile(r" (?=\S)")
-# A word with ASCII punctuation behind it (no apostrophe): always two pieces of the tokenizer's pattern.
-_PUNCTUATED = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]+)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = r"!-&(-/:-@\[-`{-~"  # ASCII punctuation without the apostrophe
+# Units of a text that the tokenizer's pattern never reaches across: a word of Latin letters with the blank in front,
+# punctuation behind it, a single line end before a word, and else all up to the next blank in front of something.
+_UNITS = re.compile(rf" ?[{_LETTERS}]+(?=[\s{_MARKS}]|\Z)|[{_MARKS}]+(?=[ \n][{_LETTERS}]|\Z)|\n(?=[{_LETTERS}])|(?s:.)[^ ]*(?: (?!\S)[^ ]*)*")
 
 
 class Encoder:
-    """Byte-level BPE by the tokenizers library.  Its word pattern never
-    crosses a blank in front of a word, so a text is the sequence of its words
-    with their blank; each distinct one is encoded once and remembered."""
+    """Byte-level BPE by the tokenizers library.  A text is the sequence of its
+    units (`_UNITS`), each distinct one is encoded once and remembered."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
@@ -64,59 +67,54 @@ class Encoder:
         names = self.library.get_vocab(with_added_tokens=True)
         self.blank = np.zeros(max(names.values()) + 1, bool)
         self.blank[[i for t, i in names.items() if t[0] == "\u0120"]] = True  # the byte-level sign of a blank
-        self.bare: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, x.ids).tobytes() for x in found]
 
     def _joined(self, words: list[str]) -> list[bytes]:
-        """Ids of words with a blank in front, encoded as one text: each
+        """Ids of words, each with a blank in front, encoded as one text: each
         begins at the only token in it that starts with a blank."""
-        ids = np.array(self.library.encode(" " + " ".join(words), add_special_tokens=False).ids, np.int64)
+        ids = np.array(self.library.encode("".join(words), add_special_tokens=False).ids, np.int64)
         starts = np.flatnonzero(self.blank[ids])
         if len(starts) != len(words):
-            return self._library([" " + w for w in words])
+            return self._library(words)
         data, cuts = array(self.code, ids.tolist()).tobytes(), (self.width * np.append(starts, len(ids))).tolist()
         return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
-    def _words(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words with a blank in front.  What is remembered is words
-        without the punctuation behind them, and punctuation."""
-        parts = {w: (m[1], m[2]) for w in words if (m := _PUNCTUATED.fullmatch(w))}
-        bare = {parts[w][0] if w in parts else w for w in words}
-        new = bare.difference(self.bare)
-        if len(self.bare) + len(new) > REMEMBERED:
-            self.bare.clear()
-            new = bare
-        plain = [w for w in new if w and not w[-1].isspace()]
-        for at in range(0, len(plain), 1000):
-            some = plain[at:at + 1000]
-            self.bare.update(zip(some, self._joined(some)))
-        rest = [w for w in new if not w or w[-1].isspace()]
-        self.bare.update(zip(rest, self._library([" " + w for w in rest])))
-        tails = list({p for _, p in parts.values()}.difference(self.tails))
-        if len(self.tails) + len(tails) > REMEMBERED // 8:
-            self.tails.clear()
-            tails = list({p for _, p in parts.values()})
-        self.tails.update(zip(tails, self._library(tails)))
-        found = {w: self.bare[w] for w in words if w not in parts}
-        found.update((w, self.bare[a] + self.tails[p]) for w, (a, p) in parts.items())
-        return found
+    def _remember(self, words: list[str], ids: list[bytes]) -> None:
+        self.known.update(zip(words, ids))
+        self.size += sum(map(len, words)) + sum(map(len, ids)) + ENTRY_BYTES * len(words)
+
+    def _known(self, units: set[str]) -> dict[str, bytes]:
+        """Ids of units; the answer holds all of `units`, and others."""
+        if self.size > REMEMBERED // 2:
+            self.known, self.older, self.size = {}, self.known, 0
+        new = units.difference(self.known)
+        again = [u for u in new if u in self.older]
+        self._remember(again, [self.older[u] for u in again])
+        new.difference_update(again)
+        words = [u for u in new if u[0] == " " and u[1:].isalpha()]
+        for at in range(0, len(words), 1000):
+            some = words[at:at + 1000]
+            self._remember(some, self._joined(some))
+        rest = list(new.difference(words))
+        self._remember(rest, self._library(rest))
+        return self.known
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Serialized ids of whole texts, each with the end id."""
         tail = array(self.code, [end]).tobytes()
-        split: list = []
-        for t in texts:
-            if any(s in t for s in self.special):
-                split.append(None)
-            else:
-                split.append(_WORD_START.split(t) if _BLANK.search(t) else t.split(" "))
-        heads = self._library([x[0] if x else t for x, t in zip(split, texts)])
-        get = self._words(set().union(*(x[1:] for x in split if x))).__getitem__
-        return [h + b"".join(map(get, x[1:] if x else ())) + tail for h, x in zip(heads, split)]
+        whole = [any(s in t for s in self.special) for t in texts]
+        units = [[] if w else _UNITS.findall(t) for t, w in zip(texts, whole)]
+        get = self._known(set().union(*units)).__getitem__
+        out = [b"".join(map(get, x)) + tail for x in units]
+        for k in (k for k, w in enumerate(whole) if w):
+            out[k] = self._library([texts[k]])[0] + tail
+        return out
 
 
 @lru_cache(maxsize=2)

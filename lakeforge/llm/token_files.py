@@ -33,6 +33,8 @@ from .common import id_and_text, sample, text_size, with_null_ids
 
 SHARD_BYTES = 24 * 2**20
 BLOCK_BYTES = 2**20
+#: Characters whose units are held at a time; few stay in the processor's cache.
+CHUNK = 2**19
 SAMPLE_TEXT = 64 * 2**10
 DICTIONARY_BYTES = 64 * 2**10
 LEVEL = 3
@@ -179,7 +181,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 0, sample_rows:
 
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            for a, b in _chunks(texts, 4 * BLOCK_BYTES):
+            for a, b in _chunks(texts, CHUNK):
                 encoded = encoder.encode(texts[a:b], end)
                 for shard, doc, x in zip(batch.column(0)[a:b].to_pylist(), batch.column(1)[a:b].to_pylist(), encoded):
                     ids.append(doc)

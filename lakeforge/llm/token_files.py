@@ -29,9 +29,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, sample, text_size, with_null_ids
+from .common import drop_stored, id_and_text, sample, store, with_null_ids
 
-SHARD_BYTES = 24 * 2**20
+SHARD_BYTES = 12 * 2**20
 BLOCK_BYTES = 2**20
 #: Characters whose units are held at a time; few stay in the processor's cache.
 CHUNK = 2**19
@@ -40,7 +40,7 @@ DICTIONARY_BYTES = 64 * 2**10
 LEVEL = 3
 #: Bytes of units with their ids that a Python worker remembers: those used
 #: since half of it was last filled, and those used while it was.
-REMEMBERED = 192 * 2**20
+REMEMBERED = 256 * 2**20
 #: What a unit and its ids take beside their characters.
 ENTRY_BYTES = 200
 BLOCKS = ("shard int, block int, dictionary_sha256 string, first_doc long, last_doc long, n_tokens long, "
@@ -91,11 +91,8 @@ class Encoder:
         self.known.update(zip(words, ids))
         self.size += sum(map(len, words)) + sum(map(len, ids)) + ENTRY_BYTES * len(words)
 
-    def _known(self, units: set[str]) -> dict[str, bytes]:
-        """Ids of units; the answer holds all of `units`, and others."""
-        if self.size > REMEMBERED // 2:
-            self.known, self.older, self.size = {}, self.known, 0
-        new = units.difference(self.known)
+    def _learn(self, new: set[str]) -> None:
+        """Encodes and remembers units that are not known."""
         again = [u for u in new if u in self.older]
         self._remember(again, [self.older[u] for u in again])
         new.difference_update(again)
@@ -105,14 +102,16 @@ class Encoder:
             self._remember(some, self._joined(some))
         rest = list(new.difference(words))
         self._remember(rest, self._library(rest))
-        return self.known
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """Serialized ids of whole texts, each with the end id."""
         tail = array(self.code, [end]).tobytes()
         whole = [any(s in t for s in self.special) for t in texts]
         units = [[] if w else _UNITS.findall(t) for t, w in zip(texts, whole)]
-        get = self._known(set().union(*units)).__getitem__
+        if self.size > REMEMBERED // 2:
+            self.known, self.older, self.size = {}, self.known, 0
+        self._learn(set().union(*units).difference(self.known))
+        get = self.known.__getitem__
         out = [b"".join(map(get, x)) + tail for x in units]
         for k in (k for k, w in enumerate(whole) if w):
             out[k] = self._library([texts[k]])[0] + tail
@@ -157,19 +156,35 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end: int = 0, sample_rows: int = 400) -> None:
-    """Writes `docs` (doc_id, text) as a file set at `path`."""
+    """Writes `docs` (doc_id, text) as a file set at `path`.  Texts are encoded
+    and compressed where they are read; what is put in order is frames.  Rows
+    with the same id, however many, are ordered by their frames and spread over
+    shards like any others."""
     spark = docs.sparkSession
     texts = id_and_text(docs)
     data = train(texts, tokenizer, end, sample_rows)
     digest = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(digest, bytearray(data))], "sha256 string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
-    shards = max(1, -(-text_size(texts)[1] // SHARD_BYTES))
-    ordered = (texts.repartitionByRange(max(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), "doc_id", F.xxhash64("text"))
-               .sortWithinPartitions("doc_id", F.xxhash64("text"))
-               .select(F.spark_partition_id().alias("shard"), "doc_id", "text"))
 
-    def run(batches):
+    def compress(batches):
         encoder, compressor = load(tokenizer), zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data))
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in _chunks(texts, CHUNK):
+                encoded = encoder.encode(texts[a:b], end)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[a:b], pa.array([len(x) // encoder.width for x in encoded], pa.int32()),
+                     pa.array([compressor.compress(x) for x in encoded], pa.binary())], names=["doc_id", "n", "frame"])
+
+    frames, stored = store(texts.mapInArrow(compress, "doc_id long, n int, frame binary"), "frames")
+    size = frames.agg(F.sum(F.octet_length("frame").cast("long")).alias("b")).first()["b"] or 0
+    shards = max(1, -(-size // SHARD_BYTES))
+    order = ["doc_id", "hash", "number"]
+    ordered = (frames.withColumns({"hash": F.xxhash64("frame"), "number": F.monotonically_increasing_id()})
+               .repartitionByRange(max(shards, int(spark.conf.get("spark.sql.shuffle.partitions"))), *order)
+               .sortWithinPartitions(*order).select(F.spark_partition_id().alias("shard"), "doc_id", "n", "frame"))
+
+    def blocks(batches):
         shard, block, ids, counts, frames, size = 0, 0, [], [], [], 0
 
         def flush():
@@ -180,21 +195,19 @@ def write(docs: DataFrame, path: str, tokenizer: str, end: int = 0, sample_rows:
                 names=[f.name for f in _block_schema()])
 
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in _chunks(texts, CHUNK):
-                encoded = encoder.encode(texts[a:b], end)
-                for shard, doc, x in zip(batch.column(0)[a:b].to_pylist(), batch.column(1)[a:b].to_pylist(), encoded):
-                    ids.append(doc)
-                    counts.append(len(x) // encoder.width)
-                    frames.append(compressor.compress(x))
-                    size += len(frames[-1])
-                    if size >= BLOCK_BYTES:
-                        yield flush()
-                        block, ids, counts, frames, size = block + 1, [], [], [], 0
+            for shard, doc, n, frame in zip(*(c.to_pylist() for c in batch.columns)):
+                ids.append(doc)
+                counts.append(n)
+                frames.append(frame)
+                size += len(frame)
+                if size >= BLOCK_BYTES:
+                    yield flush()
+                    block, ids, counts, frames, size = block + 1, [], [], [], 0
         if ids:
             yield flush()
 
-    ordered.mapInArrow(run, BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    ordered.mapInArrow(blocks, BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    drop_stored(spark, stored)
 
 
 def _block_schema() -> pa.Schema:

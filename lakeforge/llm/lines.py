@@ -13,8 +13,9 @@ Classes with several members after n lines are the intervals of the array with
 a longest common prefix of at least n: their members start the same run of n
 lines.  A run of `min_lines` or more lines is deleted wherever the same run
 starts earlier (smaller doc_id, or further up in the same document), so that
-the maximal repeated runs keep their first copy only.  Doubling goes on until
-every suffix is settled and tells how long the repeats are.
+the maximal repeated runs keep their first copy only; a single line is such a
+run unless `min_lines` says otherwise.  Doubling goes on until every suffix is
+settled and tells how long the repeats are.
 
 Ranks are found in buckets (stretches of ranks).  Groups of documents send each
 distinct pair of ranks once, with its count, so a line that half of all
@@ -218,7 +219,8 @@ def _next_level(state: DataFrame, answers: DataFrame, length: int, step: int, de
 def _without(docs: DataFrame, state: DataFrame, rest: T.StructType) -> DataFrame:
     out = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_lines", T.LongType()),
                         T.StructField("n_removed", T.LongType()), T.StructField("longest_repeat", T.LongType()),
-                        T.StructField("kept_text", T.StringType()), T.StructField("rest", rest)])
+                        T.StructField("kept_text", T.StringType()),
+                        T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))), T.StructField("rest", rest)])
 
     def run(key, texts: pa.Table, table: pa.Table) -> pa.Table:
         order = _in_order(texts)
@@ -227,21 +229,25 @@ def _without(docs: DataFrame, state: DataFrame, rest: T.StructType) -> DataFrame
         for at, i in enumerate(order):
             lines, full, _ = line_ids(text[i])
             gone = np.zeros(len(lines), bool)
-            for a, b in np.frombuffer(known[at][1], "<u4").reshape(-1, 2).tolist():
+            spans = np.frombuffer(known[at][1], "<u4").reshape(-1, 2).tolist()
+            for a, b in spans:
                 gone[full[a:b]] = True
-            rows.append((ids[i], len(full), int(gone.sum()), known[at][0], "\n".join(x for x, g in zip(lines, gone) if not g)))
-        types = [pa.int64()] * 4 + [pa.string()]
-        cols = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, types)]
+            spans = [[int(full[a]), int(full[b - 1]) + 1] for a, b in spans]
+            rows.append((ids[i], len(full), int(gone.sum()), known[at][0], "\n".join(x for x, g in zip(lines, gone) if not g), spans))
+        types = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.list_(pa.int32()))]
+        cols = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, types)]
         return pa.table(cols + [texts.column("rest").take(pa.array(order, pa.int64()))],
-                        names=["doc_id", "n_lines", "n_removed", "longest_repeat", "kept_text", "rest"])
+                        names=["doc_id", "n_lines", "n_removed", "longest_repeat", "kept_text", "spans", "rest"])
 
     return docs.groupBy("grp").cogroup(state.groupBy("grp")).applyInArrow(run, out)
 
 
-def deduplicate(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def deduplicate(docs: DataFrame, min_lines: int = 1) -> DataFrame:
     """Per document row: doc_id, n_lines (blank ones apart), n_removed,
     longest_repeat (a level: lines of the longest doubled run that it shares),
-    kept_text, and `rest`, a struct of the row's other columns."""
+    kept_text, spans (numbers of the first line and of the one behind the last of
+    each deleted stretch, blank lines inside it counted), and `rest`, a struct of
+    the row's other columns."""
     spark = docs.sparkSession
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.struct(F.lit(0).alias("none"))
@@ -263,7 +269,7 @@ def deduplicate(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     return with_null_ids(_without(whole, state, whole.schema["rest"].dataType))
 
 
-def clean(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def clean(docs: DataFrame, min_lines: int = 1) -> DataFrame:
     """`docs` with the repeated runs deleted from `text`; `n_chars`, if there
     is such a column, is set to the new length.  All rows and columns stay."""
     out = deduplicate(docs, min_lines)

@@ -58,7 +58,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.deduplicate(documents(spark, sf_dir).select("doc_id", "text"), min_lines=2)
+    out = lines.deduplicate(documents(spark, sf_dir).select("doc_id", "text"), min_lines=1)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -115,13 +115,8 @@ trimmed AS (
   SELECT *, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS t FROM lines),
 full_lines AS (
   SELECT doc_id, ln, t, row_number() OVER (PARTITION BY doc_id ORDER BY ln) AS i FROM trimmed WHERE t <> ''),
-pairs AS (
-  SELECT doc_id, i, ln, lead(ln) OVER d AS ln2, t || chr(10) || lead(t) OVER d AS run FROM full_lines
-  WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-later AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS copy FROM pairs WHERE run IS NOT NULL)
-  WHERE copy > 1),
-gone AS (SELECT doc_id, ln FROM later UNION SELECT doc_id, ln2 FROM later)
+gone AS (
+  SELECT doc_id, ln FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS copy FROM full_lines) WHERE copy > 1)
 SELECT l.doc_id, count(*) FILTER (l.t <> '') AS n_lines, count(g.ln) AS n_removed,
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.ln) FILTER (g.ln IS NULL), '')) AS kept_sha256
 FROM trimmed l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.ln = g.ln GROUP BY l.doc_id

@@ -9,7 +9,7 @@ from .fixtures import frame, key, prose, rows, same
 STRIP = " \t\n\v\f\r"
 
 
-def brute(data, m=2):
+def brute(data, m=1):
     docs = sorted(((key(d), t or "") for d, t in data))
     full = [[x.strip(STRIP) for x in t.split("\n") if x.strip(STRIP)] for _, t in docs]
     seen, out = set(), []
@@ -64,6 +64,18 @@ def test_levels_reach_the_longest_run(spark):
     assert found == longest(with_lines())
 
 
+def test_spans_are_what_is_deleted(spark):
+    found = lines.deduplicate(frame(spark, with_lines()), 2).select("doc_id", "spans", "kept_text").collect()
+    assert any(r["spans"] for r in found)
+    texts = {}
+    for d, t in with_lines():
+        texts.setdefault(d, []).append((t or "").split("\n"))
+    for r in found:
+        def rest(t):
+            return [x for i, x in enumerate(t) if not x.strip(STRIP) or not any(a <= i < b for a, b in r["spans"])]
+        assert any("\n".join(rest(t)) == r["kept_text"] for t in texts[r["doc_id"]])
+
+
 def test_hot_line_and_hot_run(spark):
     data = [(i, f"only {i}\nhot line\n" + ("hot run\nof lines\n" if i % 2 else "") + f"own end {i * 7}") for i in range(400)]
     same(digest(lines.deduplicate(frame(spark, data))), brute(data))

@@ -20,8 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs go from the texts; documents stay."""
-    return lines.clean(docs, min_lines=2)
+    """Later copies of repeated line runs, single lines included, go from the
+    texts; documents stay."""
+    return lines.clean(docs, min_lines=1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

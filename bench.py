@@ -4,10 +4,11 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8) and prints ONE JSON line:
 {"metric": ..., "value": total seconds, "unit": "sec", "queries": {...}, "sf": ...}
 
-Every query starts from a cold warehouse (no stored intermediate results
-are reused between queries), so each timing includes all the work the
-query depends on.  ``scd2_reload_detail`` times only the day-2 load on top
-of a stored day-1 history.
+The BI queries and the two ``scd2`` loads read stored Bronze tables, whose
+storing is timed apart as ``bronze_tables``; ``scd2_reload_detail`` times the
+day-2 load on top of a stored day-1 history.  The other queries start from a
+cold warehouse (no stored intermediate results are reused between them), so
+each of their timings includes all the work the query depends on.
 """
 
 from __future__ import annotations
@@ -54,14 +55,15 @@ def main():
 
     # BI reads stored Bronze tables: storing them is timed apart.
     tables = ("product", "product_category", "customer", "address", "sales_order_header", "sales_order_detail")
-    timed("bronze_tables", lambda: [gold.warehouse(spark, sf_dir).bronze(t) for t in tables])
+    timed("bronze_tables", lambda: [gold.warehouse(spark, sf_dir).bronze(t) for t in tables] and
+          gold.warehouse(spark, sf_dir).bronze("sales_order_detail", 2))
     for name, fn in bi.QUERIES.items():
         timed(name, lambda fn=fn: run(fn), cold=False)
 
     def first_load():
         return silver.history(spark, sf_dir, "sales_order_detail", days=1).count()
 
-    timed("scd2_first_load_detail", first_load)
+    timed("scd2_first_load_detail", first_load, cold=False)
 
     h1 = silver.history(spark, sf_dir, "sales_order_detail", days=1)
 
@@ -70,7 +72,7 @@ def main():
         out = silver.load(h1, src2, "sales_order_detail", silver.LOADS[2])
         return cut_lineage(out).count()
 
-    timed("scd2_reload_detail", reload)
+    timed("scd2_reload_detail", reload, cold=False)
     timed("dim_product", lambda: run(gold.QUERIES["dim_product"]))
     timed("fact_projection", lambda: run(gold.fact_projection))
     timed("fact_upsert", lambda: run(gold.fact_upsert))

@@ -65,9 +65,11 @@ WITH texts AS (
 folded AS (
   SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                       '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM texts),
+lengths AS (SELECT DISTINCT least(len(w), 5) AS k FROM folded WHERE kind = 'b' AND len(w) > 0),
 grams AS (
   SELECT DISTINCT kind, id, g FROM (
-    SELECT kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], chr(32)))) AS g FROM folded)),
+    SELECT kind, id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], chr(32)))) AS g
+    FROM folded JOIN lengths ON kind = 'd' OR k = least(len(w), 5))),
 sizes AS (SELECT id, count(*) AS n FROM grams WHERE kind = 'b' GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, any_value(n) AS n_shingles, count(*) AS n_shared
 FROM grams b JOIN grams d ON b.g = d.g AND b.kind = 'b' AND d.kind = 'd' JOIN sizes s ON s.id = b.id

@@ -6,12 +6,14 @@ the Hamming distance of the fingerprints.  The embedding is kept in unary (a
 segment's ones moved to its low end), so that Manhattan distance is the number
 of differing bits of two embeddings.
 
-Grid range-join: the 32 axes are cut into `max_bits + GROUPS_SHARED` groups.
-Two points within distance `max_bits` differ in at most that many groups, so
-they share the coordinates of at least GROUPS_SHARED groups; every choice of
-that many groups is a grid in which each point has one cell, and every link
-lies within a cell of some grid.  Inside a cell the Manhattan distance is
-checked first, as lower bound, and then the exact bit distance.
+Grid range-join: the 32 axes are cut into `max_bits + shared` groups.  Two
+points within distance `max_bits` differ in at most `max_bits` groups, so they
+share the coordinates of at least `shared` groups; every choice of that many
+groups is a grid in which each point has one cell, and every link lies within
+a cell of some grid.  More groups make more grids of finer cells: their number
+follows from the number of fingerprints (`shared_groups`), so that cells stay
+small as the input grows; it changes no link.  Inside a cell the Manhattan
+distance is checked first, as lower bound, and then the exact bit distance.
 
 Equal fingerprints are merged before the join and cells hand on a spanning
 forest of their links, never all pairs, so a large group of copies stays
@@ -38,8 +40,12 @@ from .common import drop_stored, id_and_text, store, with_null_ids
 from .components import connected
 
 SEGMENTS = 32
-#: Groups that linked points share at least; a grid per choice of so many.
+#: Least number of groups that linked points share; a grid per choice of so many.
 GROUPS_SHARED = 3
+#: Chance that two unrelated points agree in one axis (bit counts 0, 1, 2 by 1/4, 1/2, 1/4).
+AXIS_MATCH = 3 / 8
+#: Comparisons that take as long as one entry of a cell.
+ENTRY_COST = 32
 SEED = 42
 #: Cells up to this size are compared pair by pair.
 SMALL_CELL = 24
@@ -94,13 +100,25 @@ def embed(fp: np.ndarray) -> np.ndarray:
     return (a | b) | ((a & b) << np.uint64(1))
 
 
-def grids(max_bits: int) -> list[int]:
+def shared_groups(points: int, max_bits: int) -> int:
+    """How many groups a grid takes, for the least work on so many points:
+    entries of cells, and comparisons of unrelated points that share a cell."""
+
+    def work(shared: int) -> float:
+        n = max_bits + shared
+        chance = AXIS_MATCH ** (SEGMENTS * shared / n)
+        return math.comb(n, shared) * (ENTRY_COST + points * chance / 2)
+
+    return min(range(GROUPS_SHARED, max(GROUPS_SHARED, SEGMENTS - max_bits) + 1), key=work)
+
+
+def grids(max_bits: int, shared: int = GROUPS_SHARED) -> list[int]:
     """A mask of embedding bits per grid."""
-    n = max_bits + GROUPS_SHARED
+    n = max_bits + shared
     groups = [0] * n
     for s in range(SEGMENTS):
         groups[s * n // SEGMENTS] |= 3 << (2 * s)
-    return [sum(c) for c in combinations(groups, GROUPS_SHARED)]
+    return [sum(c) for c in combinations(groups, shared)]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -110,9 +128,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def cells(points: DataFrame, max_bits: int, buckets: int) -> DataFrame:
+def cells(points: DataFrame, max_bits: int, buckets: int, shared: int = GROUPS_SHARED) -> DataFrame:
     """(bucket, grid, fp): each fingerprint once per grid."""
-    masks = np.array(grids(max_bits), np.uint64)
+    masks = np.array(grids(max_bits, shared), np.uint64)
 
     def run(batches):
         for batch in batches:
@@ -180,9 +198,9 @@ def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def links(entries: DataFrame, max_bits: int) -> DataFrame:
+def links(entries: DataFrame, max_bits: int, shared: int = GROUPS_SHARED) -> DataFrame:
     """Links of each bucket as (u, v): a fingerprint and one it reaches there."""
-    masks = np.array(grids(max_bits), np.uint64)
+    masks = np.array(grids(max_bits, shared), np.uint64)
 
     def run(table: pa.Table) -> pa.Table:
         grid = table.column("grid").to_numpy()
@@ -214,9 +232,10 @@ def _components(spark: SparkSession, fps: DataFrame, max_bits: int) -> DataFrame
     """(fp, root, component_id) per fingerprint: a fingerprint that names its
     component, and the component's least doc_id."""
     points, points_path = store(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    entries = points.count() * len(grids(max_bits))
-    buckets = max(64, math.ceil(entries / BUCKET_ROWS))
-    found, edges_path = connected(links(cells(points, max_bits, buckets), max_bits))
+    n = points.count()
+    shared = shared_groups(n, max_bits)
+    buckets = max(64, math.ceil(n * len(grids(max_bits, shared)) / BUCKET_ROWS))
+    found, edges_path = connected(links(cells(points, max_bits, buckets, shared), max_bits, shared))
     member = (points.join(found.withColumnRenamed("node", "fp"), "fp", "left")
               .select("fp", "least", F.coalesce("component", "fp").alias("root")))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))

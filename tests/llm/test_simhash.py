@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -48,7 +49,8 @@ def test_given_documents(spark):
     same(op9_simhash(spark, SF_SMALL).collect(), brute(docs))
 
 
-def test_every_link_shares_a_cell_and_large_cells_keep_their_links():
+@pytest.mark.parametrize("shared", [3, 4, 6, 8])
+def test_every_link_shares_a_cell_and_large_cells_keep_their_links(shared):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 300, dtype=np.uint64)
     other = base.copy()
@@ -56,10 +58,25 @@ def test_every_link_shares_a_cell_and_large_cells_keep_their_links():
         other ^= np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64)
     a, b = simhash.embed(base), simhash.embed(other)
     assert (np.bitwise_count(a ^ b) <= np.bitwise_count(base ^ other)).all()
-    masks = np.array(simhash.grids(4), np.uint64)
+    masks = np.array(simhash.grids(4, shared), np.uint64)
+    assert len(masks) == simhash.math.comb(4 + shared, 4)
     assert (((a[:, None] ^ b[:, None]) & masks) == 0).any(axis=1).all()
 
 
+def test_groups_follow_the_number_of_points():
+    chosen = [simhash.shared_groups(10**k, 4) for k in range(13)]
+    assert chosen == sorted(chosen) and chosen[0] == 3 and chosen[12] > 6
+    for k in range(13):  # points of a cell stay few
+        assert 10**k * simhash.AXIS_MATCH ** (simhash.SEGMENTS * chosen[k] / (4 + chosen[k])) < 1000
+    assert simhash.shared_groups(10**9, 40) == 3
+
+
+def test_finer_grids_give_the_same_components(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "shared_groups", lambda n, max_bits: 5)
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    same(op9_simhash(spark, SF_SMALL).collect(), brute(docs))
+
+
 def test_hot_group_of_near_copies(spark):
     rng = np.random.default_rng(4)
     base = int(rng.integers(0, 2**63))

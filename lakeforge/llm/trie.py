@@ -55,7 +55,7 @@ def turns(rows: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         _sha(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text).cast("binary")).alias("digest"),
         F.length(text).cast("long").alias("chars"))
-    return number_within_groups(slim, ["conv_id"], ["turn", "digest"], "place").select(
+    return number_within_groups(slim, ["conv_id"], ["turn", "digest"], "place", hot=0).select(
         "conv_id", F.col("place").cast("long").alias("place"), "digest", "chars")
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lakeforge.contracts import ID
-from lakeforge.operators.keys import number_within_groups
-from lakeforge.operators.merge import scd2_load
+from lakeforge.operators.keys import number_and_deal, number_within_groups
+from lakeforge.operators.merge import by_key, scd2_first, scd2_load, store_by_key
 from lakeforge.plans import gold
 from lakeforge.session import cut_lineage, ensure_checkpoint_dir
 
@@ -68,3 +68,41 @@ def test_hex_ids_survive_a_load(spark):
     h = scd2_load(h, day2, ["k"], ["rowguid"], "2024-01-02 00:00:00")
     assert sorted((r.k, str(r.rowguid), r._tf_valid_to is None) for r in h.collect()) == sorted(
         [(i, str(x), True) for i, x in enumerate(ids) if i not in (2, 3)] + [(2, "", False), (2, "0", True), (3, "abc", False), (3, "abd", True)])
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_first_load_numbers_the_stored_source(spark, monkeypatch):
+    monkeypatch.setattr(gold, "_WAREHOUSES", {})
+    w = gold.warehouse(spark, SF_SMALL)
+    h = w.history("sales_order_detail", 1)
+    rows = [tuple(r) for r in h.select("sales_order_id", "sales_order_detail_id", ID).collect()]
+    assert sorted(r[2] for r in rows) == list(range(1, len(rows) + 1)) and sorted(rows) == sorted(rows, key=lambda r: r[2])
+    files = {f.split("/part-")[0] for f in h.inputFiles()}
+    assert files >= {f.split("/part-")[0] for f in w.bronze("sales_order_detail").inputFiles()}  # no copy
+    assert "rangepartitioning" not in plan(h) and "hashpartitioning" not in plan(h)
+
+
+def test_lines_are_dealt_once(spark):
+    rows = [(g, o) for g in [None, *range(300)] for o in range(3)]
+    df = spark.createDataFrame(rows, "g int, o int").repartition(5)
+    out, dealt = number_and_deal(df, ["g"], ["o"], "rn")
+    assert dealt and plan(out).count("rangepartitioning") == 1 and "hashpartitioning(g" not in plan(out)
+    assert sorted((r.g or -1, r.o, r.rn) for r in out.collect()) == sorted((g or -1, o, o + 1) for g, o in rows)
+    assert not number_and_deal(df, ["g"], ["o"], "rn", hot=2)[1]
+
+
+def test_numbers_of_a_source_stored_by_key(spark):
+    schema = "k int, rowguid string"
+    rows = [Row(i, f"{i:04x}") for i in range(500)] + [Row(None, "b"), Row(None, "b"), Row(None, "aa")]
+    ranged = store_by_key(spark.createDataFrame(rows, schema).repartition(7), ["k"])
+    got = by_key(ranged)
+    assert sorted((r.k is not None, r.k or 0, r.rowguid) for r in got.collect()) == sorted((k is not None, k or 0, g) for k, g in rows)
+    h = scd2_first(got, ["k"], "2024-01-01 00:00:00")
+    assert {r.k: r[ID] for r in h.collect() if r.k is not None} == {i: i + 4 for i in range(500)}
+    twice = by_key(store_by_key(spark.createDataFrame([Row(1, "a"), Row(2, "b"), Row(1, "a")], schema), ["k"]))
+    assert twice.count() == 3  # the source may have them, the load fails
+    with pytest.raises(PySparkException, match="several rows for one key"):
+        scd2_first(twice, ["k"], "2024-01-01 00:00:00")

@@ -35,11 +35,14 @@ def closed_deleted(history: DataFrame, keys: list[str]) -> DataFrame:
 
 def rekeyed(history: DataFrame, keys: list[str], identity: str = "rowguid") -> DataFrame:
     """Q3: an identity (rowguid) closed under one key and opened under another
-    key at the same load time: old key, new key and the switch time."""
+    key at the same load time: old key, new key and the switch time.  Only
+    versions that opened when another one closed take part."""
     old = closed_deleted(history, keys).select(
         *[F.col(k).alias(f"old_{k}") for k in keys], F.col(identity).alias("_lf_ident"),
         F.col(VALID_TO).alias("switched_at"))
-    new = history.select(*[F.col(k).alias(f"new_{k}") for k in keys],
+    times = history.select(F.col(VALID_TO).alias("_lf_closing")).na.drop().distinct()  # a row per load
+    opened = history.join(F.broadcast(times), F.col(VALID_FROM) == F.col("_lf_closing"), "left_semi")
+    new = opened.select(*[F.col(k).alias(f"new_{k}") for k in keys],
                          F.col(identity).alias("_lf_ident"), F.col(VALID_FROM).alias("switched_at"))
     return old.join(new, ["_lf_ident", "switched_at"]).drop("_lf_ident")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lakeforge.contracts import ID
+from lakeforge.operators import checks
 from lakeforge.operators.keys import number_and_deal, number_within_groups
 from lakeforge.operators.merge import by_key, scd2_first, scd2_load, store_by_key
 from lakeforge.plans import gold
@@ -106,3 +107,12 @@ def test_numbers_of_a_source_stored_by_key(spark):
     assert twice.count() == 3  # the source may have them, the load fails
     with pytest.raises(PySparkException, match="several rows for one key"):
         scd2_first(twice, ["k"], "2024-01-01 00:00:00")
+
+
+def test_rekeyed_looks_at_versions_opened_by_a_closing_load(spark):
+    t = ["TIMESTAMP_NTZ '2024-01-01 00:00:00'", "TIMESTAMP_NTZ '2024-01-02 00:00:00'"]
+    h = spark.sql(f"""SELECT 1 k, 'a' rowguid, {t[0]} _tf_valid_from, {t[1]} _tf_valid_to UNION ALL
+        SELECT 2, 'a', {t[1]}, NULL UNION ALL SELECT 3, 'a', {t[0]}, NULL UNION ALL SELECT 4, 'b', {t[1]}, NULL""")
+    out = checks.rekeyed(h, ["k"])
+    assert [(r.old_k, r.new_k) for r in out.collect()] == [(1, 2)]
+    assert "_lf_closing" in out._jdf.queryExecution().analyzed().toString()

@@ -10,9 +10,12 @@ Rows are scored by joining their feature values with the bounds.
 
 The search takes the feature statistics of all folds in one pass over the data:
 a fold's training rows are all rows but the fold's own, so are their sums and
-counts (no leakage, G16).  Each distinct tree setting of a fold is fitted once;
-how many rows a node needs to be split is applied to the fitted tree afterwards,
-by merging the leaves below the nodes that have fewer.
+counts (no leakage, G16).  A tree sees a number only by the bin it falls into, so
+the rows of a fold are counted once per bins, categories and label, and its trees
+are fitted on these weighted cells; their number does not grow with the rows.  A
+tree is fitted once per fold and leaf size, as deep as a trial asks for: the depth
+and how many rows a node needs to be split are applied to it afterwards, by
+merging the leaves below the nodes that are too deep or too small.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionT
 from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,7 +171,7 @@ class Leaf:
 _TURN = re.compile(r"( +)(If|Else) \(feature (\d+) (?:<=|>|in|not in) \{?([-+\w.]+)\}?\)")
 
 
-def read_leaves(tree: DecisionTreeClassificationModel) -> list[Leaf]:
+def read_leaves(tree: DecisionTreeClassificationModel | DecisionTreeRegressionModel) -> list[Leaf]:
     """The leaves of a tree, left to right, from its printed form.  Indicator
     features (0 or 1) count as numbers with the threshold 0.5."""
     turns: list[tuple[int, bool, float]] = []
@@ -210,6 +214,16 @@ def prune(leaves: list[Leaf], least: int) -> list[Leaf]:
     return merge(leaves, 0)
 
 
+def shorten(leaves: list[Leaf], depth: int) -> list[Leaf]:
+    """For each leaf, the leaf it becomes part of in a tree of at most ``depth``
+    turns."""
+    counts: dict = {}
+    for x in leaves:
+        counts.setdefault(x.turns[:depth], []).append(x.counts)
+    ends = {turns: Leaf(turns, tuple(map(sum, zip(*below)))) for turns, below in counts.items()}
+    return [ends[x.turns[:depth]] for x in leaves]
+
+
 #: Bounds of a tree up to this number are broadcast; more are joined by shuffle.
 SMALL_TREE = 10_000
 
@@ -268,8 +282,8 @@ class FoldFeatures:
     means: dict[str, float]
     labels: dict[str, list[str]]
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """(label, features) of rows; nothing is fitted on the data."""
+    def transform(self, df: DataFrame, *others: str) -> DataFrame:
+        """(label, features) and ``others`` of rows; nothing is fitted on the data."""
         filled = [f"{c}_filled" for c in NUMERIC]
         df = df.withColumns({f: F.coalesce(F.col(c), F.lit(self.means[c])) for c, f in zip(NUMERIC, filled)})
         df = df.withColumns({c: F.col(c).cast("string") for c in [*CATEGORICAL, LABEL]})
@@ -279,7 +293,7 @@ class FoldFeatures:
             df = StringIndexerModel.from_labels(self.labels[name], inputCol=name, outputCol=place, handleInvalid="keep").transform(df)
         flags = [f"{c}_is" for c in CATEGORICAL]
         encoded = OneHotEncoder(inputCols=places[:-1], outputCols=flags).fit(df).transform(df)  # sizes come from the index
-        return VectorAssembler(inputCols=filled + flags, outputCol="features").transform(encoded).select("label", "features")
+        return VectorAssembler(inputCols=filled + flags, outputCol="features").transform(encoded).select("label", "features", *others)
 
 
 def fold_features(statistics: DataFrame, folds: int = FOLDS) -> list[FoldFeatures]:
@@ -295,50 +309,109 @@ def fold_features(statistics: DataFrame, folds: int = FOLDS) -> list[FoldFeature
     return out
 
 
+#: The deepest tree that Spark fits.
+DEEPEST = 30
+
+
+def candidate_splits(rows: DataFrame, column: str) -> list[float]:
+    """The thresholds that a tree fitted on ``rows`` may choose for a number:
+    those of a regression tree of the number on itself, grown until every bin is
+    a leaf."""
+    found: set[float] = set()
+    for label in (F.col(column), F.asinh(column)):
+        frame = VectorAssembler(inputCols=[column], outputCol="features").transform(rows.select(column, label.alias("label")))
+        tree = DecisionTreeRegressor(maxDepth=DEEPEST, minInstancesPerNode=1, seed=TREE_PARAMS["seed"]).fit(frame)
+        found.update(t for leaf in read_leaves(tree) for _, _, t in leaf.turns)
+        if tree.depth < DEEPEST:  # else the bins are so uneven that some are not apart yet
+            break
+    return sorted(found)
+
+
+@dataclass(frozen=True)
+class FoldCells:
+    """The rows of a fold's training and held-out part, counted per bins,
+    categories and label: (label, features, held, n).  The numbers among the
+    features are those of their bins, from 0."""
+
+    frame: DataFrame
+    cells: int
+    rows: int
+
+    def leaves(self, least: int, depth: int) -> tuple[list[Leaf], dict[tuple[int, int], int]]:
+        """The tree of the training part with ``least`` rows in each leaf: its
+        leaves with their class counts, and the held-out rows per (leaf, label)."""
+        params = {**TREE_PARAMS, "maxDepth": depth, "minInstancesPerNode": 1, "weightCol": "n",
+                  # Cells up to the square of maxBins are all looked at for the bins, none is sampled away.
+                  "maxBins": max(32, math.isqrt(self.cells) + 1)}
+        if 2 * least > self.rows or self.cells == 1:  # no split leaves so many rows on both sides
+            params["maxDepth"] = 0
+        elif least > 1:
+            params["minWeightFractionPerNode"] = (least - 0.5) / self.rows
+        train = self.frame.filter("NOT held")
+        if self.cells == 1:
+            train = train.unionByName(train.withColumn("n", F.lit(0.0)))  # Spark wants two rows for an indicator
+        tree = DecisionTreeClassifier(labelCol="label", featuresCol="features", **params).fit(train)
+        # A row per part, leaf and class comes back.
+        found = (tree.copy({tree.leafCol: "leaf"}).transform(self.frame.filter("held IS NOT NULL"))
+                 .groupBy("held", F.col("leaf").cast("int"), F.col("label").cast("int")).agg(F.sum("n").cast("long")).collect())
+        counts, seen = ({(r[1], r[2]): r[3] for r in found if r[0] == held} for held in (False, True))
+        return [Leaf(x.turns, tuple(counts.get((n, c), 0) for c in range(tree.numClasses))) for n, x in enumerate(read_leaves(tree))], seen
+
+
+def fold_cells(with_fold: DataFrame, k: int, features: FoldFeatures) -> FoldCells:
+    """The cells of fold ``k``: a fit per number finds its bins, one pass counts the rows."""
+    filled = with_fold.withColumns({c: F.coalesce(F.col(c), F.lit(features.means[c])) for c in NUMERIC})
+    train = filled.filter(F.col("_lf_fold") != k)
+    bins = {c: sum(((F.col(c) > t).cast("double") for t in candidate_splits(train, c)), F.lit(0.0)) for c in NUMERIC}
+    counted = (filled.withColumns(bins).groupBy((F.col("_lf_fold") == k).alias("held"), *NUMERIC, *CATEGORICAL, LABEL)
+               .agg(F.count(F.lit(1)).cast("double").alias("n")))
+    frame = cut_lineage(features.transform(counted, "held", "n"))
+    cells, rows = frame.filter("NOT held").agg(F.count(F.lit(1)), F.sum("n").cast("long")).first()
+    return FoldCells(frame, cells, rows or 0)
+
+
 def search(df: DataFrame, trials: int = TRIALS, folds: int = FOLDS, seed: int = 42,
            parallelism: int = 64, space: list[dict] | None = None):
     """Cross-validated accuracy of every trial, then the best trial
     refitted on all rows.  Returns (leaves of the best tree, its feature model,
     trials frame).
 
-    Each distinct tree of a fold is fitted once, ``parallelism`` jobs at a time;
-    it answers for all trials that differ in the split fraction alone, from the
-    counts of its leaves."""
+    One tree is fitted per fold and leaf size, ``parallelism`` jobs at a time, on
+    the fold's cells; it answers for all trials that differ in depth or split
+    fraction alone, from the counts of its leaves."""
     from concurrent.futures import ThreadPoolExecutor
 
     space = space or sample_space(trials, seed)
     with_fold = cut_lineage(df.withColumn("_lf_fold", fold_of(folds)))
     stages = fold_features(fold_statistics(with_fold, folds), folds)
-    data = [(f.transform(with_fold.filter(F.col("_lf_fold") != k)), f.transform(with_fold.filter(F.col("_lf_fold") == k)))
-            for k, f in enumerate(stages)]
-
-    def key(trial, rows):
-        return tuple(sorted(tree_settings(trial, rows).items()))
 
-    def classifier(setting):
-        return DecisionTreeClassifier(labelCol="label", featuresCol="features", **{**TREE_PARAMS, **dict(setting)})
+    def settings(trial, k):
+        s = tree_settings(trial, stages[k].rows)
+        return s["minInstancesPerNode"], s["maxDepth"], split_rows(trial, stages[k].rows)
 
     def fit_eval(job):
-        k, setting = job
-        train, valid = data[k]
-        tree = classifier(setting).fit(train)
-        leaves, seen = fitted_leaves(tree, train), leaf_counts(tree, valid)
-        least = {split_rows(t, stages[k].rows) for t in space if key(t, stages[k].rows) == setting}
+        k, least = job
+        wanted = {settings(t, k)[1:] for t in space if settings(t, k)[0] == least}
+        leaves, seen = cells[k].leaves(least, max(depth for depth, _ in wanted))
         scores = {}
-        for n in least:
-            predicted = [x.prediction for x in prune(leaves, n)]
-            scores[n] = sum(c for (leaf, label), c in seen.items() if predicted[leaf] == label) / max(1, sum(seen.values()))
-        return job, scores
+        for depth, n in wanted:
+            short = shorten(leaves, depth)
+            ends = list(dict.fromkeys(short))
+            predicted = {x: y.prediction for x, y in zip(ends, prune(ends, n))}
+            scores[k, least, depth, n] = sum(c for (leaf, label), c in seen.items() if predicted[short[leaf]] == label) / max(1, sum(seen.values()))
+        return scores
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        jobs = {(k, key(t, stages[k].rows)) for k in range(folds) for t in space}
-        score_of = dict(pool.map(fit_eval, sorted(jobs)))
-    means = [sum(score_of[k, key(t, stages[k].rows)][split_rows(t, stages[k].rows)] for k in range(folds)) / folds for t in space]
+        cells = list(pool.map(lambda k: fold_cells(with_fold, k, stages[k]), range(folds)))
+        score_of = {}
+        for scores in pool.map(fit_eval, sorted({(k, settings(t, k)[0]) for k in range(folds) for t in space})):
+            score_of.update(scores)
+    means = [sum(score_of[k, *settings(t, k)] for k in range(folds)) / folds for t in space]
     best = max(range(len(space)), key=lambda i: (means[i], -i))
     n = with_fold.count()
     features = Pipeline(stages=[*feature_stages(), StringIndexer(inputCol=LABEL, outputCol="label").setHandleInvalid("keep")]).fit(with_fold)
     train = features.transform(with_fold).select("label", "features")
-    tree = classifier(key(space[best], n)).fit(train)
+    tree = DecisionTreeClassifier(labelCol="label", featuresCol="features", **{**TREE_PARAMS, **tree_settings(space[best], n)}).fit(train)
     leaves = list(dict.fromkeys(prune(fitted_leaves(tree, train), split_rows(space[best], n))))
     rows = [(i, t["maxDepth"], float(t["leaf_fraction"]), float(t["split_fraction"]), float(m)) for i, (t, m) in enumerate(zip(space, means))]
     trials_df = df.sparkSession.createDataFrame(

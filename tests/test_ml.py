@@ -96,3 +96,54 @@ def test_pipeline_classes_and_null_slot(spark):
     assert names[:2] == ["n_chars_filled", "n_words_filled"]
     null_row = out.filter("lang IS NULL").select("lang_is").first()[0]
     assert null_row.numNonzeros() == 0                  # NULL lang encodes as all zeros
+
+
+def _numbered_rows(spark, n):
+    return spark.range(n).select(
+        F.col("id").cast("string").alias("doc_id"), (F.pmod(F.xxhash64("id"), F.lit(5000))).cast("double").alias("n_chars"),
+        F.when(F.col("id") % 7 > 0, F.floor(F.pmod(F.xxhash64("id"), F.lit(5000)) / 40).cast("double")).alias("n_words"),
+        F.lit("en").alias("lang"), F.when(F.col("id") % 2 == 0, "web").otherwise("book").alias("source"), F.lit(0).alias("toxic"),
+        (F.pmod(F.xxhash64("id"), F.lit(5000)) * (F.col("id") % 5) % 700 < 300).cast("int").alias("quality"))
+
+
+def test_search_fits_cells_instead_of_rows(spark, monkeypatch):
+    """Every tree but the refitted one sees counted cells, one fit per fold and leaf size, with the accuracy of fits on the rows."""
+    df = _numbered_rows(spark, 6000).cache()
+    seen, fit = [], ml.DecisionTreeClassifier._fit
+    monkeypatch.setattr(ml.DecisionTreeClassifier, "_fit", lambda self, rows: (seen.append(rows.count()), fit(self, rows))[1])
+    space = [{"maxDepth": d, "leaf_fraction": f, "split_fraction": s}
+             for d, f, s in ((3, 1e-6, 1e-6), (9, 1e-6, 1e-6), (9, 1e-6, 0.02), (9, 0.01, 1e-6), (5, 0.6, 1e-6))]
+    _, _, trials = ml.search(df, folds=2, parallelism=4, space=space)
+    assert len(seen) == 2 * 3 + 1 and max(seen[:-1]) < 1000 < 6000 == seen[-1]
+    monkeypatch.undo()
+    with_fold = df.withColumn("_lf_fold", ml.fold_of(2))
+    for got, trial in zip(trials.orderBy("trial").collect(), space):
+        want = 0.0
+        for k, f in enumerate(ml.fold_features(ml.fold_statistics(with_fold, 2), 2)):
+            train, valid = f.transform(with_fold.filter(F.col("_lf_fold") != k)), f.transform(with_fold.filter(F.col("_lf_fold") == k))
+            tree = ml.DecisionTreeClassifier(labelCol="label", featuresCol="features", **{**ml.TREE_PARAMS, **ml.tree_settings(trial, f.rows)}).fit(train)
+            ends = ml.prune(ml.fitted_leaves(tree, train), ml.split_rows(trial, f.rows))
+            found = ml.leaf_counts(tree, valid)
+            want += sum(c for (leaf, label), c in found.items() if ends[leaf].prediction == label) / sum(found.values()) / 2
+        assert abs(got["cv_accuracy"] - want) < 1e-12
+
+
+def test_candidate_splits_are_the_trees_thresholds(spark):
+    few = spark.createDataFrame([(float(x),) for x in (1, 2, 2, 4, 1000)], "x double")
+    assert ml.candidate_splits(few, "x") == [1.5, 3.0, 502.0]
+    assert ml.candidate_splits(few.filter("x = 2"), "x") == []
+    uneven = spark.createDataFrame([(10.0 ** k,) for k in range(32) for _ in range(2)], "x double")
+    assert len(ml.candidate_splits(uneven, "x")) == 31
+
+
+def test_cells_of_one_kind_make_one_leaf(spark):
+    df = _numbered_rows(spark, 40).withColumns({"n_chars": F.lit(3.0), "n_words": F.lit(1.0), "source": F.lit("web"), "quality": F.lit(1)})
+    leaves, _, trials = ml.search(df, trials=3, folds=2, parallelism=2)
+    assert [x.counts[0] for x in leaves] == [40] and {r["cv_accuracy"] for r in trials.collect()} == {1.0}
+
+
+def test_shorten_ends_leaves_at_a_depth():
+    leaves = [ml.Leaf(((0, False, 1.0), (1, False, 2.0)), (5, 1)), ml.Leaf(((0, False, 1.0), (1, True, 2.0)), (0, 4)), ml.Leaf(((0, True, 1.0),), (20, 0))]
+    assert ml.shorten(leaves, 2) == leaves
+    assert ml.shorten(leaves, 1) == [ml.Leaf(((0, False, 1.0),), (5, 5))] * 2 + leaves[2:]
+    assert set(ml.shorten(leaves, 0)) == {ml.Leaf((), (25, 5))}

@@ -31,7 +31,7 @@ from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StringInd
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, folder_stamp
@@ -229,9 +229,14 @@ SMALL_TREE = 10_000
 
 
 def score_by_paths(rows: DataFrame, leaves: list[Leaf], id_col: str = ID_COL) -> DataFrame:
-    """L11 as a range join: each row's feature values meet the bounds of their
-    feature, and the leaf whose bounds all hold gives prediction and
-    probabilities.  ``rows`` has ``id_col``, of any values, and ``features``."""
+    """L11 as a range join: feature values meet the bounds of their feature, and
+    the leaf whose bounds all hold gives prediction and probabilities.  ``rows``
+    has ``id_col``, of any values, and ``features``.
+
+    A tree tells values apart by its thresholds only: each value stands for the
+    least threshold it does not exceed.  The rows are stored with these, the
+    join is done once for each distinct list of them, and every row takes what
+    was found for its list."""
     spark = rows.sparkSession
     shares = [[c / sum(x.counts) for c in x.counts] for x in leaves]
     if len(leaves) == 1:
@@ -242,13 +247,24 @@ def score_by_paths(rows: DataFrame, leaves: list[Leaf], id_col: str = ID_COL) ->
     ends = spark.createDataFrame([(n, len(x.bounds()), x.prediction, shares[n]) for n, x in enumerate(leaves)],
                                  "leaf int, n_bounds long, prediction double, probability array<double>")
     used = sorted({f for _, f, _, _ in bounds})
-    values = F.transform(F.array(*map(F.lit, used)), lambda f: F.struct(
-        f.cast("int").alias("feature"), F.get("_lf_values", f).alias("value")))
-    long = (rows.select(F.monotonically_increasing_id().alias("_lf_row"), id_col, vector_to_array("features").alias("_lf_values"))
-            .select("_lf_row", id_col, F.inline(values)))
-    hits = (long.join(small(paths), "feature").filter("value > low AND value <= high")
-            .groupBy("_lf_row", id_col, "leaf").agg(F.count(F.lit(1)).alias("n_hits")))
-    return hits.join(small(ends), "leaf").filter("n_hits = n_bounds").select(id_col, "prediction", "probability")
+    values = F.array(*[_threshold_above(F.get("_lf_values", F.lit(f)), sorted({t for _, g, *ends in bounds if g == f for t in ends if math.isfinite(t)}))
+                       for f in used])
+    placed = cut_lineage(rows.select(id_col, vector_to_array("features").alias("_lf_values")).select(id_col, values.alias("_lf_cell")))
+    cell_values = F.array(*[F.struct(F.lit(f).alias("feature"), F.get("_lf_cell", F.lit(i)).alias("value")) for i, f in enumerate(used)])
+    hits = (placed.select("_lf_cell").distinct().select("_lf_cell", F.inline(cell_values))
+            .join(small(paths), "feature").filter("value > low AND value <= high")
+            .groupBy("_lf_cell", "leaf").agg(F.count(F.lit(1)).alias("n_hits")))
+    found = cut_lineage(hits.join(small(ends), "leaf").filter("n_hits = n_bounds").select("_lf_cell", "prediction", "probability"))
+    return placed.join(found, "_lf_cell").select(id_col, "prediction", "probability")
+
+
+def _threshold_above(value: Column, thresholds: list[float]) -> Column:
+    """The least of ``thresholds`` that is not below ``value``, else infinity;
+    NULL and NaN stay."""
+    out = F.when(value.isNull() | F.isnan(value), value)
+    for t in thresholds:
+        out = out.when(value <= t, F.lit(t))
+    return out.otherwise(F.lit(math.inf))
 
 
 # --- cross-validation ------------------------------------------------------------------------

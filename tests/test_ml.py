@@ -147,3 +147,16 @@ def test_shorten_ends_leaves_at_a_depth():
     assert ml.shorten(leaves, 2) == leaves
     assert ml.shorten(leaves, 1) == [ml.Leaf(((0, False, 1.0),), (5, 5))] * 2 + leaves[2:]
     assert set(ml.shorten(leaves, 0)) == {ml.Leaf((), (25, 5))}
+
+
+def test_rows_with_equal_places_are_scored_once(spark, monkeypatch):
+    """The range join sees one row per distinct list of thresholds; every row, also with a repeated id, gets its result."""
+    stored, cut = [], ml.cut_lineage
+    monkeypatch.setattr(ml, "cut_lineage", lambda df: (out := cut(df), stored.append(out.count()))[0])
+    leaves = [ml.Leaf(((0, False, 10.0),), (5, 1)), ml.Leaf(((0, True, 10.0), (1, False, 0.5)), (0, 4)), ml.Leaf(((0, True, 10.0), (1, True, 0.5)), (3, 0))]
+    rows = ml.VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.range(2000).selectExpr("id % 500 AS doc_id", "CAST(id % 21 AS DOUBLE) AS a", "CAST(id % 2 AS DOUBLE) AS b"))
+    got = ml.score_by_paths(rows, leaves)
+    assert stored == [2000, 4]
+    want = [(d, p) for d, p in ((i % 500, 0.0 if i % 21 <= 10 else 1.0 if i % 2 == 0 else 0.0) for i in range(2000))]
+    assert sorted((r["doc_id"], r["prediction"]) for r in got.collect()) == sorted(want)

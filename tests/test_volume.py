@@ -8,12 +8,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from lakeforge.contracts import ID
+from lakeforge.contracts import ID, VALID_FROM
 from lakeforge.operators import checks
 from lakeforge.operators.keys import number_and_deal, number_within_groups
-from lakeforge.operators.merge import by_key, scd2_first, scd2_load, store_by_key
-from lakeforge.plans import gold
+from lakeforge.operators.merge import (CHANGED, HASH, by_key, history_columns, number_first, scd2_first, scd2_load, scd2_opened,
+                                       scd2_transitions, store_by_key)
+from lakeforge.plans import gold, run
 from lakeforge.session import cut_lineage, ensure_checkpoint_dir
+from lakeforge.sources import snapshot as store
+from lakeforge.sources.buckets import BucketedTable
 
 from .conftest import SF_SMALL
 
@@ -116,3 +119,21 @@ def test_rekeyed_looks_at_versions_opened_by_a_closing_load(spark):
     out = checks.rekeyed(h, ["k"])
     assert [(r.old_k, r.new_k) for r in out.collect()] == [(1, 2)]
     assert "_lf_closing" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_first_load_deals_its_own_columns_and_buckets_are_written_where_rows_are(spark):
+    source = spark.range(1000).selectExpr("nullif(id, 999) AS k", "id % 7 AS v")
+    before = stages(spark)
+    numbered = number_first(source, ["k"], ID, 0)
+    (stage,) = stages(spark) - before
+    assert not {HASH, CHANGED, VALID_FROM} & set(spark.read.parquet(str(stage)).columns)
+    st = store.Store(spark, run.new_root(spark, "tasks"))
+    table, load_date = BucketedTable(st, "t", 4), "2024-01-01 00:00:00"
+    table.apply(scd2_opened(numbered, ["k"], load_date).repartition(3), F.lit(True), ID, history_columns(["k", "v"]))
+    folder = pathlib.Path(st.root.removeprefix("file:"), "t")
+    assert [len(list(b.glob("*.parquet"))) for b in folder.glob("of=4/v=*/bucket=*")] == [3] * 4  # one of each task, no shuffle
+    rows = table.read().collect()
+    assert sorted(r[ID] for r in rows) == list(range(1, 1001)) and len({r[HASH] for r in rows}) == 1000
+    assert all(r[ID] == (1 if r["k"] is None else r["k"] + 2) for r in rows)
+    merged = scd2_transitions(table.read(), source.filter("k IS NOT NULL"), ["k"], ["v"], load_date, buckets=4)
+    assert [r["k"] for r in merged.filter(CHANGED).collect()] == [None] and merged.count() == 1000  # files of a bucket meet the source

@@ -51,6 +51,12 @@ _MARKS = r"!-&(-/:-@\[-`{-~"  # ASCII punctuation without the apostrophe
 # punctuation behind it, a single line end before a word, and else all up to the next blank in front of something.
 _UNITS = re.compile(rf" ?[{_LETTERS}]+(?=[\s{_MARKS}]|\Z)|[{_MARKS}]+(?=[ \n][{_LETTERS}]|\Z)|\n(?=[{_LETTERS}])|(?s:.)[^ ]*(?: (?!\S)[^ ]*)*")
 
+# Byte-level BPE writes each byte as a character: printable ones as they are, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(sorted(set(range(256)).difference(_PRINTABLE)))}
+#: Words that tell whether the model alone gives the library's ids.
+_PROBE = [" a", " Zebra", " ordinary", " über", " façade", " ÿÿ"]
+
 
 class Encoder:
     """Byte-level BPE by the tokenizers library.  A text is the sequence of its
@@ -69,6 +75,9 @@ class Encoder:
         names = self.library.get_vocab(with_added_tokens=True)
         self.blank = np.zeros(max(names.values()) + 1, bool)
         self.blank[[i for t, i in names.items() if t[0] == "\u0120"]] = True  # the byte-level sign of a blank
+        # If nothing but byte-level pieces precedes the model, words go to the model itself.
+        parts = [self.library.normalizer, type(self.library.pre_tokenizer).__name__]
+        self.plain = parts == [None, "ByteLevel"] and self._model(_PROBE) == self._library(_PROBE)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.size = 0
@@ -77,6 +86,12 @@ class Encoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, x.ids).tobytes() for x in found]
 
+    def _model(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each with a blank in front, from the model alone."""
+        model, code = self.library.model.tokenize, self.code
+        spelt = ("\u0120" + w[1:] if w.isascii() else w.encode().decode("latin-1").translate(_BYTES) for w in words)
+        return [array(code, [t.id for t in model(s)]).tobytes() for s in spelt]
+
     def _joined(self, words: list[str]) -> list[bytes]:
         """Ids of words, each with a blank in front, encoded as one text: each
         begins at the only token in it that starts with a blank."""
@@ -97,10 +112,15 @@ class Encoder:
         self._remember(again, [self.older[u] for u in again])
         new.difference_update(again)
         words = [u for u in new if u[0] == " " and u[1:].isalpha()]
+        new.difference_update(words)
+        if self.plain:  # letters of this range are letters to any version of the pattern
+            latin = [u for u in words if u.isascii() or max(u) <= "\xff"]
+            self._remember(latin, self._model(latin))
+            words = [u for u in words if not (u.isascii() or max(u) <= "\xff")]
         for at in range(0, len(words), 1000):
             some = words[at:at + 1000]
             self._remember(some, self._joined(some))
-        rest = list(new.difference(words))
+        rest = list(new)
         self._remember(rest, self._library(rest))
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:

@@ -69,3 +69,30 @@ def test_dictionary_shortens_short_documents(spark):
         token_files.write(docs, path, PATH, sample_rows=rows_)
         size[rows_] = sum(len(r[0]) for r in spark.read.parquet(f"{path}/blocks").select("payload").collect())
     assert size[400] < size[0]
+
+
+def test_new_words_go_to_the_model_alone(monkeypatch):
+    library = Tokenizer.from_file(PATH)
+    words = [" word", " Übergrößenträger", " x", " ÿþý", " zzqxv", " naïveté", " ªº", " 日本", " ß"]
+    texts = ["".join(words), *words, *ODD]
+    wanted = [np.array(library.encode(t, add_special_tokens=False).ids + [0], "<u2").tobytes() for t in texts]
+    encoder = token_files.Encoder(PATH)
+    encoder.plain = False
+    assert encoder.encode(texts, 0) == wanted
+    joined = []
+    monkeypatch.setattr(token_files.Encoder, "_joined", lambda self, some: joined.extend(some) or self._library(some))
+    encoder = token_files.Encoder(PATH)
+    assert encoder.plain and encoder.encode(texts, 0) == wanted
+    assert joined and all(max(w) > "\xff" for w in joined)
+    assert encoder._model(words) == encoder._library(words)
+
+
+def test_other_tokenizers_do_not_bypass_their_steps(tmp_path):
+    from tokenizers import normalizers
+    library = Tokenizer.from_file(PATH)
+    library.normalizer = normalizers.Lowercase()
+    library.save(str(tmp_path / "lower.json"))
+    encoder = token_files.Encoder(str(tmp_path / "lower.json"))
+    assert not encoder.plain
+    ids = library.encode(" Some WORDS here", add_special_tokens=False).ids + [0]
+    assert encoder.encode([" Some WORDS here"], 0) == [np.array(ids, "<u2").tobytes()]

@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 
 from lakeforge.contracts import CUSTOMER, GEOGRAPHY, PRODUCT, PRODUCT_CATEGORY
 from lakeforge.operators import star
-from lakeforge.plans import checks
+from lakeforge.plans import checks, gold
 from lakeforge.session import cut_lineage
 
 MANY = star.BROADCAST_ROWS + 1
 T0 = dt.datetime(2024, 1, 1)
+KEYS = "sales_order_id int, sales_order_detail_id int, _tf_dim_calendar_id int, _tf_dim_customer_id long, " \
+       "_tf_dim_geography_id long, _tf_dim_product_id long"
+ROWS = [(1, 1, 20010506, 5, 6, 7), (1, 2, None, 5, MANY, 7), (2, 1, 19990101, None, -1, -2)]
+LOST = {(1, 2, "_tf_dim_calendar_id", None), (1, 2, "_tf_dim_geography_id", MANY), (2, 1, "_tf_dim_calendar_id", 19990101),
+        (2, 1, "_tf_dim_customer_id", None), (2, 1, "_tf_dim_geography_id", -1), (2, 1, "_tf_dim_product_id", -2)}
 
 
 def plan(df):
@@ -33,6 +38,14 @@ class Stored:
         self.fact, self.dim = lambda day: fact, lambda spec, day: dims[spec]
 
 
+@pytest.fixture()
+def stored_plans(monkeypatch):
+    """Plans of what ``lost_keys`` stores."""
+    plans = []
+    monkeypatch.setattr(star, "cut_lineage", lambda df: plans.append(plan(df)) or cut_lineage(df))
+    return plans
+
+
 def test_fact_projection_broadcasts_no_large_dimension(spark, dims):
     h = "_tf_valid_from timestamp_ntz, _tf_valid_to timestamp_ntz"
     lines = spark.createDataFrame([(1, 1, 100, 2, 1.0, 0.0, 2.0, T0, None), (1, 2, None, 1, 1.0, 0.0, 1.0, T0, None), (2, 1, MANY, 1, 1.0, 0.0, 1.0, T0, None)],
@@ -60,3 +73,14 @@ def test_categories_and_products_meet_in_no_broadcast_if_they_are_many(spark, di
     out = checks._product_with_category(Stored(None, {PRODUCT: products, PRODUCT_CATEGORY: categories}))
     assert "Broadcast" not in plan(out)
     assert {r.prod_product_id: r.category_name for r in out.collect()} == {1: "3", 2: None, 3: None}
+
+
+def test_orphan_keys_do_not_pass_the_dimensions_through_the_driver(spark, dims, monkeypatch, stored_plans):
+    fact = spark.createDataFrame(ROWS * 2, KEYS)  # rows may come twice
+    monkeypatch.setattr(gold, "warehouse", lambda spark, d: Stored(fact, dims))
+    out = checks.fact_orphan_keys(spark, "")
+    known = {f for d in dims.values() for f in d.inputFiles()}
+    assert not known & set(out.inputFiles())  # rows meet lost keys only
+    assert len(stored_plans) == 4 and not any("Broadcast" in p for p in stored_plans[1:])
+    got = [tuple(r) for r in out.collect()]
+    assert set(got) == LOST and len(got) == 2 * len(LOST)

@@ -84,3 +84,15 @@ def test_orphan_keys_do_not_pass_the_dimensions_through_the_driver(spark, dims,
     assert len(stored_plans) == 4 and not any("Broadcast" in p for p in stored_plans[1:])
     got = [tuple(r) for r in out.collect()]
     assert set(got) == LOST and len(got) == 2 * len(LOST)
+
+
+def test_reference_checks_do_not_pass_the_dimensions_through_the_driver(spark, dims, stored_plans):
+    rows, found = gold.reference_checks(spark.createDataFrame(ROWS, KEYS), {s.surrogate: dims[s] for s in dims})
+    known = {f for d in dims.values() for f in d.inputFiles()}
+    assert not known & set(rows.inputFiles())
+    assert len(stored_plans) == 3 and not any("Broadcast" in p for p in stored_plans)
+    counts = rows.agg(*[F.count_if(c).alias(name) for name, c in found.items()]).first().asDict()
+    assert counts == {"_tf_dim_customer_id has no row in its dimension": 0, "_tf_dim_customer_id is NULL": 1,
+                      "_tf_dim_geography_id has no row in its dimension": 2, "_tf_dim_geography_id is NULL": 0,
+                      "_tf_dim_product_id has no row in its dimension": 1, "_tf_dim_product_id is NULL": 0}
+    assert rows.count() == len(ROWS)
